@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from crease import schema as S
 from crease.functions import count_if, is_present
 
+_COMMIT_SCHEMA = ("sequence_number long, snapshot_id long, timestamp_ms long, operation string, "
+                  "added_records long, total_records long, schema_id int")
 _SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
                 "long": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
 
@@ -68,11 +70,22 @@ class LakeTable:
         except AnalysisException:
             return False
 
-    def create_if_absent(self, fields=S.LAKE_FIELDS) -> "LakeTable":
-        if not self._exists(self.schemas_path):
-            self._write_schema(0, list(fields))
+    def create(self, fields=S.LAKE_FIELDS) -> "LakeTable":
+        """New table: schema 0 and a ``create`` commit (sequence 0, no data)."""
+        self._write_schema(0, list(fields))
+        self._write_commit(0, "create", 0, 0, 0)
         return self
 
+    def create_if_absent(self, fields=S.LAKE_FIELDS) -> "LakeTable":
+        return self if self._exists(self.schemas_path) else self.create(fields)
+
+    def _write_commit(self, seq: int, operation: str, added: int, total: int,
+                      schema_id: int) -> None:
+        commit = [(seq, uuid.uuid4().int >> 65, int(time.time() * 1000), operation,
+                   added, total, schema_id)]
+        (self.spark.createDataFrame(commit, _COMMIT_SCHEMA)
+         .coalesce(1).write.mode("append").json(self.commits_path))
+
     def _write_schema(self, schema_id: int, fields) -> None:
         rows = [(schema_id, fid, name, typ) for fid, name, typ in fields]
         (self.spark.createDataFrame(rows, "schema_id int, field_id int, name string, type string")
@@ -100,17 +113,11 @@ class LakeTable:
                 .orderBy("field_id"))
 
     def _commits(self) -> DataFrame:
-        return self.spark.read.schema(
-            "sequence_number long, snapshot_id long, timestamp_ms long, operation string, "
-            "added_records long, total_records long, schema_id int").json(self.commits_path)
+        return self.spark.read.schema(_COMMIT_SCHEMA).json(self.commits_path)
 
     def history(self) -> DataFrame:
-        """Snapshot list: id, commit time (UTC, second precision), counts."""
-        if not self._exists(self.commits_path):
-            return self.spark.createDataFrame(
-                [], "sequence_number long, snapshot_id long, committed_at string, operation string, "
-                    "added_records long, total_records long, schema_id int")
-        return (self._commits()
+        """Snapshot list (data commits): id, commit time (UTC, seconds), counts."""
+        return (self._commits().filter(F.col("operation") != "create")
                 .select("sequence_number", "snapshot_id",
                         F.date_format(F.timestamp_millis("timestamp_ms"),
                                       "yyyy-MM-dd HH:mm:ss").alias("committed_at"),
@@ -118,8 +125,6 @@ class LakeTable:
                 .orderBy("sequence_number"))
 
     def _last_commit(self) -> tuple[int, int]:
-        if not self._exists(self.commits_path):
-            return 0, 0
         r = self._commits().agg(F.max("sequence_number"), F.max("total_records")).first()
         return int(r[0] or 0), int(r[1] or 0)
 
@@ -129,7 +134,6 @@ class LakeTable:
 
         Not idempotent (a rerun appends again) -- see :meth:`append_new`.
         """
-        self.create_if_absent()
         fields = self.current_fields()
         seq, total = self._last_commit()
         seq += 1
@@ -141,12 +145,7 @@ class LakeTable:
         out.write.mode("append").partitionBy(self.partition_col).parquet(self.data_path)
         added = int(obs.get["n"])
         schema_id = self._schemas().agg(F.max("schema_id")).first()[0]
-        commit = [(seq, uuid.uuid4().int >> 65, int(time.time() * 1000), "append",
-                   added, total + added, int(schema_id))]
-        (self.spark.createDataFrame(
-            commit, "sequence_number long, snapshot_id long, timestamp_ms long, operation string, "
-                    "added_records long, total_records long, schema_id int")
-         .coalesce(1).write.mode("append").json(self.commits_path))
+        self._write_commit(seq, "append", added, total + added, int(schema_id))
         return added
 
     def append_new(self, rows: DataFrame, key: str) -> int:
@@ -155,7 +154,7 @@ class LakeTable:
         Left-anti join against the distinct keys in the table (a one-column
         scan); AQE broadcasts the key side when it is small at run time.
         """
-        if self._exists(self.data_path):
+        if self._last_commit()[0] > 0:          # at least one data commit
             loaded = self.scan().select(key).distinct()
             rows = rows.join(loaded, rows[key].eqNullSafe(loaded[key]), "left_anti")
         return self.append(rows)

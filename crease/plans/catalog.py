@@ -135,7 +135,7 @@ def q_verify_top5_bowlers(spark, sf):
 
 # ---------------------------------------------------------------- lake
 def _lake_with_one_load(spark, sf) -> LakeTable:
-    lake = LakeTable(spark, scratch_path(spark, "lake")).create_if_absent()
+    lake = LakeTable(spark, scratch_path(spark, "lake")).create()
     lake.append(lake_rows(_L(spark, sf)))
     return lake
 
@@ -160,7 +160,7 @@ def q_lake_teams(spark, sf):
 
 
 def q_lake_append_idempotent(spark, sf):
-    lake = LakeTable(spark, scratch_path(spark, "lake")).create_if_absent()
+    lake = LakeTable(spark, scratch_path(spark, "lake")).create()
     rows = lake_rows(_L(spark, sf))
     lake.append_new(rows, "match_id")
     lake.append_new(rows, "match_id")      # rerun: nothing new
@@ -510,6 +510,11 @@ ORACLE: dict[str, str] = {
         f"(SELECT count(*) FROM ({_DOC_GROUPS})) AS valid_documents, "
         "CAST(0 AS BIGINT) AS quarantined_documents, "
         "(SELECT count(*) FROM L) AS deliveries"),
+    "encode_messages": _with(_E_CTE) + (
+        "SELECT match_id AS key, CAST(to_json(struct_pack(match_id := match_id, "
+        "batting_team := batting_team, batter := batter, bowler := bowler, over := over_num, "
+        "ball := ball_num, runs_off_bat := runs_off_bat, extras := total_runs - runs_off_bat, "
+        "total_runs := total_runs, wicket := wicket)) AS VARCHAR) AS value, kafka_offset FROM E"),
     "parse_messages": _with(_E_CTE) + _PARSED,
     "live_batter_stats": _LIVE,
     "upsert_latest": _LIVE,
