@@ -81,21 +81,18 @@ def parse_messages(envelope: DataFrame, clean: bool = True) -> DataFrame:
     ``event_time``.
     """
     ev = F.from_json(F.col("value").cast("string"), S.EVENT)
+    # ``inline`` expands the parsed struct through a generator: later filters
+    # on its fields cannot be pushed below it, so each message is parsed once
+    # (pushed through a plain projection, every predicate would re-parse it).
     out = envelope.select(
         F.col("key").cast("string").alias("message_key"),
-        ev.alias("event"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("event_time"),
+        F.inline(F.array(ev)),
     ).select(
-        F.col("event.match_id").alias("match_id"),
-        F.col("event.batting_team").alias("batting_team"),
-        F.col("event.batter").alias("batter"),
-        F.col("event.bowler").alias("bowler"),
-        F.col("event.over").alias("over_num"),
-        F.col("event.ball").alias("ball_num"),
-        F.col("event.runs_off_bat").alias("runs_off_bat"),
-        F.col("event.total_runs").alias("total_runs"),
-        F.col("event.wicket").alias("wicket"),
+        "match_id", "batting_team", "batter", "bowler",
+        F.col("over").alias("over_num"), F.col("ball").alias("ball_num"),
+        "runs_off_bat", "total_runs", "wicket",
         "event_time", "kafka_offset", "message_key")
     if clean:
         out = out.filter(F.col("batter").isNotNull()).filter(
