@@ -17,9 +17,13 @@ DEFAULT_BLOCK = 1 << 16
 
 
 def running_totals(df: DataFrame, keys: list[str], order_col: str,
-                   measures: dict[str, Column], block_width: int = DEFAULT_BLOCK) -> DataFrame:
+                   measures: dict[str, Column], block_width: int = DEFAULT_BLOCK,
+                   with_totals: bool = False) -> DataFrame:
     """Add cumulative sums of ``measures`` per ``keys`` in ``order_col`` order.
 
+    With ``with_totals`` each row also gets ``<measure>_total``, the group's
+    grand total, from the same block-table window (no extra pass).
+
     ``order_col`` must be integral and unique within a group (a message
     offset), so a block ``floor(order / block_width)`` holds at most
     ``block_width`` rows of any group.  Rows up to and including the current
@@ -37,10 +41,14 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str,
     per_block = b.groupBy(*keys, blk).agg(
         *[F.sum(f"_rt_m_{n}").alias(f"_rt_s_{n}") for n in measures])
     wb = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    totals = ([F.sum(f"_rt_s_{n}").over(whole).alias(f"{n}_total") for n in measures]
+              if with_totals else [])
     base = per_block.select(
         *[F.col(k).alias(f"_rt_k_{i}") for i, k in enumerate(keys)],
         F.col(blk).alias("_rt_kb"),
-        *[F.coalesce(F.sum(f"_rt_s_{n}").over(wb), F.lit(0)).alias(f"_rt_b_{n}") for n in measures])
+        *[F.coalesce(F.sum(f"_rt_s_{n}").over(wb), F.lit(0)).alias(f"_rt_b_{n}") for n in measures],
+        *totals)
     cond = reduce(lambda a, c: a & c,
                   [b[k].eqNullSafe(base[f"_rt_k_{i}"]) for i, k in enumerate(keys)],
                   b[blk] == base["_rt_kb"])
@@ -49,7 +57,8 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str,
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return joined.select(
         *[b[c] for c in cols],
-        *[(F.col(f"_rt_b_{n}") + F.sum(b[f"_rt_m_{n}"]).over(wr)).alias(n) for n in measures])
+        *[(F.col(f"_rt_b_{n}") + F.sum(b[f"_rt_m_{n}"]).over(wr)).alias(n) for n in measures],
+        *[F.col(f"{n}_total") for n in measures if with_totals])
 
 
 def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",

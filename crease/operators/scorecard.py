@@ -50,35 +50,39 @@ def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.
     1. ball number per match: distributed running count (no per-match sort);
     2. per (match, batter, interval) sums -- at most one row per batter and
        interval, so later windows see aggregates, not balls;
-    3. running sums over intervals and the interval where each batter's
-       total next changes; the total holds for every snapshot in between;
-    4. rank inside (match, snapshot): runs desc, first appearance asc.
+    3. running sums over a batter's intervals and the interval where the
+       batter's total next changes; the total holds for every snapshot in
+       between; the match's ball count rides along from step 1, so no
+       match-level join is needed;
+    4. rank inside (match, snapshot) after an explicit repartition on both
+       keys, so the snapshots of one long match spread over many tasks.
 
     Step 3 emits one row per batter and snapshot after the batter's first
-    ball -- O(batters per match x balls / every), linear for a bounded squad.
+    ball: O(batters per match x balls / every), linear for a bounded squad.
     """
     kw = {"block_width": block_width} if block_width else {}
     d = running_totals(_normalised(df).select("match_id", "kafka_offset", "batter", "runs_off_bat"),
-                       ["match_id"], "kafka_offset", {"ball_no": F.lit(1)}, **kw)
-    d = d.withColumn("snap", F.floor((F.col("ball_no") + F.lit(every - 1)) / F.lit(every)))
+                       ["match_id"], "kafka_offset", {"ball_no": F.lit(1)}, with_totals=True, **kw)
+    d = (d.withColumn("snap", F.floor((F.col("ball_no") + F.lit(every - 1)) / F.lit(every)))
+         .withColumn("last_snap", F.floor(F.col("ball_no_total") / F.lit(every))))
     per_snap = (d.groupBy("match_id", "batter", "snap")
                 .agg(F.sum("runs_off_bat").alias("s_runs"),
                      F.count(F.lit(1)).alias("s_balls"),
-                     F.min("kafka_offset").alias("s_first")))
-    last_snap = (d.groupBy("match_id")
-                 .agg(F.floor(F.count(F.lit(1)) / F.lit(every)).alias("last_snap")))
+                     F.min("kafka_offset").alias("s_first"),
+                     F.max("last_snap").alias("last_snap")))
     wb = Window.partitionBy("match_id", "batter").orderBy("snap")
+    upto_now = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = (per_snap
-           .withColumn("runs", F.sum("s_runs").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("balls", F.sum("s_balls").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("runs", F.sum("s_runs").over(upto_now))
+           .withColumn("balls", F.sum("s_balls").over(upto_now))
            .withColumn("first_offset", F.min("s_first").over(
                wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-           .withColumn("next_snap", F.lead("snap").over(wb)))
-    held = (cum.join(last_snap, "match_id")
-            .withColumn("upto", F.least(F.coalesce(F.col("next_snap") - 1, F.col("last_snap")),
-                                        F.col("last_snap")))
-            .filter(F.col("snap") <= F.col("upto"))
-            .withColumn("snapshot", F.explode(F.sequence(F.col("snap"), F.col("upto")))))
+           .withColumn("next_snap", F.lead("snap").over(wb))
+           .withColumn("upto", F.least(F.coalesce(F.col("next_snap") - 1, F.col("last_snap")),
+                                       F.col("last_snap"))))
+    held = (cum.filter(F.col("snap") <= F.col("upto"))
+            .withColumn("snapshot", F.explode(F.sequence(F.col("snap"), F.col("upto"))))
+            .repartition("match_id", "snapshot"))
     wr = Window.partitionBy("match_id", "snapshot").orderBy(F.col("runs").desc(),
                                                             F.col("first_offset").asc())
     return (held.withColumn("position", F.row_number().over(wr).cast("long"))
