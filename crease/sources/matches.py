@@ -31,7 +31,14 @@ def read_match_documents(spark: SparkSession, path: str, multi_line: bool = True
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.json(path)
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"))
+    # The reader converts only the columns a query needs and flags a wrong-
+    # typed field only when it converts it.  ``_bad`` references both whole
+    # structs, so any query filtering on it parses full documents and the
+    # verdict cannot depend on the final projection.  The second operand runs
+    # only for already-flagged documents (short-circuit) and is always true.
+    bad = F.col("_corrupt_record").isNotNull() & (
+        F.length(F.to_json(F.struct(F.col("info"), F.col("innings")))) >= 0)
+    return df.select("*", F.col("_metadata.file_path").alias("file_path"), bad.alias("_bad"))
 
 
 def match_key() -> Column:
@@ -40,12 +47,18 @@ def match_key() -> Column:
 
 
 def quarantine(docs: DataFrame) -> DataFrame:
-    """Documents that failed to parse (whole file / whole document)."""
-    return docs.filter(F.col("_corrupt_record").isNotNull()).select("file_path", "_corrupt_record")
+    """Documents that failed to parse (whole file / whole document).
+
+    ``match_id`` is whatever could still be read (siblings of a bad field
+    still parse).
+    """
+    return (docs.filter(F.col("_bad"))
+            .select("file_path", F.get(F.col("info.dates"), 0).alias("match_id"),
+                    "_corrupt_record"))
 
 
 def valid_documents(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("_corrupt_record").isNull())
+    return docs.filter(~F.col("_bad"))
 
 
 def quarantine_report(docs: DataFrame) -> DataFrame:
@@ -55,7 +68,7 @@ def quarantine_report(docs: DataFrame) -> DataFrame:
         lambda acc, inn: acc + F.aggregate(
             F.coalesce(inn["overs"], F.array()), F.lit(0).cast("long"),
             lambda a2, ov: a2 + F.coalesce(F.size(ov["deliveries"]), F.lit(0)).cast("long")))
-    bad = F.col("_corrupt_record").isNotNull()
+    bad = F.col("_bad")
     return docs.agg(
         F.count(F.lit(1)).alias("documents"),
         F.count(F.when(~bad, F.lit(1))).alias("valid_documents"),

@@ -84,7 +84,11 @@ def _scorecard_fn(every: int, top: int):
 
 def scorecard_stream(messages: DataFrame, every: int = S.SCORECARD_EVERY,
                      top: int = S.SCORECARD_TOP) -> DataFrame:
-    """Streaming (or batch) snapshots from parsed, uncleaned messages."""
+    """Snapshots from a *streaming* DataFrame of parsed, uncleaned messages.
+
+    (``applyInPandasWithState`` is streaming-only; the batch form is
+    :func:`crease.operators.scorecard.scorecard_every`.)
+    """
     rows = messages.select("match_id", "batter", "runs_off_bat", "kafka_offset")
     snaps = rows.groupBy("match_id").applyInPandasWithState(
         _scorecard_fn(every, top), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
