@@ -21,6 +21,7 @@ from crease.operators.lake import LakeTable, lake_quick_stats, lake_rows, lake_t
 from crease.operators.quality import clean, clean_audit, null_profile
 from crease.plans.daily import run_daily
 from crease.plans.replay import replay
+from crease.plans.season import read_top_batters_csv, write_csv
 from crease.session import scratch_path
 from crease.sources import matches as M
 from crease.sources import warehouse_io as WIO
@@ -66,6 +67,13 @@ def q_top_batters(spark, sf):
     return LB.top_batters(_C(spark, sf))
 
 
+def q_top_batters_csv(spark, sf):
+    """Leaderboard through the CSV sink (header, one file) and read back."""
+    path = scratch_path(spark, "top-batters-csv")
+    write_csv(LB.top_batters(_C(spark, sf)), path)
+    return read_top_batters_csv(spark, path)
+
+
 def q_daily_top_batters(spark, sf):
     return LB.daily_top_batters(_L(spark, sf))
 
@@ -274,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "null_profile": q_null_profile,
     "clean_audit": q_clean_audit,
     "top_batters": q_top_batters,
+    "top_batters_csv": q_top_batters_csv,
     "daily_top_batters": q_daily_top_batters,
     "top_bowlers": q_top_bowlers,
     "top_bowlers_join": q_top_bowlers_join,
@@ -442,6 +451,7 @@ ORACLE: dict[str, str] = {
         f"SELECT count(*) AS rows_before, count(*) FILTER (WHERE {_VALID}) AS rows_after, "
         f"count(*) - count(*) FILTER (WHERE {_VALID}) AS rows_removed FROM L"),
     "top_batters": _with(_L_CTE, _C_CTE) + _BATTERS + " ORDER BY runs DESC, batter ASC LIMIT 10",
+    "top_batters_csv": _with(_L_CTE, _C_CTE) + _BATTERS + " ORDER BY runs DESC, batter ASC LIMIT 10",
     "daily_top_batters": _with(_L_CTE) + (
         "SELECT batter, cast(sum(runs_off_bat) AS BIGINT) AS runs, count(runs_off_bat) AS balls, "
         f"{_ratio('sum(runs_off_bat)', 'count(runs_off_bat)', 100, 2)} AS strike_rate "

@@ -151,3 +151,16 @@ def test_nest_then_flatten_round_trip(spark, tmp_dir):
         "match_id", "venue", "batting_team", F.coalesce("batter", F.lit("")),
         F.coalesce("bowler", F.lit("")), "over_num", "ball_num", "runs_off_bat", "extras",
         "total_runs", F.nullif("wicket", F.lit(""))))
+
+
+def test_season_job(spark, docs_dir, tmp_dir):
+    from crease.plans.season import read_top_batters_csv, run_season
+    out = os.path.join(tmp_dir, "season")
+    audit = run_season(spark, docs_dir, out)
+    # null bowler reads back as "" (kept); runs 7, blank and missing batters are removed
+    assert audit == {"rows_before": 9, "rows_after": 6, "rows_removed": 3}
+    top = rows(read_top_batters_csv(spark, os.path.join(out, "top_batters_csv")))
+    assert ("P", 5, 2, 1, 0, 250.0) in top and len(top) == 5
+    assert spark.read.parquet(os.path.join(out, "top_bowlers")).count() == 0   # nobody has 60 balls
+    capped = run_season(spark, docs_dir, os.path.join(tmp_dir, "season2"), max_matches=1)
+    assert capped["rows_before"] == 6                                         # m1.json only
