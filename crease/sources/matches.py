@@ -11,6 +11,8 @@ Flattening is three generators in one narrow stage -- no shuffle, no Python.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,13 +82,18 @@ def quarantine_report(docs: DataFrame) -> DataFrame:
 def limit_matches(docs: DataFrame, n: int, by: str = "file_path") -> DataFrame:
     """Keep the first ``n`` matches in ``by`` order (``file_path`` or ``match_id``).
 
-    The key list is a top-n (at most n rows), so broadcasting it is bounded;
-    the documents are filtered with a left-semi join, no shuffle of them.
+    ``n`` is a cap (tens of matches), so the kept keys are at most ``n``
+    literals.  By path they come from the file listing the driver already
+    holds for planning -- no data is read to choose them; by match id one
+    top-n job picks them.  The documents are then filtered in place (no
+    join, no shuffle of the documents).
     """
-    key = F.col("file_path") if by == "file_path" else match_key()
-    keyed = docs.withColumn("_lim_key", key)
-    keep = keyed.select("_lim_key").distinct().orderBy("_lim_key").limit(n)
-    return keyed.join(F.broadcast(keep), "_lim_key", "left_semi").drop("_lim_key")
+    if by == "file_path":
+        # the listing spells local files file:///x, the metadata column file:/x
+        paths = sorted(re.sub(r"^file:///", "file:/", p) for p in docs.inputFiles())
+        return docs.filter(F.col("file_path").isin(paths[:n]))
+    top = [r[0] for r in docs.select(match_key().alias("k")).distinct().orderBy("k").take(n)]
+    return docs.filter(match_key().isin(top))
 
 
 def flatten(docs: DataFrame, keep_teams: bool = False) -> DataFrame:
@@ -96,22 +103,22 @@ def flatten(docs: DataFrame, keep_teams: bool = False) -> DataFrame:
     ``'unknown'``; ball = 1-based position in the over's delivery list; the
     wicket is the first wicket's kind ('' -> null); later wickets are dropped.
     """
-    m = valid_documents(docs).select(
-        match_key().alias("match_id"),
-        F.coalesce(F.col("info.venue"), F.lit(S.UNKNOWN)).alias("venue"),
-        F.coalesce(F.col("info.teams"), F.array().cast("array<string>")).alias("teams"),
-        "file_path",
-        F.explode(F.col("innings")).alias("inn"))
-    o = m.select("match_id", "venue", "teams", "file_path",
+    # The small ``info`` struct rides through the generators and is unpacked
+    # after them: extracting its fields next to a generator trips Spark 4.1's
+    # nested-column aliasing when the plan is also capped and cached.
+    m = valid_documents(docs).select("info", "file_path", F.explode(F.col("innings")).alias("inn"))
+    o = m.select("info", "file_path",
                  F.coalesce(F.col("inn.team"), F.lit("")).alias("batting_team"),
                  F.explode(F.col("inn.overs")).alias("ov"))
-    d = o.select("match_id", "venue", "teams", "file_path", "batting_team",
+    d = o.select("info", "file_path", "batting_team",
                  F.coalesce(F.col("ov.over"), F.lit(0)).alias("over_num"),
                  F.posexplode(F.col("ov.deliveries")).alias("pos", "d"))
     out = d.select(
-        "match_id",
-        F.expr("try_to_date(match_id, 'yyyy-MM-dd')").alias("match_date"),
-        "venue", "batting_team",
+        match_key().alias("match_id"),
+        F.expr("try_to_date(coalesce(get(info.dates, 0), 'unknown'), 'yyyy-MM-dd')")
+        .alias("match_date"),
+        F.coalesce(F.col("info.venue"), F.lit(S.UNKNOWN)).alias("venue"),
+        "batting_team",
         F.coalesce(F.col("d.batter"), F.lit("")).alias("batter"),
         F.coalesce(F.col("d.bowler"), F.lit("")).alias("bowler"),
         "over_num",
@@ -120,7 +127,8 @@ def flatten(docs: DataFrame, keep_teams: bool = False) -> DataFrame:
         F.coalesce(F.col("d.runs.extras"), F.lit(0)).alias("extras"),
         F.coalesce(F.col("d.runs.total"), F.lit(0)).alias("total_runs"),
         F.nullif(F.get(F.col("d.wickets"), 0)["kind"], F.lit("")).alias("wicket"),
-        "file_path", "teams")
+        "file_path",
+        F.coalesce(F.col("info.teams"), F.array().cast("array<string>")).alias("teams"))
     return out if keep_teams else out.drop("teams")
 
 
