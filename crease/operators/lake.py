@@ -1,9 +1,14 @@
 """The lake table: 14-column delivery rows, identity-partitioned by batting team.
 
-Data is Parquet under ``<table>/data`` (``partitionBy(batting_team)``) with a
-``load_id`` column per append.  ``<table>/_commits`` and ``<table>/_schemas``
-are small JSON tables (one row per commit / per schema version) giving the
-snapshot list and additive schema evolution.  With an Iceberg catalog on the
+Data is Parquet under ``<table>/data/load_id=<n>/batting_team=<team>``: one
+``load_id`` per append.  ``<table>/_commits`` and ``<table>/_schemas`` are
+small JSON tables (one row per commit / per schema version) giving the
+snapshot list and additive schema evolution.
+
+Crash safety: an append first writes its load with dynamic partition
+overwrite (a retry of the same load replaces its own earlier attempt), then
+records the commit; readers only see loads up to the last commit, so files of
+an interrupted append are never visible.  With an Iceberg catalog on the
 classpath the same operators map 1:1 onto ``format("iceberg")`` writes,
 ``ALTER TABLE .. ADD COLUMN`` and the ``.history`` metadata table.
 """
@@ -61,6 +66,24 @@ class LakeTable:
         self.data_path = f"{self.path}/data"
         self.commits_path = f"{self.path}/_commits"
         self.schemas_path = f"{self.path}/_schemas"
+        self._meta: dict | None = None   # fields, schema id, last sequence, total rows
+
+    # A table has one writer at a time; the writer keeps the (tiny) metadata
+    # in memory after reading it once and updates it on its own commits.
+    def _load_meta(self) -> dict:
+        if self._meta is None:
+            versions = self._schemas().collect()      # columns x schema versions rows
+            sid = max(r.schema_id for r in versions)
+            fields = sorted((r.field_id, r.name, r.type) for r in versions if r.schema_id == sid)
+            last = self._commits().agg(F.max("sequence_number"), F.max("total_records")).first()
+            self._meta = {"fields": fields, "schema_id": sid,
+                          "seq": int(last[0] or 0), "total": int(last[1] or 0)}
+        return self._meta
+
+    def refresh(self) -> "LakeTable":
+        """Forget cached metadata (after another writer committed)."""
+        self._meta = None
+        return self
 
     # -- metadata -----------------------------------------------------------
     def _exists(self, p: str) -> bool:
@@ -74,6 +97,7 @@ class LakeTable:
         """New table: schema 0 and a ``create`` commit (sequence 0, no data)."""
         self._write_schema(0, list(fields))
         self._write_commit(0, "create", 0, 0, 0)
+        self._meta = {"fields": sorted(fields), "schema_id": 0, "seq": 0, "total": 0}
         return self
 
     def create_if_absent(self, fields=S.LAKE_FIELDS) -> "LakeTable":
@@ -96,10 +120,7 @@ class LakeTable:
             "schema_id int, field_id int, name string, type string").json(self.schemas_path)
 
     def current_fields(self) -> list[tuple[int, str, str]]:
-        s = self._schemas()
-        cur = s.agg(F.max("schema_id")).first()[0]
-        rows = s.filter(F.col("schema_id") == cur).orderBy("field_id").collect()
-        return [(r.field_id, r.name, r.type) for r in rows]  # one row per column
+        return list(self._load_meta()["fields"])
 
     def current_schema(self) -> T.StructType:
         return T.StructType([T.StructField(n, _SPARK_TYPES[t]) for _, n, t in self.current_fields()]
@@ -125,8 +146,8 @@ class LakeTable:
                 .orderBy("sequence_number"))
 
     def _last_commit(self) -> tuple[int, int]:
-        r = self._commits().agg(F.max("sequence_number"), F.max("total_records")).first()
-        return int(r[0] or 0), int(r[1] or 0)
+        m = self._load_meta()
+        return m["seq"], m["total"]
 
     # -- writes -------------------------------------------------------------
     def append(self, rows: DataFrame) -> int:
@@ -140,12 +161,19 @@ class LakeTable:
         cols = [F.col(n).cast(_SPARK_TYPES[t]).alias(n) if n in rows.columns
                 else F.lit(None).cast(_SPARK_TYPES[t]).alias(n) for _, n, t in fields]
         obs = Observation(f"lake_append_{uuid.uuid4().hex[:8]}")
-        out = rows.select(*cols, F.lit(seq).cast("long").alias("load_id")).observe(
-            obs, F.count(F.lit(1)).alias("n"))
-        out.write.mode("append").partitionBy(self.partition_col).parquet(self.data_path)
+        # rebalance on the partition column: AQE sizes the files and splits a
+        # hot team over several writers instead of one task per team.  The
+        # row count is observed in the write stage (above the exchange): AQE
+        # may drop an empty input's earlier stage, and its metrics with it.
+        out = (rows.select(*cols, F.lit(seq).cast("long").alias("load_id"))
+               .hint("rebalance", self.partition_col)
+               .observe(obs, F.count(F.lit(1)).alias("n")))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_id", self.partition_col).parquet(self.data_path))
         added = int(obs.get["n"])
-        schema_id = self._schemas().agg(F.max("schema_id")).first()[0]
-        self._write_commit(seq, "append", added, total + added, int(schema_id))
+        m = self._load_meta()
+        self._write_commit(seq, "append", added, total + added, m["schema_id"])
+        m["seq"], m["total"] = seq, total + added
         return added
 
     def append_new(self, rows: DataFrame, key: str) -> int:
@@ -161,24 +189,28 @@ class LakeTable:
 
     def add_column(self, name: str, typ: str = "string") -> None:
         """Additive schema change: a new nullable column, no data rewrite."""
-        fields = self.current_fields()
+        m = self._load_meta()
+        fields = m["fields"]
         if any(n == name for _, n, _ in fields):
             return
-        new_id = self._schemas().agg(F.max("field_id")).first()[0] + 1
-        schema_id = self._schemas().agg(F.max("schema_id")).first()[0] + 1
-        self._write_schema(schema_id, fields + [(new_id, name, typ)])
+        new_fields = fields + [(max(f[0] for f in fields) + 1, name, typ)]
+        self._write_schema(m["schema_id"] + 1, new_fields)
+        m["fields"], m["schema_id"] = new_fields, m["schema_id"] + 1
 
     # -- reads --------------------------------------------------------------
     def scan(self, as_of: int | None = None) -> DataFrame:
         """Current schema over all files; old files read null for new columns.
 
         The explicit schema avoids a footer merge; filters on
-        ``batting_team`` prune partitions, ``as_of`` prunes by ``load_id``.
+        ``batting_team`` and ``load_id`` (committed loads, ``as_of``) prune
+        directories.
         """
+        seq = self._last_commit()[0]
+        limit = seq if as_of is None else min(seq, as_of)
+        if seq == 0:
+            return self.spark.createDataFrame([], self.current_schema())
         df = self.spark.read.schema(self.current_schema()).parquet(self.data_path)
-        if as_of is not None:
-            df = df.filter(F.col("load_id") <= F.lit(as_of))
-        return df
+        return df.filter(F.col("load_id") <= F.lit(limit))
 
 
 def lake_quick_stats(lake_df: DataFrame) -> DataFrame:

@@ -33,11 +33,26 @@ def test_lake_append_evolve_history(spark, tmp_dir):
     hist = [(r.sequence_number, r.added_records, r.total_records, r.schema_id)
             for r in lake.history().collect()]
     assert hist == [(1, n, n, 0), (2, n, 2 * n, 1)]
-    parts = {d for d in os.listdir(os.path.join(tmp_dir, "lake", "data")) if "=" in d}
+    parts = {d for d in os.listdir(os.path.join(tmp_dir, "lake", "data", "load_id=1")) if "=" in d}
     assert len(parts) == 12 and all(p.startswith("batting_team=") for p in parts)
+    assert "PartitionFilters: [isnotnull(load_id" in \
+        scan.filter(F.col("batting_team") == "team_1")._jdf.queryExecution().executedPlan().toString()
     assert rows(lake.columns(), order=True)[-1] == (15, "phase", "string")
 
 
+def test_lake_interrupted_append_is_invisible_and_retry_replaces_it(spark, tmp_dir):
+    lake = LakeTable(spark, os.path.join(tmp_dir, "lake")).create()
+    src = lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
+    n = lake.append(src)
+    # an append that wrote its files but died before the commit record
+    (src.withColumn("load_id", F.lit(2).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_id", "batting_team").parquet(lake.data_path))
+    assert lake.refresh().scan().count() == n
+    assert lake.append(src) == n                       # the retry reuses load 2
+    assert lake.scan().count() == 2 * n
+
+
 def test_lake_idempotent_append(spark, tmp_dir):
     lake = LakeTable(spark, os.path.join(tmp_dir, "lake")).create()
     src = lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
