@@ -5,7 +5,8 @@ its ball count and per-batter (runs, balls, first offset); each call sorts
 the match's new rows by offset, works out every completed 30-ball snapshot
 with vectorised pandas (per snapshot x batter sums, cumulative along
 snapshots) and emits the top 3 for each.  The strike rate is added after
-the call as a JVM expression.
+the call as a JVM expression.  State is one small record per match; with a
+watermark and an idle timeout finished matches are evicted.
 """
 from __future__ import annotations
 
@@ -27,9 +28,14 @@ OUTPUT_SCHEMA = ("match_id string, after_balls long, position long, batter strin
 STATE_SCHEMA = "balls long, batters string"
 
 
-def _scorecard_fn(every: int, top: int):
+def _scorecard_fn(every: int, top: int, idle_ms: int | None):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:                 # match idle past the watermark: drop its state
+            state.remove()
+            return
         pdf = pd.concat(list(pdfs), ignore_index=True)
+        if pdf.empty:
+            return
         prev_balls, prev = 0, {}
         if state.exists:
             prev_balls, blob = state.get
@@ -78,29 +84,45 @@ def _scorecard_fn(every: int, top: int):
         new_state = {b: (int(last_r[i]), int(last_b[i]), int(first.iloc[i]))
                      for i, b in enumerate(names)}
         state.update((int(prev_balls + n), json.dumps(new_state)))
+        if idle_ms is not None:
+            last_ms = int(pd.Timestamp(pdf["event_time"].max()).value // 1_000_000)
+            state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + idle_ms)
         yield from (o for o in out if len(o))
     return fn
 
 
 def scorecard_stream(messages: DataFrame, every: int = S.SCORECARD_EVERY,
-                     top: int = S.SCORECARD_TOP) -> DataFrame:
+                     top: int = S.SCORECARD_TOP, watermark: str | None = None,
+                     idle_ms: int | None = None) -> DataFrame:
     """Snapshots from a *streaming* DataFrame of parsed, uncleaned messages.
 
     (``applyInPandasWithState`` is streaming-only; the batch form is
     :func:`crease.operators.scorecard.scorecard_every`.)
     """
-    rows = messages.select("match_id", "batter", "runs_off_bat", "kafka_offset")
+    rows = messages.select("match_id", "batter", "runs_off_bat", "kafka_offset", "event_time")
+    timeout = GroupStateTimeout.NoTimeout
+    if watermark is not None and idle_ms is not None:
+        # optional state eviction (the source job keeps every match forever):
+        # a match with no ball for ``idle_ms`` past the watermark is dropped
+        rows = rows.withWatermark("event_time", watermark)
+        timeout = GroupStateTimeout.EventTimeTimeout
+    else:
+        idle_ms = None
     snaps = rows.groupBy("match_id").applyInPandasWithState(
-        _scorecard_fn(every, top), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+        _scorecard_fn(every, top, idle_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
     return snaps.withColumn("strike_rate", rate("runs", "balls", 100, 1))
 
 
 def start_scorecard_stream(messages: DataFrame, sink_path: str, checkpoint: str,
-                           trigger: dict | None = None) -> StreamingQuery:
-    """Append snapshots to a Parquet table (exactly-once file sink)."""
+                           trigger: dict | None = None, watermark: str | None = None,
+                           idle_ms: int | None = None) -> StreamingQuery:
+    """Append snapshots to a Parquet table (exactly-once file sink).
+
+    One call receives one match's rows of one micro-batch, so bound the
+    micro-batch at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+    """
     trigger = trigger or {"processingTime": "10 seconds"}
-    return (scorecard_stream(messages).writeStream
+    return (scorecard_stream(messages, watermark=watermark, idle_ms=idle_ms).writeStream
             .outputMode("append").format("parquet")
             .option("path", sink_path)
             .option("checkpointLocation", checkpoint)

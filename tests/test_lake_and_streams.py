@@ -96,3 +96,17 @@ def test_scorecard_stream_equals_batch(spark, tmp_dir):
     got = spark.read.parquet(sink).select("match_id", "after_balls", "position", "batter",
                                            "runs", "balls", "strike_rate")
     assert rows(got) == batch
+
+
+def test_scorecard_stream_with_state_eviction(spark, tmp_dir):
+    balls = deliveries_from_events(spark, SF_SMALL)
+    want = rows(scorecard_every(balls))
+    sink, ckpt = os.path.join(tmp_dir, "sc"), os.path.join(tmp_dir, "sc-ckpt")
+    replay(spark, balls, os.path.join(tmp_dir, "src"), 3,
+           lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
+                                              trigger={"availableNow": True},
+                                              watermark="1 hour", idle_ms=6 * 3600 * 1000))
+    got = spark.read.parquet(sink).select("match_id", "after_balls", "position", "batter",
+                                           "runs", "balls", "strike_rate")
+    assert rows(got) == want
+
