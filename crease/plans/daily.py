@@ -34,7 +34,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, out_base: str, run_date: str,
         [(run_date, files, processed, OUTPUT_NAME, "SUCCESS")],
         "run_date string, input_files long, deliveries_processed long, output_name string, "
         "status string")
-    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (report.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").json(f"{out_base}/reports"))
     return (spark.read.schema("input_files long, deliveries_processed long, output_name string, "
                               "status string, run_date string")

@@ -81,3 +81,14 @@ def start_live_stats(parsed_stream: DataFrame, sink_base: str, checkpoint: str,
 
 def read_live_table(spark: SparkSession, base: str) -> DataFrame | None:
     return read_latest(spark, base)
+
+
+def live_leaderboard(spark: SparkSession, base: str, top_n: int | None = None) -> DataFrame | None:
+    """Latest live table, most runs first (the sort the stream itself skips:
+    sorting a streaming aggregate is legal only in complete mode and would
+    re-sort the whole state every trigger)."""
+    t = read_latest(spark, base)
+    if t is None:
+        return None
+    t = t.orderBy(F.col("live_runs").desc(), F.col("batter_name").asc())
+    return t.limit(top_n) if top_n else t
