@@ -2,4 +2,6 @@
 from crease.functions.metrics import (  # noqa: F401
     count_if, is_blank, is_present, over_ball, phase, phase_order, rate, rate_or_zero,
 )
-from crease.functions.sequence import running_totals, sequential_ids  # noqa: F401
+from crease.functions.sequence import (  # noqa: F401
+    longest_group, numbered, running_totals, sequential_ids,
+)

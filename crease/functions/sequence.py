@@ -18,47 +18,94 @@ DEFAULT_BLOCK = 1 << 16
 
 def running_totals(df: DataFrame, keys: list[str], order_col: str,
                    measures: dict[str, Column], block_width: int = DEFAULT_BLOCK,
-                   with_totals: bool = False) -> DataFrame:
+                   with_totals: bool = False, group_mins: dict[str, Column] | None = None,
+                   next_col: str | None = None) -> DataFrame:
     """Add cumulative sums of ``measures`` per ``keys`` in ``order_col`` order.
 
-    With ``with_totals`` each row also gets ``<measure>_total``, the group's
-    grand total, from the same block-table window (no extra pass).
-
     ``order_col`` must be integral and unique within a group (a message
-    offset), so a block ``floor(order / block_width)`` holds at most
-    ``block_width`` rows of any group.  Rows up to and including the current
-    one are summed.  Keys are matched null-safely.
+    offset, a snapshot number), so a block ``floor(order / block_width)``
+    holds at most ``block_width`` rows of any group.  Rows up to and
+    including the current one are summed.  Keys are matched null-safely.
+
+    From the same block table (no extra pass) each row can also get:
+
+    * ``<measure>_total`` (``with_totals``): the group's grand total;
+    * ``group_mins``: the group-wide minimum of each given expression;
+    * ``next_col``: the next ``order_col`` value in the group (null for the
+      last row) -- a ``lead`` that crosses block boundaries.
 
-    Plan: one partial/final aggregate to (group, block) sums, a window over
+    Plan: one partial/final aggregate to (group, block) rows, a window over
     that block table (size <= rows / block_width per group), then one shuffle
     of the input on (group, block) shared by the join and the in-block window.
     """
+    group_mins = group_mins or {}
     cols = df.columns
     blk = "_rt_blk"
     b = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_width)))
     for name, expr in measures.items():
         b = b.withColumn(f"_rt_m_{name}", expr)
+    for name, expr in group_mins.items():
+        b = b.withColumn(f"_rt_g_{name}", expr)
     per_block = b.groupBy(*keys, blk).agg(
-        *[F.sum(f"_rt_m_{n}").alias(f"_rt_s_{n}") for n in measures])
-    wb = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        *[F.sum(f"_rt_m_{n}").alias(f"_rt_s_{n}") for n in measures],
+        *[F.min(f"_rt_g_{n}").alias(f"_rt_gm_{n}") for n in group_mins],
+        F.min(order_col).alias("_rt_first"))
+    ordered = Window.partitionBy(*keys).orderBy(blk)
+    wb = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    totals = ([F.sum(f"_rt_s_{n}").over(whole).alias(f"{n}_total") for n in measures]
-              if with_totals else [])
+    extra = []
+    if with_totals:
+        extra += [F.sum(f"_rt_s_{n}").over(whole).alias(f"{n}_total") for n in measures]
+    extra += [F.min(f"_rt_gm_{n}").over(whole).alias(n) for n in group_mins]
+    if next_col:
+        extra.append(F.lead("_rt_first").over(ordered).alias("_rt_next_blk"))
     base = per_block.select(
         *[F.col(k).alias(f"_rt_k_{i}") for i, k in enumerate(keys)],
         F.col(blk).alias("_rt_kb"),
         *[F.coalesce(F.sum(f"_rt_s_{n}").over(wb), F.lit(0)).alias(f"_rt_b_{n}") for n in measures],
-        *totals)
+        *extra)
     cond = reduce(lambda a, c: a & c,
                   [b[k].eqNullSafe(base[f"_rt_k_{i}"]) for i, k in enumerate(keys)],
                   b[blk] == base["_rt_kb"])
     joined = b.join(base, cond, "inner")
-    wr = (Window.partitionBy(*[b[k] for k in keys], b[blk]).orderBy(b[order_col])
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return joined.select(
-        *[b[c] for c in cols],
-        *[(F.col(f"_rt_b_{n}") + F.sum(b[f"_rt_m_{n}"]).over(wr)).alias(n) for n in measures],
-        *[F.col(f"{n}_total") for n in measures if with_totals])
+    in_block = Window.partitionBy(*[b[k] for k in keys], b[blk]).orderBy(b[order_col])
+    wr = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = [*[b[c] for c in cols],
+           *[(F.col(f"_rt_b_{n}") + F.sum(b[f"_rt_m_{n}"]).over(wr)).alias(n) for n in measures],
+           *[F.col(f"{n}_total") for n in measures if with_totals],
+           *[F.col(n) for n in group_mins]]
+    if next_col:
+        out.append(F.coalesce(F.lead(b[order_col]).over(in_block), F.col("_rt_next_blk"))
+                   .alias(next_col))
+    return joined.select(*out)
+
+
+def longest_group(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest group: one partial aggregate over the key columns."""
+    return int(df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+
+
+def numbered(df: DataFrame, keys: list[str], order_col: str, name: str,
+             block_width: int = DEFAULT_BLOCK, with_total: bool = False,
+             longest: int | None = None) -> DataFrame:
+    """1-based position of each row in its group by ``order_col`` (+ group size).
+
+    When every group fits in one block (``longest`` rows, measured by a cheap
+    pre-pass unless given) a plain ``row_number`` window is bounded by
+    ``block_width`` rows per group; otherwise the two-level scan of
+    :func:`running_totals` spreads the big groups over many tasks.
+    """
+    if longest is None:
+        longest = longest_group(df, keys)
+    if longest > block_width:
+        return running_totals(df, keys, order_col, {name: F.lit(1)}, block_width,
+                              with_totals=with_total)
+    out = df.withColumn(name, F.row_number().over(
+        Window.partitionBy(*keys).orderBy(order_col)).cast("long"))
+    if with_total:
+        out = out.withColumn(f"{name}_total",
+                             F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return out
 
 
 def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from crease import schema as S
 from crease.functions import is_present, over_ball, rate, rate_or_zero, running_totals
+from crease.functions.sequence import DEFAULT_BLOCK
+
+
+SNAP_BLOCK = 4096     # snapshots per block in the per-batter scan
 
 
 def _normalised(df: DataFrame) -> DataFrame:
@@ -39,8 +43,8 @@ def fall_of_wickets(df: DataFrame, block_width: int | None = None) -> DataFrame:
     w = (_normalised(df).filter(is_present("wicket"))
          .select("match_id", "kafka_offset", "batter", F.col("wicket").alias("kind"),
                  over_ball("over_num", "ball_num").alias("over_ball")))
-    kw = {"block_width": block_width} if block_width else {}
-    return running_totals(w, ["match_id"], "kafka_offset", {"wicket_no": F.lit(1)}, **kw)
+    return running_totals(w, ["match_id"], "kafka_offset", {"wicket_no": F.lit(1)},
+                          block_width=block_width or DEFAULT_BLOCK)
 
 
 def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.SCORECARD_TOP,
@@ -59,10 +63,11 @@ def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.
 
     Step 3 emits one row per batter and snapshot after the batter's first
     ball: O(batters per match x balls / every), linear for a bounded squad.
+    ``block_width`` (tests) sets the block size of both two-level scans.
     """
-    kw = {"block_width": block_width} if block_width else {}
-    d = running_totals(_normalised(df).select("match_id", "kafka_offset", "batter", "runs_off_bat"),
-                       ["match_id"], "kafka_offset", {"ball_no": F.lit(1)}, with_totals=True, **kw)
+    balls = _normalised(df).select("match_id", "kafka_offset", "batter", "runs_off_bat")
+    d = running_totals(balls, ["match_id"], "kafka_offset", {"ball_no": F.lit(1)},
+                       block_width=block_width or DEFAULT_BLOCK, with_totals=True)
     d = (d.withColumn("snap", F.floor((F.col("ball_no") + F.lit(every - 1)) / F.lit(every)))
          .withColumn("last_snap", F.floor(F.col("ball_no_total") / F.lit(every))))
     per_snap = (d.groupBy("match_id", "batter", "snap")
@@ -70,16 +75,28 @@ def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.
                      F.count(F.lit(1)).alias("s_balls"),
                      F.min("kafka_offset").alias("s_first"),
                      F.max("last_snap").alias("last_snap")))
+    # Per batter over its intervals: running sums, first appearance and the
+    # next interval it batted in.  A (match, batter) group has at most
+    # last_snap + 1 rows, so rows of ordinary matches take plain (bounded)
+    # windows and only rows of matches longer than SNAP_BLOCK snapshots take
+    # the two-level scan -- chosen per row inside one plan, no extra job.
+    limit = 0 if block_width else SNAP_BLOCK
     wb = Window.partitionBy("match_id", "batter").orderBy("snap")
     upto_now = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = (per_snap
-           .withColumn("runs", F.sum("s_runs").over(upto_now))
-           .withColumn("balls", F.sum("s_balls").over(upto_now))
-           .withColumn("first_offset", F.min("s_first").over(
-               wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-           .withColumn("next_snap", F.lead("snap").over(wb))
-           .withColumn("upto", F.least(F.coalesce(F.col("next_snap") - 1, F.col("last_snap")),
-                                       F.col("last_snap"))))
+    ordinary = (per_snap.filter(F.col("last_snap") < F.lit(limit))
+                .withColumn("runs", F.sum("s_runs").over(upto_now))
+                .withColumn("balls", F.sum("s_balls").over(upto_now))
+                .withColumn("first_offset", F.min("s_first").over(
+                    wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+                .withColumn("next_snap", F.lead("snap").over(wb)))
+    long_matches = running_totals(
+        per_snap.filter(F.col("last_snap") >= F.lit(limit)), ["match_id", "batter"], "snap",
+        {"runs": F.col("s_runs"), "balls": F.col("s_balls")},
+        block_width=block_width or SNAP_BLOCK, group_mins={"first_offset": F.col("s_first")},
+        next_col="next_snap")
+    cum = ordinary.unionByName(long_matches)
+    cum = cum.withColumn("upto", F.least(F.coalesce(F.col("next_snap") - 1, F.col("last_snap")),
+                                         F.col("last_snap")))
     held = (cum.filter(F.col("snap") <= F.col("upto"))
             .withColumn("snapshot", F.explode(F.sequence(F.col("snap"), F.col("upto"))))
             .repartition("match_id", "snapshot"))

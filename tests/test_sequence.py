@@ -14,18 +14,28 @@ def test_running_totals_many_blocks(spark):
         data.append((rnd.choice(["hot", "hot", "hot", "a", "b", None]), off, rnd.randint(0, 6)))
     df = spark.createDataFrame(data, "k string, off long, r int")
     out = running_totals(df, ["k"], "off", {"n": F.lit(1), "s": F.col("r")},
-                         block_width=16, with_totals=True)
-    got = {(r.k, r.off): (r.n, r.s, r.n_total, r.s_total) for r in out.collect()}
-    seen, tot = {}, {}
-    for k, _, r in data:
+                         block_width=16, with_totals=True,
+                         group_mins={"min_r": F.col("r") * 10 + F.col("off") % 7},
+                         next_col="next_off")
+    got = {(r.k, r.off): (r.n, r.s, r.n_total, r.s_total, r.min_r, r.next_off)
+           for r in out.collect()}
+    seen, tot, mins, nxt = {}, {}, {}, {}
+    for k, o, r in data:
         c = tot.setdefault(k, [0, 0])
         c[0] += 1
         c[1] += r
+        mins[k] = min(mins.get(k, 10**9), r * 10 + o % 7)
+    by_key = {}
+    for k, o, _ in sorted(data, key=lambda t: t[1]):
+        by_key.setdefault(k, []).append(o)
+    for offs in by_key.values():
+        for a, b in zip(offs, offs[1:] + [None]):
+            nxt[a] = b
     for k, o, r in sorted(data, key=lambda t: t[1]):
         c = seen.setdefault(k, [0, 0])
         c[0] += 1
         c[1] += r
-        assert got[(k, o)] == (c[0], c[1], tot[k][0], tot[k][1])
+        assert got[(k, o)] == (c[0], c[1], tot[k][0], tot[k][1], mins[k], nxt[o])
     assert len(got) == len(data)
 
 
