@@ -80,34 +80,6 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str,
     return joined.select(*out)
 
 
-def longest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the largest group: one partial aggregate over the key columns."""
-    return int(df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
-
-
-def numbered(df: DataFrame, keys: list[str], order_col: str, name: str,
-             block_width: int = DEFAULT_BLOCK, with_total: bool = False,
-             longest: int | None = None) -> DataFrame:
-    """1-based position of each row in its group by ``order_col`` (+ group size).
-
-    When every group fits in one block (``longest`` rows, measured by a cheap
-    pre-pass unless given) a plain ``row_number`` window is bounded by
-    ``block_width`` rows per group; otherwise the two-level scan of
-    :func:`running_totals` spreads the big groups over many tasks.
-    """
-    if longest is None:
-        longest = longest_group(df, keys)
-    if longest > block_width:
-        return running_totals(df, keys, order_col, {name: F.lit(1)}, block_width,
-                              with_totals=with_total)
-    out = df.withColumn(name, F.row_number().over(
-        Window.partitionBy(*keys).orderBy(order_col)).cast("long"))
-    if with_total:
-        out = out.withColumn(f"{name}_total",
-                             F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    return out
-
-
 def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
                    num_partitions: int | None = None) -> DataFrame:
     """Number rows 1..n in ``order_cols`` order (rows should be distinct on them).

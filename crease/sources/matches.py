@@ -167,7 +167,7 @@ def write_match_documents(deliveries: DataFrame, path: str) -> None:
     runs, extras, total, wicket), which defines the ball positions.
     """
     teams = (deliveries.groupBy("match_id")
-             .agg(F.array_sort(F.collect_set("batting_team")).alias("teams")))
+             .agg(F.sort_array(F.collect_set("batting_team")).alias("teams")))
     item = F.struct(
         F.col("ball_num").alias("k0"),
         F.coalesce(F.col("batter"), F.lit("")).alias("k1"),
@@ -183,7 +183,7 @@ def write_match_documents(deliveries: DataFrame, path: str) -> None:
                    F.array(F.struct(F.col("wicket").alias("kind")))).alias("wickets"),
         ).alias("d"))
     overs = (deliveries.groupBy("match_id", "venue", "batting_team", "over_num")
-             .agg(F.array_sort(F.collect_list(item)).alias("items")))
+             .agg(F.sort_array(F.collect_list(item)).alias("items")))
     docs = (overs.join(teams, "match_id")
             .select(F.struct(F.array(F.col("match_id")).alias("dates"),
                              F.col("venue").alias("venue"),
