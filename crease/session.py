@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "crease") -> SparkSession:
+                  app_name: str = "crease", driver_memory: str | None = None) -> SparkSession:
     """Session with the settings every job here relies on.
 
     * UTC session zone: match ids are dates cast from timestamps.
@@ -29,6 +29,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:   # local mode: the driver JVM is the executor (only before it starts)
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)

@@ -12,7 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from crease.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4, app_name="crease-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="crease-tests",
+                      driver_memory="4g")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
