@@ -49,16 +49,25 @@ def wh_match_summary(raw_df: DataFrame) -> DataFrame:
     """One row per match id (= first match date).
 
     Two documents with the same date merge; their venue is taken from the
-    last source file in path order (``max_by``), inside the same aggregate.
+    last source file in path order (``max_by``).  Counting happens in a hash
+    aggregate keyed by (match, venue[, file]) -- a string max has no
+    fixed-width buffer and would force a sort-based aggregate over every
+    ball -- and the venue is picked from that far smaller table.
     """
-    venue = (F.max_by("venue", "file_path") if "file_path" in raw_df.columns
-             else F.max("venue"))
-    return (raw_df.groupBy(F.col("match_id").alias("match_date"))
+    has_file = "file_path" in raw_df.columns
+    keys = ["match_id", "venue"] + (["file_path"] if has_file else [])
+    per_source = (raw_df.groupBy(*keys)
+                  .agg(F.sum("runs_off_bat").alias("runs"),
+                       count_if(is_present("wicket")).alias("wickets"),
+                       count_if(F.col("runs_off_bat") == 6).alias("sixes"),
+                       count_if(F.col("runs_off_bat") == 4).alias("fours")))
+    venue = F.max_by("venue", "file_path") if has_file else F.max("venue")
+    return (per_source.groupBy(F.col("match_id").alias("match_date"))
             .agg(venue.alias("venue"),
-                 F.sum("runs_off_bat").alias("total_runs"),
-                 count_if(is_present("wicket")).alias("total_wickets"),
-                 count_if(F.col("runs_off_bat") == 6).alias("total_sixes"),
-                 count_if(F.col("runs_off_bat") == 4).alias("total_fours")))
+                 F.sum("runs").alias("total_runs"),
+                 F.sum("wickets").alias("total_wickets"),
+                 F.sum("sixes").alias("total_sixes"),
+                 F.sum("fours").alias("total_fours")))
 
 
 def dim_batters(raw_df: DataFrame) -> DataFrame:
