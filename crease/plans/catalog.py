@@ -232,12 +232,18 @@ def q_parse_messages(spark, sf):
     return parse_messages(to_envelope(_E(spark, sf)))
 
 
+def _state_partitions(spark) -> int:
+    """State partitions for a new stream: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _live(spark, sf, mode: str) -> DataFrame:
     base = scratch_path(spark, f"live-{mode}")
     sink, ckpt = f"{base}/table", f"{base}/checkpoint"
     replay(spark, _E(spark, sf), f"{base}/source", STREAM_CHUNKS,
            lambda env: start_live_stats(parse_messages(env), sink, ckpt, mode=mode,
-                                        trigger={"availableNow": True}))
+                                        trigger={"availableNow": True},
+                                        partitions=_state_partitions(spark)))
     return read_live_table(spark, sink).select(*LIVE_COLUMNS)
 
 
@@ -266,7 +272,8 @@ def q_scorecard_every_30_stream(spark, sf):
     sink, ckpt = f"{base}/table", f"{base}/checkpoint"
     replay(spark, _E(spark, sf), f"{base}/source", STREAM_CHUNKS,
            lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
-                                              trigger={"availableNow": True}))
+                                              trigger={"availableNow": True},
+                                              partitions=_state_partitions(spark)))
     return spark.read.parquet(sink)
 
 

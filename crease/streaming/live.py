@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crease.functions import count_if, rate
-from crease.streaming.versioned import latest_version, merge_latest, read_latest, write_version
+from crease.streaming.versioned import (
+    latest_version, merge_latest, read_latest, state_partitions, write_version,
+)
 
 LIVE_COLUMNS = ["batter_name", "live_runs", "live_balls", "live_fours", "live_sixes", "live_sr"]
 
@@ -67,16 +69,20 @@ def upsert_sink(base: str):
 
 def start_live_stats(parsed_stream: DataFrame, sink_base: str, checkpoint: str,
                      mode: str = "complete", trigger: dict | None = None,
-                     jdbc: dict | None = None) -> StreamingQuery:
-    """Start the live-stats query; ``trigger`` defaults to a 10 second interval."""
+                     jdbc: dict | None = None, partitions: int | None = None) -> StreamingQuery:
+    """Start the live-stats query; ``trigger`` defaults to a 10 second interval.
+
+    ``partitions`` fixes the state partition count at the first start.
+    """
     trigger = trigger or {"processingTime": "10 seconds"}
     sink = complete_sink(sink_base, jdbc) if mode == "complete" else upsert_sink(sink_base)
-    return (live_stats(parsed_stream).writeStream
-            .outputMode(mode)
-            .foreachBatch(sink)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger)
-            .start())
+    with state_partitions(parsed_stream.sparkSession, partitions):
+        return (live_stats(parsed_stream).writeStream
+                .outputMode(mode)
+                .foreachBatch(sink)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**trigger)
+                .start())
 
 
 def read_live_table(spark: SparkSession, base: str) -> DataFrame | None:

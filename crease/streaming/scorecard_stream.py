@@ -22,13 +22,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from crease import schema as S
 from crease.functions import rate
+from crease.streaming.versioned import state_partitions
 
 OUTPUT_SCHEMA = ("match_id string, after_balls long, position long, batter string, "
                  "runs long, balls long")
 STATE_SCHEMA = "balls long, batters string"
 
 
-def _scorecard_fn(every: int, top: int, idle_ms: int | None):
+def _scorecard_fn(every: int, top: int, idle_ms: int | None, unknown: str = S.UNKNOWN):
+    # The returned closure runs on Python workers.  It is shipped by value and
+    # must reference no ``crease`` module (those would be imported by name on
+    # the worker): constants come in through the closure.
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:                 # match idle past the watermark: drop its state
             state.remove()
@@ -41,7 +45,7 @@ def _scorecard_fn(every: int, top: int, idle_ms: int | None):
             prev_balls, blob = state.get
             prev = json.loads(blob)
         pdf = pdf.sort_values("kafka_offset", kind="stable")
-        batter = pdf["batter"].fillna(S.UNKNOWN).to_numpy(dtype=object)
+        batter = pdf["batter"].fillna(unknown).to_numpy(dtype=object)
         runs = pdf["runs_off_bat"].fillna(0).to_numpy(dtype=np.int64)
         offs = pdf["kafka_offset"].to_numpy(dtype=np.int64)
         n = len(pdf)
@@ -115,15 +119,18 @@ def scorecard_stream(messages: DataFrame, every: int = S.SCORECARD_EVERY,
 
 def start_scorecard_stream(messages: DataFrame, sink_path: str, checkpoint: str,
                            trigger: dict | None = None, watermark: str | None = None,
-                           idle_ms: int | None = None) -> StreamingQuery:
+                           idle_ms: int | None = None,
+                           partitions: int | None = None) -> StreamingQuery:
     """Append snapshots to a Parquet table (exactly-once file sink).
 
     One call receives one match's rows of one micro-batch, so bound the
     micro-batch at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+    ``partitions`` fixes the state partition count at the first start.
     """
     trigger = trigger or {"processingTime": "10 seconds"}
-    return (scorecard_stream(messages, watermark=watermark, idle_ms=idle_ms).writeStream
-            .outputMode("append").format("parquet")
-            .option("path", sink_path)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())
+    with state_partitions(messages.sparkSession, partitions):
+        return (scorecard_stream(messages, watermark=watermark, idle_ms=idle_ms).writeStream
+                .outputMode("append").format("parquet")
+                .option("path", sink_path)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**trigger).start())

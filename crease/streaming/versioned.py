@@ -7,6 +7,8 @@ they follow the pointer, which moves only after the version is complete.
 """
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +48,24 @@ def merge_latest(previous: DataFrame | None, changes: DataFrame, keys: list[str]
     packed = F.struct(*[F.col(c) for c in others])
     return (rows.groupBy(*keys).agg(F.max_by(packed, F.col(version_col)).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]))
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Fix a new stream's state partition count (``None``: keep the session's).
+
+    Stateful operators take ``spark.sql.shuffle.partitions`` at a query's
+    first start and keep it in the checkpoint for good, so it is chosen per
+    stream (from the key count and cluster size) rather than inherited.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
