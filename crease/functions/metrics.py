@@ -36,12 +36,6 @@ def is_present(col) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-def is_blank(col) -> Column:
-    """Null, empty or whitespace only."""
-    c = _c(col)
-    return c.isNull() | (F.trim(c) == F.lit(""))
-
-
 def phase(over, labels=S.PHASE_LONG, bounded: bool = False) -> Column:
     """Phase of a 0-based over; null when over is null (or outside 0..19 if bounded)."""
     o = _c(over)

@@ -30,11 +30,6 @@ def clean(df: DataFrame) -> DataFrame:
     return normalise_wicket(df.filter(valid_delivery()))
 
 
-def with_match_date(df: DataFrame) -> DataFrame:
-    """``match_date`` from the ``yyyy-MM-dd`` match id; unparseable -> null."""
-    return df.withColumn("match_date", F.expr("try_to_date(match_id, 'yyyy-MM-dd')"))
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """Null count per key column, one global aggregate (partial per partition)."""
     return df.agg(count_if(F.col("batter").isNull()).alias("batter_nulls"),

@@ -1,7 +1,6 @@
 """Session construction and shared-storage scratch paths."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,19 +61,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/crease-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need an OS path."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
