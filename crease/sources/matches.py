@@ -182,7 +182,10 @@ def write_match_documents(deliveries: DataFrame, path: str) -> None:
             F.when(F.col("wicket").isNotNull(),
                    F.array(F.struct(F.col("wicket").alias("kind")))).alias("wickets"),
         ).alias("d"))
-    overs = (deliveries.groupBy("match_id", "venue", "batting_team", "over_num")
+    # collect_list keeps every value, so a map-side partial aggregate saves
+    # nothing: shuffle by the document key first and build lists in parallel
+    keys = ["match_id", "venue", "batting_team", "over_num"]
+    overs = (deliveries.repartition(*keys).groupBy(*keys)
              .agg(F.sort_array(F.collect_list(item)).alias("items")))
     docs = (overs.join(teams, "match_id")
             .select(F.struct(F.array(F.col("match_id")).alias("dates"),
