@@ -65,7 +65,8 @@ def cmd_warehouse(spark, a):
 
 def cmd_lake(spark, a):
     from crease.operators.lake import LakeTable, lake_quick_stats, lake_rows
-    lake = LakeTable(spark, a.table).create_if_absent()
+    lake = LakeTable(spark, a.table, load_key="match_id" if a.idempotent else None)
+    lake.create_if_absent()
     rows = lake_rows(_docs(spark, a))
     if a.add_phase:
         lake.add_column("phase", "string")

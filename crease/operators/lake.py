@@ -59,10 +59,17 @@ def lake_rows(deliveries: DataFrame) -> DataFrame:
 class LakeTable:
     """A path-based lake table with a commit log and schema versions."""
 
-    def __init__(self, spark: SparkSession, path: str, partition_col: str = S.LAKE_PARTITION):
+    def __init__(self, spark: SparkSession, path: str, partition_col: str = S.LAKE_PARTITION,
+                 load_key: str | None = None):
+        """``load_key``: source key column (file path, match id) whose loaded
+        values every append records, so :meth:`append_new` checks new rows
+        against that small key table instead of scanning the data.  Open a
+        keyed table with the same ``load_key`` every time."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_col = partition_col
+        self.load_key = load_key
+        self.keys_path = f"{self.path}/_keys"
         self.data_path = f"{self.path}/data"
         self.commits_path = f"{self.path}/_commits"
         self.schemas_path = f"{self.path}/_schemas"
@@ -171,19 +178,36 @@ class LakeTable:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("load_id", self.partition_col).parquet(self.data_path))
         added = int(obs.get["n"])
+        if self.load_key:
+            # keys of this load, read back from its own partition only; like
+            # the data they count only once the commit below is recorded
+            (self.spark.read.schema(self.current_schema()).parquet(self.data_path)
+             .filter(F.col("load_id") == F.lit(seq)).select(self.load_key).distinct()
+             .withColumn("load_id", F.lit(seq).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("load_id").parquet(self.keys_path))
         m = self._load_meta()
         self._write_commit(seq, "append", added, total + added, m["schema_id"])
         m["seq"], m["total"] = seq, total + added
         return added
 
-    def append_new(self, rows: DataFrame, key: str) -> int:
+    def append_new(self, rows: DataFrame, key: str | None = None) -> int:
         """Idempotent append: drop incoming rows whose ``key`` is already loaded.
 
-        Left-anti join against the distinct keys in the table (a one-column
-        scan); AQE broadcasts the key side when it is small at run time.
+        Left-anti join against the loaded keys: the table's key record when
+        ``key`` is its ``load_key`` (size = loads x sources, not rows), else the
+        distinct keys of the data (a one-column scan).  AQE broadcasts the key
+        side when it is small at run time.
         """
-        if self._last_commit()[0] > 0:          # at least one data commit
-            loaded = self.scan().select(key).distinct()
+        key = key or self.load_key
+        seq = self._last_commit()[0]
+        if seq > 0:                               # at least one data commit
+            if key == self.load_key:
+                loaded = (self.spark.read.schema(f"{key} string, load_id long")
+                          .parquet(self.keys_path)
+                          .filter(F.col("load_id") <= F.lit(seq)).select(key))
+            else:
+                loaded = self.scan().select(key).distinct()
             rows = rows.join(loaded, rows[key].eqNullSafe(loaded[key]), "left_anti")
         return self.append(rows)
 

@@ -168,7 +168,7 @@ def q_lake_teams(spark, sf):
 
 
 def q_lake_append_idempotent(spark, sf):
-    lake = LakeTable(spark, scratch_path(spark, "lake")).create()
+    lake = LakeTable(spark, scratch_path(spark, "lake"), load_key="match_id").create()
     rows = lake_rows(_L(spark, sf))
     lake.append_new(rows, "match_id")
     lake.append_new(rows, "match_id")      # rerun: nothing new

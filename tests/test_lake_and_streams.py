@@ -54,11 +54,18 @@ def test_lake_interrupted_append_is_invisible_and_retry_replaces_it(spark, tmp_d
 
 
 def test_lake_idempotent_append(spark, tmp_dir):
-    lake = LakeTable(spark, os.path.join(tmp_dir, "lake")).create()
     src = lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
-    first = lake.append_new(src, "match_id")
-    assert lake.append_new(src, "match_id") == 0
-    assert lake.scan().count() == first == src.count()
+    for keyed in (False, True):                        # data scan / key table
+        path = os.path.join(tmp_dir, f"lake-{keyed}")
+        lake = LakeTable(spark, path, load_key="match_id" if keyed else None).create()
+        half = src.filter(F.col("match_id") < "1995")
+        first = lake.append_new(half, "match_id")
+        assert lake.append_new(src, "match_id") == src.count() - first
+        assert lake.append_new(src, "match_id") == 0
+        assert lake.scan().count() == src.count()
+        if keyed:
+            keys = spark.read.parquet(os.path.join(path, "_keys"))
+            assert keys.count() == src.select("match_id").distinct().count()
 
 
 def test_bowler_forms_agree(spark):
