@@ -41,29 +41,37 @@ def _sink_rows(batch_df: DataFrame, batch_id: int) -> DataFrame:
 def complete_sink(base: str, jdbc: dict | None = None):
     """foreachBatch callback for complete mode: the batch *is* the new table."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        rows = _sink_rows(batch_df, batch_id)
-        if jdbc:
-            (rows.write.mode("overwrite").option("truncate", "true")
-             .jdbc(jdbc["url"], jdbc.get("table", "live_batter_stats"),
-                   properties=jdbc.get("properties", {})))
-        else:
-            write_version(rows, base, batch_id)
+        batch_df.persist()          # the guard and the write would each run the batch
+        try:
+            if batch_df.isEmpty():
+                return
+            rows = _sink_rows(batch_df, batch_id)
+            if jdbc:
+                (rows.write.mode("overwrite").option("truncate", "true")
+                 .jdbc(jdbc["url"], jdbc.get("table", "live_batter_stats"),
+                       properties=jdbc.get("properties", {})))
+            else:
+                write_version(rows, base, batch_id)
+        finally:
+            batch_df.unpersist()
     return sink
 
 
 def upsert_sink(base: str):
     """foreachBatch callback for update mode: merge changed keys into the last version."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
         spark = batch_df.sparkSession
         if latest_version(spark, base) == batch_id:   # retried batch already published
             return
-        merged = merge_latest(read_latest(spark, base), _sink_rows(batch_df, batch_id),
-                              ["batter_name"])
-        write_version(merged, base, batch_id)
+        batch_df.persist()
+        try:
+            if batch_df.isEmpty():
+                return
+            merged = merge_latest(read_latest(spark, base), _sink_rows(batch_df, batch_id),
+                                  ["batter_name"])
+            write_version(merged, base, batch_id)
+        finally:
+            batch_df.unpersist()
     return sink
 
 
