@@ -36,6 +36,15 @@ def run_daily(spark: SparkSession, raw: DataFrame, out_base: str, run_date: str,
         "status string")
     (report.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").json(f"{out_base}/reports"))
+    # the same report as a plain-text file per run date
+    text = F.format_string(
+        "Daily report %s\nInput files          : %s\nDeliveries processed : %,d\n"
+        "Output               : %s\nStatus               : %s",
+        "run_date", F.coalesce(F.col("input_files").cast("string"), F.lit("-")),
+        "deliveries_processed", "output_name", "status")
+    (report.select("run_date", text.alias("value")).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").text(f"{out_base}/reports_text"))
     return (spark.read.schema("input_files long, deliveries_processed long, output_name string, "
                               "status string, run_date string")
             .json(f"{out_base}/reports").filter(F.col("run_date") == run_date))

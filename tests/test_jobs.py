@@ -44,6 +44,9 @@ def test_daily_job_reruns_replace_their_date(spark, tmp_dir):
     assert rep.status == "SUCCESS" and rep.input_files == 1
     assert rep.deliveries_processed == raw.filter(F.col("runs_off_bat").between(0, 6)).count()
     assert spark.read.parquet(os.path.join(out, "daily_top_batters")).count() == 10
+    text = spark.read.text(os.path.join(out, "reports_text", "run_date=2024-03-22")).collect()
+    assert text[0].value == "Daily report 2024-03-22" and "SUCCESS" in text[-1].value
+    assert any(f"{rep.deliveries_processed:,}" in r.value for r in text)
 
 
 def test_versioned_table_and_keyed_merge(spark, tmp_dir):
