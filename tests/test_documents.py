@@ -164,3 +164,8 @@ def test_season_job(spark, docs_dir, tmp_dir):
     assert spark.read.parquet(os.path.join(out, "top_bowlers")).count() == 0   # nobody has 60 balls
     capped = run_season(spark, docs_dir, os.path.join(tmp_dir, "season2"), max_matches=1)
     assert capped["rows_before"] == 6                                         # m1.json only
+    for stage in ("cache", None):
+        other = run_season(spark, docs_dir, os.path.join(tmp_dir, f"season-{stage}"), stage=stage)
+        assert other == audit
+        assert rows(read_top_batters_csv(
+            spark, os.path.join(tmp_dir, f"season-{stage}", "top_batters_csv"))) == top
