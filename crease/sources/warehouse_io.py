@@ -7,6 +7,8 @@ path where each table is a Parquet folder.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,9 @@ def refresh_tables(tables: dict[str, DataFrame], target: dict) -> None:
     JDBC truncate + insert is per table (not one transaction across tables);
     for an atomic swap write staging tables and rename them in one
     transaction on the database side.  ``numPartitions`` in the target's
-    properties caps concurrent connections (Spark coalesces to it).
+    properties caps concurrent connections per table (Spark coalesces to it).
     """
-    for name, df in tables.items():
+    def write(name: str, df: DataFrame) -> None:
         out = df.withColumn("updated_at", F.current_timestamp())
         if "jdbc" in target:
             w = out.write.mode("overwrite").option("truncate", "true")
@@ -46,6 +48,12 @@ def refresh_tables(tables: dict[str, DataFrame], target: dict) -> None:
         else:
             out.write.mode("overwrite").parquet(f"{target['path'].rstrip('/')}/{name}")
 
+    # the tables are small aggregates: submit their jobs together so the
+    # cluster runs them side by side instead of one idle-heavy job at a time
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        for f in [pool.submit(write, n, d) for n, d in tables.items()]:
+            f.result()
+
 
 def read_table(spark: SparkSession, target: dict, name: str) -> DataFrame:
     if "jdbc" in target:
