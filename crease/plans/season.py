@@ -12,6 +12,7 @@ single-file CSV copy is written from at most ``top_n`` rows.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,14 +39,19 @@ def read_top_batters_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaderboard_outputs(clean_df: DataFrame, out_base: str, top_n: int = S.TOP_N) -> None:
+    """Write the result tables; their (independent) jobs are submitted together."""
     out = out_base.rstrip("/")
-    batters = top_batters(clean_df, top_n)
-    batters.write.mode("overwrite").parquet(f"{out}/top_batters")
-    write_csv(batters, f"{out}/top_batters_csv")
-    bowlers = top_bowlers(clean_df, top_n)
-    bowlers.write.mode("overwrite").parquet(f"{out}/top_bowlers")
-    write_csv(bowlers, f"{out}/top_bowlers_csv")
-    phase_stats(clean_df).write.mode("overwrite").parquet(f"{out}/phase_stats")
+    batters, bowlers = top_batters(clean_df, top_n), top_bowlers(clean_df, top_n)
+    writes = [
+        lambda: batters.write.mode("overwrite").parquet(f"{out}/top_batters"),
+        lambda: write_csv(batters, f"{out}/top_batters_csv"),
+        lambda: bowlers.write.mode("overwrite").parquet(f"{out}/top_bowlers"),
+        lambda: write_csv(bowlers, f"{out}/top_bowlers_csv"),
+        lambda: phase_stats(clean_df).write.mode("overwrite").parquet(f"{out}/phase_stats"),
+    ]
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(w) for w in writes]:
+            f.result()
 
 
 def run_season(spark: SparkSession, docs_path: str, out_base: str, multi_line: bool = True,
