@@ -9,6 +9,9 @@
     python -m crease live       --messages DIR|--kafka SERVERS --topic T --out DIR --checkpoint DIR
                                 [--mode complete|update] [--once]
     python -m crease scorecard-stream  (same source options) --out DIR --checkpoint DIR [--once]
+        (live / scorecard-stream: --max-per-trigger N bounds each micro-batch.  Files
+         are taken in modification-time order, so for the order-sensitive
+         scorecard publish files in offset order, one append per range.)
 
 Documents are read as one JSON object per file unless ``--json-lines``.
 Message files are Parquet files of the message-bus envelope.
@@ -35,10 +38,14 @@ def _docs(spark, a):
 
 def _messages(spark, a, streaming: bool):
     from crease.sources.messages import read_messages
+    cap = getattr(a, "max_per_trigger", None)
     if a.kafka:
-        return read_messages(spark, streaming=streaming, fmt="kafka",
-                             **{"kafka.bootstrap.servers": a.kafka, "subscribe": a.topic})
-    return read_messages(spark, streaming=streaming, fmt="parquet", path=a.messages)
+        opts = {"kafka.bootstrap.servers": a.kafka, "subscribe": a.topic}
+        if streaming and cap:
+            opts["maxOffsetsPerTrigger"] = str(cap)
+        return read_messages(spark, streaming=streaming, fmt="kafka", **opts)
+    opts = {"maxFilesPerTrigger": str(cap)} if streaming and cap else {}
+    return read_messages(spark, streaming=streaming, fmt="parquet", path=a.messages, **opts)
 
 
 def cmd_season(spark, a):
@@ -183,6 +190,8 @@ def parser() -> argparse.ArgumentParser:
         c = msg_cmd(name, fn)
         c.add_argument("--checkpoint", required=True)
         c.add_argument("--once", action="store_true")
+        c.add_argument("--max-per-trigger", type=int,
+                       help="bound each micro-batch: offsets (kafka) or files")
         if name == "live":
             c.add_argument("--mode", choices=["complete", "update"], default="complete")
     return p

@@ -54,9 +54,12 @@ def test_message_commands(spark, event_docs, tmp_dir):
     final = spark.read.parquet(f"{tmp_dir}/cards/final")
     assert final.groupBy().sum("balls").first()[0] == spark.read.parquet(msgs).count()
     main(["live", "--messages", msgs, "--out", f"{tmp_dir}/live",
-          "--checkpoint", f"{tmp_dir}/live-ckpt", "--once"], spark)
+          "--checkpoint", f"{tmp_dir}/live-ckpt", "--once", "--max-per-trigger", "1"], spark)
     from crease.streaming.live import read_live_table
-    assert read_live_table(spark, f"{tmp_dir}/live").count() > 0
+    live = read_live_table(spark, f"{tmp_dir}/live")
+    n_files = len([f for f in os.listdir(msgs) if f.endswith(".parquet")])
+    assert live.count() > 0
+    assert live.agg({"batch_id": "max"}).first()[0] == n_files - 1   # one file per batch
     main(["scorecard-stream", "--messages", msgs, "--out", f"{tmp_dir}/sc",
           "--checkpoint", f"{tmp_dir}/sc-ckpt", "--once"], spark)
     got = spark.read.parquet(f"{tmp_dir}/sc").count()
