@@ -448,6 +448,12 @@ _EVERY30 = (_with(_E_CTE, _BALLS,
 
 _DOC_GROUPS = "SELECT DISTINCT match_id, venue, batting_team, over_num FROM L"
 
+# the lake schema after the evolution step: 14 fields plus the added ``phase``
+_EVOLVED_FIELDS = list(S.LAKE_FIELDS) + [(len(S.LAKE_FIELDS) + 1, "phase", "string")]
+_COLUMNS = ("SELECT CAST(field_id AS INTEGER) AS field_id, name, type FROM (VALUES "
+            + ", ".join(f"({i}, '{n}', '{t}')" for i, n, t in _EVOLVED_FIELDS)
+            + ") AS t(field_id, name, type)")
+
 ORACLE: dict[str, str] = {
     "clean_deliveries": _with(_L_CTE, _C_CTE) + "SELECT * FROM C",
     "null_profile": _with(_L_CTE) + (
@@ -511,6 +517,7 @@ ORACLE: dict[str, str] = {
         "cast(sum(runs_off_bat) AS BIGINT) AS runs FROM L UNION ALL "
         f"SELECT CAST(2 AS BIGINT), {_phase_case(S.PHASE_SHORT)} AS phase, count(*), "
         "cast(sum(runs_off_bat) AS BIGINT) FROM L GROUP BY 2"),
+    "table_columns": _COLUMNS,
     "snapshot_history": _with(_L_CTE) + (
         "SELECT CAST(1 AS BIGINT) AS sequence_number, 'append' AS operation, "
         "count(*) AS added_records, count(*) AS total_records, CAST(0 AS INTEGER) AS schema_id FROM L "
