@@ -2,8 +2,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
-
 from crease.schema import ENVELOPE
 from crease.sources.messages import encode_messages, parse_messages
 from tests.conftest import rows
