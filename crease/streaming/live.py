@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crease.functions import count_if, rate
 from crease.streaming.versioned import (
-    latest_version, merge_latest, read_latest, state_partitions, write_version,
+    ensure_pointer, latest_version, merge_latest, read_latest, state_partitions, write_version,
 )
 
 LIVE_COLUMNS = ["batter_name", "live_runs", "live_balls", "live_fours", "live_sixes", "live_sr"]
@@ -84,6 +84,8 @@ def start_live_stats(parsed_stream: DataFrame, sink_base: str, checkpoint: str,
     """
     trigger = trigger or {"processingTime": "10 seconds"}
     sink = complete_sink(sink_base, jdbc) if mode == "complete" else upsert_sink(sink_base)
+    if not jdbc:
+        ensure_pointer(parsed_stream.sparkSession, sink_base)
     with state_partitions(parsed_stream.sparkSession, partitions):
         return (live_stats(parsed_stream).writeStream
                 .outputMode(mode)

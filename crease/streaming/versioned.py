@@ -20,6 +20,12 @@ def write_version(df: DataFrame, base: str, version: int) -> None:
      .write.mode("overwrite").json(f"{base}/_latest"))
 
 
+def ensure_pointer(spark: SparkSession, base: str) -> None:
+    """Create the pointer folder if absent (an empty append changes nothing
+    when it exists), so later reads of it never fail on a missing path."""
+    spark.createDataFrame([], "version long").write.mode("append").json(f"{base}/_latest")
+
+
 def latest_version(spark: SparkSession, base: str) -> int | None:
     try:
         row = spark.read.schema("version long").json(f"{base}/_latest").first()
