@@ -3,10 +3,42 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crease.llm.common import read_table
+from crease.llm.chat import conversation_digests, format_conversations
+from crease.llm.common import read_table, stage
+from crease.llm.html_extract import extract
+from crease.llm.line_dedup import drop_frequent_lines
+from crease.llm.mixing import mix_report
 from crease.llm.packing import pack_documents
 from crease.llm.quality import judge
+from crease.llm.url_filter import judge_urls
+from crease.llm.warc import archive_and_index
+
+
+def op1_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(read_table(spark, sf_dir, "documents"))
+
+
+def op2_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no capture times: a second a page, from a fixed day on
+    captured = F.date_format(F.timestamp_seconds(
+        F.lit(1704067200) + F.coalesce(F.pmod(F.col("page_id"), F.lit(31536000)), F.lit(0))),
+        "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return archive_and_index(read_table(spark, sf_dir, "pages"), captured).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"""SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(col1 AS BIGINT) AS turn, col2 AS role,
+                          '{said}' AS text FROM VALUES (0, 'user'), (1, 'assistant')""")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_digests(stage(format_conversations(turns.unionByName(extra)), "chat-windows"))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,12 +46,28 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_frequent_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_sainte_lague_mixing": op1_sainte_lague_mixing,
+    "op2_warc_index_merge": op2_warc_index_merge,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_chat_windows": op4_chat_windows,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_line_dedup": op6_line_dedup,
+    "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -48,3 +96,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT 10 * n_symbols > n_words AND NOT 2 * n_dup_lines > n_lines
        AND word_chars BETWEEN 2 * n_words AND 15 * n_words AS kept
 FROM B"""
+
+
+ORACLE["op6_line_dedup"] = r"""
+WITH D AS (SELECT row_number() OVER () AS rid, doc_id,
+                  string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+L AS (SELECT rid, doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM D),
+K AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM L),
+F AS (SELECT k FROM K WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT rid) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE F.k IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE F.k IS NULL), ''))
+       AS kept_sha256
+FROM K LEFT JOIN F ON F.k = K.k GROUP BY rid, doc_id"""
+
+# host and path as the contract has them; every rule on every url
+ORACLE["op9_url_filters"] = r"""
+WITH U AS (SELECT page_id, coalesce(url, '') AS u, instr(coalesce(url, ''), '://') AS p0 FROM pages),
+P AS (SELECT page_id, CASE WHEN p0 > 0 THEN
+        regexp_extract(substr(u, p0 + 3), '^[^/?#]*') ELSE '' END AS raw_host,
+        CASE WHEN p0 > 0 THEN regexp_extract(substr(u, p0 + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+        CASE WHEN p0 > 0 THEN translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+        ELSE '' END AS low FROM U),
+H AS (SELECT *, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+      FROM P),
+R(rule, rhost, rpath, action) AS (VALUES ('net/', 'net', '/', 'block'),
+  ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+F AS (SELECT page_id, host, path, low, rule, action, row_number() OVER (
+        PARTITION BY page_id, host, path, low ORDER BY length(rule) DESC, rule) AS rn
+      FROM H LEFT JOIN R ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN regexp_matches(low,
+  '(^|[^a-z0-9])(spam[^a-z0-9]+farm|cheap[^a-z0-9]+pills|casino|adult|xxx|porn|viagra|free[^a-z0-9]+download|click[^a-z0-9]+bait|doubleclick)($|[^a-z0-9])')
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM F WHERE rn = 1"""
+
+
+ORACLE["op2_warc_index_merge"] = r"""
+WITH P AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+K AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS last, count(*) OVER (PARTITION BY d) AS copies FROM P),
+R AS (SELECT *, n >= 1000 AND copies > 1 AND page_id IS DISTINCT FROM last AND last IS NOT NULL AS revisit
+      FROM K)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN last END AS refers_to FROM R"""
