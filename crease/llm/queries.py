@@ -10,6 +10,7 @@ from crease.llm.common import read_table, stage
 from crease.llm.html_extract import extract
 from crease.llm.line_dedup import drop_frequent_lines
 from crease.llm.mixing import mix_report
+from crease.llm.near_dup import near_classes
 from crease.llm.packing import pack_documents
 from crease.llm.quality import judge
 from crease.llm.url_filter import judge_urls
@@ -52,6 +53,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op4_chat_windows": op4_chat_windows,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_bag_minhash": op7_bag_minhash,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
