@@ -5,6 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crease.llm.bm25 import top_k
 from crease.llm.chat import conversation_digests, format_conversations
 from crease.llm.common import read_table, stage
 from crease.llm.html_extract import extract
@@ -57,6 +58,10 @@ def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op8_bm25_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_bag_minhash": op7_bag_minhash,
+    "op8_bm25_block_max_wand": op8_bm25_block_max_wand,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -146,3 +152,20 @@ R AS (SELECT *, n >= 1000 AND copies > 1 AND page_id IS DISTINCT FROM last AND l
 SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN revisit THEN last END AS refers_to FROM R"""
+
+# every query against every document: all shared words, all scores, then the ten best
+ORACLE["op8_bm25_block_max_wand"] = r"""
+WITH D AS (SELECT row_number() OVER () AS rid, doc_id, text,
+                  regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+S AS (SELECT count(*) AS n, sum(len(ws)) / count(*) AS mean FROM D),
+P AS (SELECT rid, doc_id, w, count(*) AS tf, any_value(len) AS len
+      FROM (SELECT rid, doc_id, unnest(ws) AS w, len(ws) AS len FROM D) GROUP BY rid, doc_id, w),
+F AS (SELECT w, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM P, S GROUP BY w),
+Q AS (SELECT min(rid) AS rid FROM D WHERE doc_id % 20 = 0 GROUP BY doc_id, text),
+M AS (SELECT a.doc_id AS query_id, a.rid AS q, b.rid, b.doc_id,
+             round(sum(a.tf * idf * b.tf * 2.2 / (b.tf + 1.2 * (0.25 + 0.75 * b.len / mean))), 6) AS score
+      FROM Q JOIN P a ON a.rid = Q.rid JOIN F ON F.w = a.w JOIN P b ON b.w = a.w, S
+      GROUP BY a.doc_id, a.rid, b.rid, b.doc_id),
+R AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+      FROM M)
+SELECT query_id, doc_id, score, rank FROM R WHERE rank <= 10"""
