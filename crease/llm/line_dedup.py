@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crease.llm.common import delete_path, free_name, ship
 from crease.session import scratch_path
@@ -185,5 +186,6 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: in
                 [*columns, n_lines, n_dropped])
 
     joined = keyed.join(lost, [k1, k2], "left").select(*[keyed[c] for c in columns], gone)
-    schema = docs.schema.add(n_lines, "long").add(n_dropped, "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField(n_lines, T.LongType()),
+                           T.StructField(n_dropped, T.LongType())])
     return joined.mapInArrow(strip, schema)
