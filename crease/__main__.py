@@ -1,6 +1,6 @@
 """Command line for the batch and streaming jobs.
 
-    python -m crease season     --docs DIR --out DIR [--max-matches N] [--json-lines]
+    python -m crease season     --docs DIR --out DIR [--json-lines]
     python -m crease daily      --docs DIR --out DIR --run-date YYYY-MM-DD
     python -m crease warehouse  --docs DIR (--out DIR | --jdbc URL [--user U --password P])
     python -m crease lake       --docs DIR --table DIR [--add-phase] [--idempotent]
@@ -29,11 +29,12 @@ from crease.functions import phase
 
 
 def _docs(spark, a):
-    from crease.sources.matches import flatten, limit_matches, read_match_documents
-    docs = read_match_documents(spark, a.docs, multi_line=not a.json_lines)
-    if getattr(a, "max_matches", None):
-        docs = limit_matches(docs, a.max_matches)
-    return flatten(docs)
+    from crease.sources.matches import flatten, read_match_documents
+    return flatten(read_match_documents(spark, a.docs, multi_line=not a.json_lines, glob=_glob(a)))
+
+
+def _glob(a) -> str | None:
+    return None if a.json_lines else "*.json"
 
 
 def _messages(spark, a, streaming: bool):
@@ -50,13 +51,13 @@ def _messages(spark, a, streaming: bool):
 
 def cmd_season(spark, a):
     from crease.plans.season import run_season
-    return run_season(spark, a.docs, a.out, multi_line=not a.json_lines,
-                      max_matches=a.max_matches)
+    return run_season(spark, a.docs, a.out, multi_line=not a.json_lines, glob=_glob(a))
 
 
 def cmd_daily(spark, a):
     from crease.plans.daily import run_daily
-    rep = run_daily(spark, _docs(spark, a), a.out, a.run_date, inputs_path=a.docs)
+    rep = run_daily(spark, _docs(spark, a), a.out, a.run_date, inputs_path=a.docs,
+                    inputs_glob=_glob(a) or "*")
     return rep.first().asDict()
 
 
@@ -71,33 +72,35 @@ def cmd_warehouse(spark, a):
 
 
 def cmd_lake(spark, a):
-    from crease.operators.lake import LakeTable, lake_quick_stats, lake_rows
-    lake = LakeTable(spark, a.table, load_key="match_id" if a.idempotent else None)
-    lake.create_if_absent()
-    rows = lake_rows(_docs(spark, a))
+    from crease.operators import lake as LK
+    rows = LK.lake_rows(_docs(spark, a))
     if a.add_phase:
-        lake.add_column("phase", "string")
         rows = rows.withColumn("phase", phase("over_num", S.PHASE_SHORT))
-    added = lake.append_new(rows, "match_id") if a.idempotent else lake.append(rows)
-    stats = lake_quick_stats(lake.scan()).first().asDict()
-    return {"added": added, **stats,
-            "snapshots": [r.asDict() for r in lake.history().collect()]}
+    load = LK.append_new(rows, a.table) if a.idempotent else LK.append_load(rows, a.table)
+    table = LK.scan(spark, a.table)
+    added = table.filter(f"load_id = {load}").count()
+    return {"load": load, "added": added, **LK.lake_quick_stats(table).first().asDict()}
 
 
 def cmd_publish(spark, a):
     from pyspark.sql import functions as F
 
     from crease.sources.messages import encode_messages, to_envelope, write_messages
+    from crease.sources.storage import matching
     balls = _docs(spark, a)
     if a.kafka:
         write_messages(encode_messages(balls), "kafka",
                        **{"kafka.bootstrap.servers": a.kafka, "topic": a.topic})
-    else:
-        # file envelope: offsets follow document order within each file
-        numbered = (balls.withColumn("kafka_offset", F.monotonically_increasing_id())
-                    .withColumn("event_time", F.current_timestamp()))
-        to_envelope(numbered).write.mode("append").parquet(a.out)
-    return {"published": True}
+        return {"published": True}
+    # file envelope: offsets follow document order within each file, after those
+    # that earlier publishes have given out
+    first = 0
+    if matching(spark, f"{a.out.rstrip('/')}/*.parquet"):
+        first = spark.read.parquet(a.out).agg(F.max("offset")).first()[0] + 1
+    numbered = (balls.withColumn("kafka_offset", F.monotonically_increasing_id() + F.lit(first))
+                .withColumn("event_time", F.current_timestamp()))
+    to_envelope(numbered).write.mode("append").parquet(a.out)
+    return {"published": True, "first_offset": first}
 
 
 def cmd_scorecards(spark, a):
@@ -156,7 +159,6 @@ def parser() -> argparse.ArgumentParser:
 
     c = docs_cmd("season", cmd_season)
     c.add_argument("--out", required=True)
-    c.add_argument("--max-matches", type=int)
     c = docs_cmd("daily", cmd_daily)
     c.add_argument("--out", required=True)
     c.add_argument("--run-date", required=True)
@@ -165,12 +167,10 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--jdbc")
     c.add_argument("--user")
     c.add_argument("--password")
-    c.add_argument("--max-matches", type=int)
     c = docs_cmd("lake", cmd_lake)
     c.add_argument("--table", required=True)
     c.add_argument("--add-phase", action="store_true")
     c.add_argument("--idempotent", action="store_true")
-    c.add_argument("--max-matches", type=int)
     c = docs_cmd("publish", cmd_publish)
     c.add_argument("--out")
     c.add_argument("--kafka")

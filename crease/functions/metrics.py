@@ -30,6 +30,13 @@ def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+def batting_totals(runs: str, balls: str, fours: str, sixes: str) -> list[Column]:
+    """Runs, balls with runs given, fours and sixes, under the given names."""
+    scored = F.col("runs_off_bat")
+    return [F.sum(scored).alias(runs), F.count(scored).alias(balls),
+            count_if(scored == 4).alias(fours), count_if(scored == 6).alias(sixes)]
+
+
 def is_present(col) -> Column:
     """Truthiness of a string: not null and not empty (blanks count as present)."""
     c = _c(col)

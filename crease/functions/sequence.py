@@ -8,11 +8,11 @@ and add the in-block running value -- the classic two-level parallel scan.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crease.session import scratch_path
+
 DEFAULT_BLOCK = 1 << 16
 
 
@@ -23,9 +23,9 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str,
     """Add cumulative sums of ``measures`` per ``keys`` in ``order_col`` order.
 
     ``order_col`` must be integral and unique within a group (a message
-    offset, a snapshot number), so a block ``floor(order / block_width)``
+    offset, a snapshot number), so a block of ``block_width`` values
     holds at most ``block_width`` rows of any group.  Rows up to and
-    including the current one are summed.  Keys are matched null-safely.
+    including the current one are summed.  Keys may be null.
 
     From the same block table (no extra pass) each row can also get:
 
@@ -36,23 +36,26 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str,
 
     Plan: one partial/final aggregate to (group, block) rows, a window over
     that block table (size <= rows / block_width per group), then one shuffle
-    of the input on (group, block) shared by the join and the in-block window.
+    of the input on (key, block) shared by the join and the in-block window.
+    The key is one struct of the key columns: equality and grouping of structs
+    treat nulls inside as equal, so join and window ask for the same partitioning.
     """
     group_mins = group_mins or {}
     cols = df.columns
-    blk = "_rt_blk"
-    b = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_width)))
+    b = (df.withColumn("_rt_key", F.struct(*keys))
+         .withColumn("_rt_blk", F.expr(
+             f"({order_col} - pmod({order_col}, {block_width})) div {block_width}")))
     for name, expr in measures.items():
         b = b.withColumn(f"_rt_m_{name}", expr)
     for name, expr in group_mins.items():
         b = b.withColumn(f"_rt_g_{name}", expr)
-    per_block = b.groupBy(*keys, blk).agg(
+    per_block = b.groupBy("_rt_key", "_rt_blk").agg(
         *[F.sum(f"_rt_m_{n}").alias(f"_rt_s_{n}") for n in measures],
         *[F.min(f"_rt_g_{n}").alias(f"_rt_gm_{n}") for n in group_mins],
         F.min(order_col).alias("_rt_first"))
-    ordered = Window.partitionBy(*keys).orderBy(blk)
+    ordered = Window.partitionBy("_rt_key").orderBy("_rt_blk")
     wb = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    whole = Window.partitionBy("_rt_key")
     extra = []
     if with_totals:
         extra += [F.sum(f"_rt_s_{n}").over(whole).alias(f"{n}_total") for n in measures]
@@ -60,22 +63,18 @@ def running_totals(df: DataFrame, keys: list[str], order_col: str,
     if next_col:
         extra.append(F.lead("_rt_first").over(ordered).alias("_rt_next_blk"))
     base = per_block.select(
-        *[F.col(k).alias(f"_rt_k_{i}") for i, k in enumerate(keys)],
-        F.col(blk).alias("_rt_kb"),
+        "_rt_key", "_rt_blk",
         *[F.coalesce(F.sum(f"_rt_s_{n}").over(wb), F.lit(0)).alias(f"_rt_b_{n}") for n in measures],
         *extra)
-    cond = reduce(lambda a, c: a & c,
-                  [b[k].eqNullSafe(base[f"_rt_k_{i}"]) for i, k in enumerate(keys)],
-                  b[blk] == base["_rt_kb"])
-    joined = b.join(base, cond, "inner")
-    in_block = Window.partitionBy(*[b[k] for k in keys], b[blk]).orderBy(b[order_col])
+    joined = b.join(base, ["_rt_key", "_rt_blk"])
+    in_block = Window.partitionBy("_rt_key", "_rt_blk").orderBy(order_col)
     wr = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = [*[b[c] for c in cols],
-           *[(F.col(f"_rt_b_{n}") + F.sum(b[f"_rt_m_{n}"]).over(wr)).alias(n) for n in measures],
+    out = [*[F.col(c) for c in cols],
+           *[(F.col(f"_rt_b_{n}") + F.sum(f"_rt_m_{n}").over(wr)).alias(n) for n in measures],
            *[F.col(f"{n}_total") for n in measures if with_totals],
            *[F.col(n) for n in group_mins]]
     if next_col:
-        out.append(F.coalesce(F.lead(b[order_col]).over(in_block), F.col("_rt_next_blk"))
+        out.append(F.coalesce(F.lead(order_col).over(in_block), F.col("_rt_next_blk"))
                    .alias(next_col))
     return joined.select(*out)
 
@@ -85,12 +84,18 @@ def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
     """Number rows 1..n in ``order_cols`` order (rows should be distinct on them).
 
     Range-partition by the order columns, number rows inside each range
-    partition, then add the row count of all earlier partitions.  The count
-    table has one row per partition (a proven bound), so it is broadcast.
+    partition, then add the row count of all earlier partitions.  The ranges are
+    sampled, so planning them twice may cut them differently: the rows are written
+    once, with their partition number, and both the counts and the numbering read
+    that table.  The count table has one row per partition (a proven bound), so it
+    is broadcast.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_sq_pid", F.spark_partition_id())
+    path = scratch_path(spark, "ranged")
+    (df.repartitionByRange(n, *order_cols).withColumn("_sq_pid", F.spark_partition_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
     local = ranged.withColumn(
         "_sq_local", F.row_number().over(Window.partitionBy("_sq_pid").orderBy(*order_cols)))
     counts = ranged.groupBy("_sq_pid").agg(F.count(F.lit(1)).alias("_sq_n"))

@@ -1,38 +1,30 @@
-"""The lake table: 14-column delivery rows, identity-partitioned by batting team.
-
-Data is Parquet under ``<table>/data/load_id=<n>/batting_team=<team>``: one
-``load_id`` per append.  ``<table>/_commits`` and ``<table>/_schemas`` are
-small JSON tables (one row per commit / per schema version) giving the
-snapshot list and additive schema evolution.
-
-Crash safety: an append first writes its load with dynamic partition
-overwrite (a retry of the same load replaces its own earlier attempt), then
-records the commit; readers only see loads up to the last commit, so files of
-an interrupted append are never visible.  With an Iceberg catalog on the
-classpath the same operators map 1:1 onto ``format("iceberg")`` writes,
-``ALTER TABLE .. ADD COLUMN`` and the ``.history`` metadata table.
+"""The lake table: 14-column delivery rows as Parquet, one folder a load.
+
+``<table>/load_id=<n>/batting_team=<team>``: every load attempt writes a folder of
+its own number, never into another one, and counts once its job has ended (its
+``_SUCCESS`` file is there).  What an interrupted attempt left is never read, and a
+retry takes the next number.  Loads keep the path of their source document, so an
+idempotent append skips sources that are loaded already.  A later load may have
+more columns; readers name the columns they want and older loads give nulls.
 """
 from __future__ import annotations
 
-import time
-import uuid
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crease import schema as S
 from crease.functions import count_if, is_present
+from crease.sources.storage import committed, started
 
-_COMMIT_SCHEMA = ("sequence_number long, snapshot_id long, timestamp_ms long, operation string, "
-                  "added_records long, total_records long, schema_id int")
+SOURCE_COL = "file_path"
 _SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
                 "long": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
 
 
 def lake_rows(deliveries: DataFrame) -> DataFrame:
-    """Project deliveries onto the lake columns (uncleaned: runs 7 and blank names stay).
+    """Project deliveries onto the lake columns (uncleaned: runs 7 and blank names
+    stay), with the source document's path if they carry one.
 
     Null names stay null; an empty wicket kind becomes null; the boundary
     flag is runs >= 4 (fives and sixes included), the six flag runs == 6.
@@ -53,188 +45,76 @@ def lake_rows(deliveries: DataFrame) -> DataFrame:
         F.nullif(F.col("wicket"), F.lit("")).alias("wicket_kind"),
         (runs >= 4).alias("is_boundary"),
         (runs == 6).alias("is_six"),
-    )
-
-
-class LakeTable:
-    """A path-based lake table with a commit log and schema versions."""
-
-    def __init__(self, spark: SparkSession, path: str, partition_col: str = S.LAKE_PARTITION,
-                 load_key: str | None = None):
-        """``load_key``: source key column (file path, match id) whose loaded
-        values every append records, so :meth:`append_new` checks new rows
-        against that small key table instead of scanning the data.  Open a
-        keyed table with the same ``load_key`` every time."""
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.partition_col = partition_col
-        self.load_key = load_key
-        self.keys_path = f"{self.path}/_keys"
-        self.data_path = f"{self.path}/data"
-        self.commits_path = f"{self.path}/_commits"
-        self.schemas_path = f"{self.path}/_schemas"
-        self._meta: dict | None = None   # fields, schema id, last sequence, total rows
-
-    # A table has one writer at a time; the writer keeps the (tiny) metadata
-    # in memory after reading it once and updates it on its own commits.
-    def _load_meta(self) -> dict:
-        if self._meta is None:
-            versions = self._schemas().collect()      # columns x schema versions rows
-            sid = max(r.schema_id for r in versions)
-            fields = sorted((r.field_id, r.name, r.type) for r in versions if r.schema_id == sid)
-            last = self._commits().agg(F.max("sequence_number"), F.max("total_records")).first()
-            self._meta = {"fields": fields, "schema_id": sid,
-                          "seq": int(last[0] or 0), "total": int(last[1] or 0)}
-        return self._meta
-
-    def refresh(self) -> "LakeTable":
-        """Forget cached metadata (after another writer committed)."""
-        self._meta = None
-        return self
-
-    # -- metadata -----------------------------------------------------------
-    def _exists(self, p: str) -> bool:
-        try:
-            self.spark.read.format("text").load(p)  # lists the folder only
-            return True
-        except AnalysisException:
-            return False
-
-    def create(self, fields=S.LAKE_FIELDS) -> "LakeTable":
-        """New table: schema 0 and a ``create`` commit (sequence 0, no data)."""
-        self._write_schema(0, list(fields))
-        self._write_commit(0, "create", 0, 0, 0)
-        self._meta = {"fields": sorted(fields), "schema_id": 0, "seq": 0, "total": 0}
-        return self
-
-    def create_if_absent(self, fields=S.LAKE_FIELDS) -> "LakeTable":
-        return self if self._exists(self.schemas_path) else self.create(fields)
-
-    def _write_commit(self, seq: int, operation: str, added: int, total: int,
-                      schema_id: int) -> None:
-        commit = [(seq, uuid.uuid4().int >> 65, int(time.time() * 1000), operation,
-                   added, total, schema_id)]
-        (self.spark.createDataFrame(commit, _COMMIT_SCHEMA)
-         .coalesce(1).write.mode("append").json(self.commits_path))
-
-    def _write_schema(self, schema_id: int, fields) -> None:
-        rows = [(schema_id, fid, name, typ) for fid, name, typ in fields]
-        (self.spark.createDataFrame(rows, "schema_id int, field_id int, name string, type string")
-         .coalesce(1).write.mode("append").json(self.schemas_path))
-
-    def _schemas(self) -> DataFrame:
-        return self.spark.read.schema(
-            "schema_id int, field_id int, name string, type string").json(self.schemas_path)
-
-    def current_fields(self) -> list[tuple[int, str, str]]:
-        return list(self._load_meta()["fields"])
-
-    def current_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(n, _SPARK_TYPES[t]) for _, n, t in self.current_fields()]
-                            + [T.StructField("load_id", T.LongType())])
-
-    def columns(self) -> DataFrame:
-        """Current schema as (field_id, name, type)."""
-        s = self._schemas()
-        cur = s.agg(F.max("schema_id").alias("m"))
-        return (s.join(cur, s.schema_id == cur.m).select("field_id", "name", "type")
-                .orderBy("field_id"))
-
-    def _commits(self) -> DataFrame:
-        return self.spark.read.schema(_COMMIT_SCHEMA).json(self.commits_path)
-
-    def history(self) -> DataFrame:
-        """Snapshot list (data commits): id, commit time (UTC, seconds), counts."""
-        return (self._commits().filter(F.col("operation") != "create")
-                .select("sequence_number", "snapshot_id",
-                        F.date_format(F.timestamp_millis("timestamp_ms"),
-                                      "yyyy-MM-dd HH:mm:ss").alias("committed_at"),
-                        "operation", "added_records", "total_records", "schema_id")
-                .orderBy("sequence_number"))
-
-    def _last_commit(self) -> tuple[int, int]:
-        m = self._load_meta()
-        return m["seq"], m["total"]
-
-    # -- writes -------------------------------------------------------------
-    def append(self, rows: DataFrame) -> int:
-        """Append rows as one snapshot; returns the number of rows added.
-
-        Not idempotent (a rerun appends again) -- see :meth:`append_new`.
-        """
-        fields = self.current_fields()
-        seq, total = self._last_commit()
-        seq += 1
-        cols = [F.col(n).cast(_SPARK_TYPES[t]).alias(n) if n in rows.columns
-                else F.lit(None).cast(_SPARK_TYPES[t]).alias(n) for _, n, t in fields]
-        obs = Observation(f"lake_append_{uuid.uuid4().hex[:8]}")
-        # rebalance on the partition column: AQE sizes the files and splits a
-        # hot team over several writers instead of one task per team.  The
-        # row count is observed in the write stage (above the exchange): AQE
-        # may drop an empty input's earlier stage, and its metrics with it.
-        out = (rows.select(*cols, F.lit(seq).cast("long").alias("load_id"))
-               .hint("rebalance", self.partition_col)
-               .observe(obs, F.count(F.lit(1)).alias("n")))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_id", self.partition_col).parquet(self.data_path))
-        added = int(obs.get["n"])
-        if self.load_key:
-            # keys of this load, read back from its own partition only; like
-            # the data they count only once the commit below is recorded
-            (self.spark.read.schema(self.current_schema()).parquet(self.data_path)
-             .filter(F.col("load_id") == F.lit(seq)).select(self.load_key).distinct()
-             .withColumn("load_id", F.lit(seq).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("load_id").parquet(self.keys_path))
-        m = self._load_meta()
-        self._write_commit(seq, "append", added, total + added, m["schema_id"])
-        m["seq"], m["total"] = seq, total + added
-        return added
-
-    def append_new(self, rows: DataFrame, key: str | None = None) -> int:
-        """Idempotent append: drop incoming rows whose ``key`` is already loaded.
-
-        Left-anti join against the loaded keys: the table's key record when
-        ``key`` is its ``load_key`` (size = loads x sources, not rows), else the
-        distinct keys of the data (a one-column scan).  AQE broadcasts the key
-        side when it is small at run time.
-        """
-        key = key or self.load_key
-        seq = self._last_commit()[0]
-        if seq > 0:                               # at least one data commit
-            if key == self.load_key:
-                loaded = (self.spark.read.schema(f"{key} string, load_id long")
-                          .parquet(self.keys_path)
-                          .filter(F.col("load_id") <= F.lit(seq)).select(key))
-            else:
-                loaded = self.scan().select(key).distinct()
-            rows = rows.join(loaded, rows[key].eqNullSafe(loaded[key]), "left_anti")
-        return self.append(rows)
-
-    def add_column(self, name: str, typ: str = "string") -> None:
-        """Additive schema change: a new nullable column, no data rewrite."""
-        m = self._load_meta()
-        fields = m["fields"]
-        if any(n == name for _, n, _ in fields):
-            return
-        new_fields = fields + [(max(f[0] for f in fields) + 1, name, typ)]
-        self._write_schema(m["schema_id"] + 1, new_fields)
-        m["fields"], m["schema_id"] = new_fields, m["schema_id"] + 1
-
-    # -- reads --------------------------------------------------------------
-    def scan(self, as_of: int | None = None) -> DataFrame:
-        """Current schema over all files; old files read null for new columns.
-
-        The explicit schema avoids a footer merge; filters on
-        ``batting_team`` and ``load_id`` (committed loads, ``as_of``) prune
-        directories.
-        """
-        seq = self._last_commit()[0]
-        limit = seq if as_of is None else min(seq, as_of)
-        if seq == 0:
-            return self.spark.createDataFrame([], self.current_schema())
-        df = self.spark.read.schema(self.current_schema()).parquet(self.data_path)
-        return df.filter(F.col("load_id") <= F.lit(limit))
+        *[F.col(c) for c in (SOURCE_COL,) if c in deliveries.columns])
+
+
+def lake_schema(*added: tuple[str, str]) -> T.StructType:
+    """The lake's columns, further (name, type) columns, the source path and load."""
+    fields = [(n, t) for _, n, t in S.LAKE_FIELDS] + list(added)
+    return T.StructType([T.StructField(n, _SPARK_TYPES[t]) for n, t in fields]
+                        + [T.StructField(SOURCE_COL, T.StringType()),
+                           T.StructField("load_id", T.LongType())])
+
+
+def append_load(rows: DataFrame, path: str, partition_col: str = S.LAKE_PARTITION) -> int:
+    """Append rows as a load of its own; returns its number.  A rerun appends again."""
+    spark = rows.sparkSession
+    load = max(started(spark, path, "load_id"), default=0) + 1
+    # rebalance on the partition column: AQE sizes the files and splits a hot team
+    # over several writers instead of one task a team
+    (rows.hint("rebalance", partition_col)
+     .write.partitionBy(partition_col).parquet(f"{path.rstrip('/')}/load_id={load}"))
+    return load
+
+
+def scan(spark: SparkSession, path: str, schema: T.StructType | None = None,
+         as_of: int | None = None) -> DataFrame:
+    """All complete loads (up to ``as_of``) under one schema; older loads give null
+    for columns they lack.  Filters on ``batting_team`` and ``load_id`` prune folders."""
+    schema = schema or lake_schema()
+    loads = [n for n in committed(spark, path, "load_id") if as_of is None or n <= as_of]
+    if not loads:
+        return spark.createDataFrame([], schema)
+    base = path.rstrip("/")
+    return (spark.read.schema(schema).option("basePath", base)
+            .parquet(*[f"{base}/load_id={n}" for n in loads]))
+
+
+def append_new(rows: DataFrame, path: str, key: str = SOURCE_COL) -> int:
+    """Idempotent append: drop incoming rows of sources that are loaded already.
+
+    Left-anti join on the source path, one column of the table, distinct; two
+    matches of one date are two sources.
+    """
+    loaded = scan(rows.sparkSession, path).select(F.col(key).alias("loaded_key")).distinct()
+    new = rows.join(loaded, rows[key].eqNullSafe(F.col("loaded_key")), "left_anti")
+    return append_load(new, path)
+
+
+def load_history(spark: SparkSession, path: str) -> DataFrame:
+    """Loads in order: when they ended (UTC, seconds), rows added, rows so far.
+
+    Counts come from the files' footers; the running total is over one row a load.
+    """
+    rows = scan(spark, path).select("load_id", F.col("_metadata.file_modification_time").alias("at"))
+    loads = rows.groupBy("load_id").agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("added_records"))
+    return loads.select(
+        F.col("load_id").alias("sequence_number"),
+        F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("committed_at"),
+        F.lit("append").alias("operation"), "added_records",
+        F.expr("sum(added_records) OVER (ORDER BY load_id)").alias("total_records"))
+
+
+def column_profile(lake_df: DataFrame) -> DataFrame:
+    """(name, type, n_values): the table's columns and how many rows have a value.
+
+    One aggregate over the table, then one row a column.
+    """
+    fields = [f for f in lake_df.schema.fields if f.name not in (SOURCE_COL, "load_id")]
+    counts = lake_df.agg(*[F.count(f.name).alias(f.name) for f in fields])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                 F.col(f.name).alias("n_values")) for f in fields])))
 
 
 def lake_quick_stats(lake_df: DataFrame) -> DataFrame:

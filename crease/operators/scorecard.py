@@ -15,10 +15,10 @@ from crease.functions import is_present, over_ball, rate, rate_or_zero, running_
 from crease.functions.sequence import DEFAULT_BLOCK
 
 
-SNAP_BLOCK = 4096     # snapshots per block in the per-batter scan
+SNAP_BLOCK = 4096     # block width of the per-batter scan over intervals
 
 
-def _normalised(df: DataFrame) -> DataFrame:
+def normalised(df: DataFrame) -> DataFrame:
     return (df.withColumn("batter", F.coalesce(F.col("batter"), F.lit(S.UNKNOWN)))
             .withColumn("runs_off_bat", F.coalesce(F.col("runs_off_bat"), F.lit(0))))
 
@@ -29,7 +29,7 @@ def scorecard_final(df: DataFrame) -> DataFrame:
     Position = runs desc, then first appearance.  The ranking window runs on
     the aggregate (one row per match and batter), not on the balls.
     """
-    agg = (_normalised(df).groupBy("match_id", "batter")
+    agg = (normalised(df).groupBy("match_id", "batter")
            .agg(F.sum("runs_off_bat").alias("runs"),
                 F.count(F.lit(1)).alias("balls"),
                 F.min("kafka_offset").alias("first_offset"))
@@ -40,61 +40,44 @@ def scorecard_final(df: DataFrame) -> DataFrame:
 
 def fall_of_wickets(df: DataFrame, block_width: int | None = None) -> DataFrame:
     """Wickets in arrival order per match, numbered, with the ``over.ball`` label."""
-    w = (_normalised(df).filter(is_present("wicket"))
+    w = (normalised(df).filter(is_present("wicket"))
          .select("match_id", "kafka_offset", "batter", F.col("wicket").alias("kind"),
                  over_ball("over_num", "ball_num").alias("over_ball")))
     return running_totals(w, ["match_id"], "kafka_offset", {"wicket_no": F.lit(1)},
                           block_width=block_width or DEFAULT_BLOCK)
 
 
-def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.SCORECARD_TOP,
-                    block_width: int | None = None) -> DataFrame:
-    """After every ``every`` balls of a match, the top ``top`` batters so far.
+def interval_totals(balls: DataFrame, every: int, block_width: int | None = None) -> DataFrame:
+    """Balls -> (match, batter, interval) sums; an interval is ``every`` balls of a match.
 
-    1. ball number per match: distributed running count (no per-match sort);
-    2. per (match, batter, interval) sums -- at most one row per batter and
-       interval, so later windows see aggregates, not balls;
-    3. running sums over a batter's intervals and the interval where the
-       batter's total next changes; the total holds for every snapshot in
-       between; the match's ball count rides along from step 1, so no
-       match-level join is needed;
-    4. rank inside (match, snapshot) after an explicit repartition on both
-       keys, so the snapshots of one long match spread over many tasks.
-
-    Step 3 emits one row per batter and snapshot after the batter's first
-    ball: O(batters per match x balls / every), linear for a bounded squad.
-    ``block_width`` (tests) sets the block size of both two-level scans.
+    The ball number per match is a distributed running count (no per-match sort).
     """
-    balls = _normalised(df).select("match_id", "kafka_offset", "batter", "runs_off_bat")
-    d = running_totals(balls, ["match_id"], "kafka_offset", {"ball_no": F.lit(1)},
+    d = running_totals(normalised(balls).select("match_id", "kafka_offset", "batter", "runs_off_bat"),
+                       ["match_id"], "kafka_offset", {"ball_no": F.lit(1)},
                        block_width=block_width or DEFAULT_BLOCK, with_totals=True)
-    d = (d.withColumn("snap", F.floor((F.col("ball_no") + F.lit(every - 1)) / F.lit(every)))
-         .withColumn("last_snap", F.floor(F.col("ball_no_total") / F.lit(every))))
-    per_snap = (d.groupBy("match_id", "batter", "snap")
-                .agg(F.sum("runs_off_bat").alias("s_runs"),
-                     F.count(F.lit(1)).alias("s_balls"),
-                     F.min("kafka_offset").alias("s_first"),
-                     F.max("last_snap").alias("last_snap")))
-    # Per batter over its intervals: running sums, first appearance and the
-    # next interval it batted in.  A (match, batter) group has at most
-    # last_snap + 1 rows, so rows of ordinary matches take plain (bounded)
-    # windows and only rows of matches longer than SNAP_BLOCK snapshots take
-    # the two-level scan -- chosen per row inside one plan, no extra job.
-    limit = 0 if block_width else SNAP_BLOCK
-    wb = Window.partitionBy("match_id", "batter").orderBy("snap")
-    upto_now = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordinary = (per_snap.filter(F.col("last_snap") < F.lit(limit))
-                .withColumn("runs", F.sum("s_runs").over(upto_now))
-                .withColumn("balls", F.sum("s_balls").over(upto_now))
-                .withColumn("first_offset", F.min("s_first").over(
-                    wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-                .withColumn("next_snap", F.lead("snap").over(wb)))
-    long_matches = running_totals(
-        per_snap.filter(F.col("last_snap") >= F.lit(limit)), ["match_id", "batter"], "snap",
+    return (d.withColumn("snap", F.expr(f"(ball_no + {every - 1}) div {every}"))
+            .withColumn("last_snap", F.expr(f"ball_no_total div {every}"))
+            .groupBy("match_id", "batter", "snap")
+            .agg(F.sum("runs_off_bat").alias("s_runs"),
+                 F.count(F.lit(1)).alias("s_balls"),
+                 F.min("kafka_offset").alias("s_first"),
+                 F.max("last_snap").alias("last_snap")))
+
+
+def snapshots(per_snap: DataFrame, every: int, top: int, block_width: int | None = None) -> DataFrame:
+    """(match, batter, interval) sums -> the top batters after every interval.
+
+    Running sums over a batter's intervals, and the interval where the batter's
+    total next changes, come from the same two-level scan for matches of every
+    length; the total holds for every snapshot in between.  Ranking is inside
+    (match, snapshot) after an explicit repartition on both keys, so the snapshots
+    of one long match spread over many tasks.
+    """
+    cum = running_totals(
+        per_snap, ["match_id", "batter"], "snap",
         {"runs": F.col("s_runs"), "balls": F.col("s_balls")},
         block_width=block_width or SNAP_BLOCK, group_mins={"first_offset": F.col("s_first")},
         next_col="next_snap")
-    cum = ordinary.unionByName(long_matches)
     cum = cum.withColumn("upto", F.least(F.coalesce(F.col("next_snap") - 1, F.col("last_snap")),
                                          F.col("last_snap")))
     held = (cum.filter(F.col("snap") <= F.col("upto"))
@@ -107,3 +90,14 @@ def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.
             .select("match_id", (F.col("snapshot") * every).cast("long").alias("after_balls"),
                     "position", "batter", "runs", "balls",
                     rate("runs", "balls", 100, 1).alias("strike_rate")))
+
+
+def scorecard_every(df: DataFrame, every: int = S.SCORECARD_EVERY, top: int = S.SCORECARD_TOP,
+                    block_width: int | None = None) -> DataFrame:
+    """After every ``every`` balls of a match, the top ``top`` batters so far.
+
+    One row per batter and snapshot after the batter's first ball is ranked:
+    O(batters per match x balls / every), linear for a bounded squad.
+    ``block_width`` (tests) sets the block size of both scans.
+    """
+    return snapshots(interval_totals(df, every, block_width), every, top, block_width)

@@ -1,10 +1,9 @@
-"""Drive streaming queries from a table, chunk by chunk, in offset order.
+"""Feed a table to streaming queries in bounded micro-batches, in offset order.
 
-The ball rows are published as message-envelope files in offset ranges, one
-append job per range (so file times follow offsets); after each range the
-streaming query is started with ``availableNow`` from the same checkpoint,
-processes exactly the new files and stops -- a restart per chunk, which is
-also the recovery test.
+The ball rows are published as message-envelope files, one append job and one file
+for every ``rows`` offsets, so file times follow offsets; the query then runs over
+them with ``availableNow`` and one file a trigger.  A micro-batch is as large as a
+file, whatever the table holds.  This stands in for a message bus where none runs.
 """
 from __future__ import annotations
 
@@ -16,26 +15,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crease.sources.messages import read_messages, to_envelope
 
-STREAM_TIMEOUT_S = 600
-
-
-def offset_ranges(df: DataFrame, col: str, n: int) -> list[tuple[int, int]]:
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
-    if lo is None:
-        return []
-    width = max(1, -(-(hi - lo + 1) // n))
-    return [(lo + i * width, lo + (i + 1) * width) for i in range(n) if lo + i * width <= hi]
-
-
-def replay(spark: SparkSession, balls: DataFrame, source_dir: str, chunks: int,
-           start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Publish ``balls`` in ``chunks`` offset ranges, running ``start`` after each."""
-    for lo, hi in offset_ranges(balls, "kafka_offset", chunks):
-        part = balls.filter((F.col("kafka_offset") >= lo) & (F.col("kafka_offset") < hi))
-        to_envelope(part).write.mode("append").parquet(source_dir)
-        q = start(read_messages(spark, streaming=True, fmt="parquet", path=source_dir))
-        if not q.awaitTermination(STREAM_TIMEOUT_S):
-            q.stop()
-            raise TimeoutError("streaming query did not finish")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+BATCH_OFFSETS = 20_000
+
+
+def publish(balls: DataFrame, source_dir: str, rows: int = BATCH_OFFSETS) -> int:
+    """Write the balls as envelope files of ``rows`` offsets each; how many."""
+    lo, hi = balls.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    starts = [] if lo is None else range(lo, hi + 1, rows)
+    for at in starts:
+        part = balls.filter((F.col("kafka_offset") >= at) & (F.col("kafka_offset") < at + rows))
+        to_envelope(part).coalesce(1).write.mode("append").parquet(source_dir)
+    return len(starts)
+
+
+def replay(spark: SparkSession, balls: DataFrame, source_dir: str,
+           start: Callable[[DataFrame], StreamingQuery], rows: int = BATCH_OFFSETS) -> None:
+    """Publish ``balls`` and run the query to the end of them."""
+    if publish(balls, source_dir, rows):
+        drain(spark, source_dir, start)
+
+
+def drain(spark: SparkSession, source_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run the query over all files it has not seen, one a micro-batch."""
+    q = start(read_messages(spark, streaming=True, fmt="parquet", path=source_dir,
+                            maxFilesPerTrigger="1"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))

@@ -23,7 +23,8 @@ from crease.functions import count_if
 from crease.operators.leaderboards import phase_stats, top_batters, top_bowlers
 from crease.operators.quality import normalise_wicket, valid_delivery
 from crease.session import scratch_path
-from crease.sources.matches import flatten, limit_matches, read_match_documents
+from crease.sources.matches import flatten, read_match_documents
+from crease.sources.storage import delete
 
 TOP_BATTERS_CSV_SCHEMA = ("batter string, runs long, balls_faced long, fours long, sixes long, "
                           "strike_rate double")
@@ -55,12 +56,10 @@ def leaderboard_outputs(clean_df: DataFrame, out_base: str, top_n: int = S.TOP_N
 
 
 def run_season(spark: SparkSession, docs_path: str, out_base: str, multi_line: bool = True,
-               max_matches: int | None = None, top_n: int = S.TOP_N,
-               stage: str | None = "table") -> dict:
+               top_n: int = S.TOP_N, stage: str | None = "table",
+               glob: str | None = "*.json") -> dict:
     """Run the job; returns the cleaning audit (rows before / after / removed)."""
-    docs = read_match_documents(spark, docs_path, multi_line=multi_line)
-    if max_matches is not None:
-        docs = limit_matches(docs, max_matches)
+    docs = read_match_documents(spark, docs_path, multi_line=multi_line, glob=glob)
     obs = Observation(f"season_{uuid.uuid4().hex[:8]}")
     flat = flatten(docs).observe(obs, F.count(F.lit(1)).alias("rows_before"),
                                  count_if(valid_delivery()).alias("rows_after"))
@@ -76,6 +75,8 @@ def run_season(spark: SparkSession, docs_path: str, out_base: str, multi_line: b
     finally:
         if stage == "cache":
             cleaned.unpersist()
+        elif stage == "table":
+            delete(spark, path)            # the outputs are written; nothing reads it again
     m = obs.get
     return {"rows_before": m["rows_before"], "rows_after": m["rows_after"],
             "rows_removed": m["rows_before"] - m["rows_after"]}

@@ -1,6 +1,7 @@
 """Session construction and shared-storage scratch paths."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,12 +40,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (a laptop or a unit test) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only on a local master (a
+    laptop or a unit test) a private folder is made when it is unset; on a cluster
+    that is an error, since executors would not see such a folder.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="crease-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

@@ -1,4 +1,4 @@
-"""Nested match documents: read, quarantine, cap, flatten.
+"""Nested match documents: read, quarantine, flatten.
 
 A document is one JSON object ``{info: {dates, venue, teams}, innings: [{team,
 overs: [{over, deliveries: [{batter, bowler, runs: {batter, extras, total},
@@ -11,8 +11,6 @@ Flattening is three generators in one narrow stage -- no shuffle, no Python.
 """
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,23 +77,6 @@ def quarantine_report(docs: DataFrame) -> DataFrame:
         .cast("long").alias("deliveries"))
 
 
-def limit_matches(docs: DataFrame, n: int, by: str = "file_path") -> DataFrame:
-    """Keep the first ``n`` matches in ``by`` order (``file_path`` or ``match_id``).
-
-    ``n`` is a cap (tens of matches), so the kept keys are at most ``n``
-    literals.  By path they come from the file listing the driver already
-    holds for planning -- no data is read to choose them; by match id one
-    top-n job picks them.  The documents are then filtered in place (no
-    join, no shuffle of the documents).
-    """
-    if by == "file_path":
-        # the listing spells local files file:///x, the metadata column file:/x
-        paths = sorted(re.sub(r"^file:///", "file:/", p) for p in docs.inputFiles())
-        return docs.filter(F.col("file_path").isin(paths[:n]))
-    top = [r[0] for r in docs.select(match_key().alias("k")).distinct().orderBy("k").take(n)]
-    return docs.filter(match_key().isin(top))
-
-
 def flatten(docs: DataFrame, keep_teams: bool = False) -> DataFrame:
     """One row per delivery from valid documents.
 
@@ -150,21 +131,24 @@ def validate_inputs(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .load(path).select("path", "length"))
-    out = files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    n = out.first()["files"]
+    n, size = files.agg(F.count(F.lit(1)), F.sum("length")).first()
     if n == 0:
         raise ValueError(f"no input files matching {glob} under {path}")
-    return out
+    return spark.sql(f"SELECT CAST({n} AS BIGINT) AS files, CAST({size} AS BIGINT) AS bytes")
 
 
-def write_match_documents(deliveries: DataFrame, path: str) -> None:
-    """Nest flat deliveries back into match documents (test fixtures, round trips).
+def write_match_documents(deliveries: DataFrame, path: str, broken: Column | None = None) -> None:
+    """Nest flat deliveries back into match documents, one JSON line each.
 
-    One document per (match, venue, innings team, over), so no document --
-    and no task -- has to hold a whole match.  ``info.teams`` is the sorted
+    One document per (match, venue, innings team, over) and, if the rows have one,
+    ``doc_no``: with it a document holds the few deliveries of one source order, so
+    no list -- and no line -- grows with the data.  ``info.teams`` is the sorted
     set of batting teams of the match (one small aggregate per match).
     Deliveries inside an over are ordered by (ball_num, batter, bowler,
     runs, extras, total, wicket), which defines the ball positions.
+
+    Documents for which ``broken`` (over those keys) holds are cut off in the
+    middle, as an interrupted upload leaves them.
     """
     teams = (deliveries.groupBy("match_id")
              .agg(F.sort_array(F.collect_set("batting_team")).alias("teams")))
@@ -185,16 +169,18 @@ def write_match_documents(deliveries: DataFrame, path: str) -> None:
     # collect_list keeps every value, so a map-side partial aggregate saves
     # nothing: shuffle by the document key first and build lists in parallel
     keys = ["match_id", "venue", "batting_team", "over_num"]
+    keys += [c for c in ("doc_no",) if c in deliveries.columns]
     overs = (deliveries.repartition(*keys).groupBy(*keys)
              .agg(F.sort_array(F.collect_list(item)).alias("items")))
-    docs = (overs.join(teams, "match_id")
-            .select(F.struct(F.array(F.col("match_id")).alias("dates"),
-                             F.col("venue").alias("venue"),
-                             F.col("teams").alias("teams")).alias("info"),
-                    F.array(F.struct(
-                        F.col("batting_team").alias("team"),
-                        F.array(F.struct(
-                            F.col("over_num").alias("over"),
-                            F.transform("items", lambda x: x["d"]).alias("deliveries")))
-                        .alias("overs"))).alias("innings")))
-    docs.write.mode("overwrite").json(path)
+    doc = F.to_json(F.struct(
+        F.struct(F.array(F.col("match_id")).alias("dates"), F.col("venue").alias("venue"),
+                 F.col("teams").alias("teams")).alias("info"),
+        F.array(F.struct(
+            F.col("batting_team").alias("team"),
+            F.array(F.struct(
+                F.col("over_num").alias("over"),
+                F.transform("items", lambda x: x["d"]).alias("deliveries")))
+            .alias("overs"))).alias("innings")))
+    if broken is not None:
+        doc = F.when(broken, F.left(doc, F.length(doc) - 3)).otherwise(doc)
+    overs.join(teams, "match_id").select(doc.alias("value")).write.mode("overwrite").text(path)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 LINEITEM_DELIVERIES = [
     ("match_id", "cast(cast(l_shipdate as date) as varchar(10))"),
     ("match_date", "cast(l_shipdate as date)"),
+    ("doc_no", "l_orderkey"),
     ("venue", "concat('venue_', cast(extract(day from l_shipdate)%8 as int))"),
     ("batting_team", "concat('team_', l_orderkey%12)"),
     ("batter", "case when l_partkey%97=0 then '' when l_partkey%89=0 then '  ' "

@@ -15,24 +15,10 @@ from pyspark.sql import functions as F
 from crease import schema as S
 
 
-# Column types used when the JDBC writer creates a table (warehouse DDL).
-COLUMN_TYPES = {
-    "agg_batter_stats": "batter_name VARCHAR(100), total_runs INTEGER, balls_faced INTEGER, "
-                        "fours INTEGER, sixes INTEGER, strike_rate FLOAT",
-    "agg_bowler_stats": "bowler_name VARCHAR(100), wickets INTEGER, runs_given INTEGER, "
-                        "balls_bowled INTEGER, economy_rate FLOAT",
-    "agg_phase_stats": "team_name VARCHAR(100), phase VARCHAR(20), runs INTEGER, balls INTEGER, "
-                       "wickets_lost INTEGER, run_rate FLOAT",
-    "agg_match_summary": "match_date VARCHAR(20), venue VARCHAR(200), total_runs INTEGER, "
-                         "total_wickets INTEGER, total_sixes INTEGER, total_fours INTEGER",
-    "dim_batters": "batter_name VARCHAR(100)",
-    "dim_teams": "team_name VARCHAR(100)",
-}
-
-
 def refresh_tables(tables: dict[str, DataFrame], target: dict) -> None:
     """Full refresh of every table, stamped with ``updated_at``.
 
+    Column types follow the DataFrame (counts and sums are BIGINT).
     JDBC truncate + insert is per table (not one transaction across tables);
     for an atomic swap write staging tables and rename them in one
     transaction on the database side.  ``numPartitions`` in the target's
@@ -42,8 +28,6 @@ def refresh_tables(tables: dict[str, DataFrame], target: dict) -> None:
         out = df.withColumn("updated_at", F.current_timestamp())
         if "jdbc" in target:
             w = out.write.mode("overwrite").option("truncate", "true")
-            if name in COLUMN_TYPES:
-                w = w.option("createTableColumnTypes", COLUMN_TYPES[name])
             w.jdbc(target["jdbc"], name, properties=target.get("properties", {}))
         else:
             out.write.mode("overwrite").parquet(f"{target['path'].rstrip('/')}/{name}")

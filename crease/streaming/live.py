@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crease.functions import count_if, rate
+from crease.functions import batting_totals, rate
 from crease.streaming.versioned import (
-    ensure_pointer, latest_version, merge_latest, read_latest, state_partitions, write_version,
+    latest_version, merge_latest, read_latest, state_settings, write_version,
 )
 
 LIVE_COLUMNS = ["batter_name", "live_runs", "live_balls", "live_fours", "live_sixes", "live_sr"]
@@ -23,10 +23,7 @@ LIVE_COLUMNS = ["batter_name", "live_runs", "live_balls", "live_fours", "live_si
 def live_stats(parsed: DataFrame) -> DataFrame:
     """Per-batter running totals; works on batch and streaming input alike."""
     return (parsed.groupBy("batter")
-            .agg(F.sum("runs_off_bat").alias("live_runs"),
-                 F.count("runs_off_bat").alias("live_balls"),
-                 count_if(F.col("runs_off_bat") == 4).alias("live_fours"),
-                 count_if(F.col("runs_off_bat") == 6).alias("live_sixes"))
+            .agg(*batting_totals("live_runs", "live_balls", "live_fours", "live_sixes"))
             .withColumn("live_sr", rate("live_runs", "live_balls", 100, 2)))
 
 
@@ -67,8 +64,8 @@ def upsert_sink(base: str):
         try:
             if batch_df.isEmpty():
                 return
-            merged = merge_latest(read_latest(spark, base), _sink_rows(batch_df, batch_id),
-                                  ["batter_name"])
+            merged = merge_latest(read_latest(spark, base, before=batch_id),
+                                  _sink_rows(batch_df, batch_id), ["batter_name"])
             write_version(merged, base, batch_id)
         finally:
             batch_df.unpersist()
@@ -84,9 +81,7 @@ def start_live_stats(parsed_stream: DataFrame, sink_base: str, checkpoint: str,
     """
     trigger = trigger or {"processingTime": "10 seconds"}
     sink = complete_sink(sink_base, jdbc) if mode == "complete" else upsert_sink(sink_base)
-    if not jdbc:
-        ensure_pointer(parsed_stream.sparkSession, sink_base)
-    with state_partitions(parsed_stream.sparkSession, partitions):
+    with state_settings(parsed_stream.sparkSession, partitions):
         return (live_stats(parsed_stream).writeStream
                 .outputMode(mode)
                 .foreachBatch(sink)

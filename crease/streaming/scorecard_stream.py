@@ -1,135 +1,90 @@
-"""Stateful 30-ball scorecard on the message stream.
+"""30-ball scorecard on the message stream, without per-match state in one task.
 
-Keyed by match id with ``applyInPandasWithState``: the state of a match is
-its ball count and per-batter (runs, balls, first offset); each call sorts
-the match's new rows by offset, works out every completed 30-ball snapshot
-with vectorised pandas (per snapshot x batter sums, cumulative along
-snapshots) and emits the top 3 for each.  The strike rate is added after
-the call as a JVM expression.  State is one small record per match; with a
-watermark and an idle timeout finished matches are evicted.
+Every micro-batch adds (match, batter, interval) sums to a table and carries the
+ball count of each match on; the scorecards are ranked from that table when read.
+All of it is DataFrame work: a micro-batch's balls are numbered by the distributed
+running count, so a match that holds most of a batch is spread over many tasks, and
+what is kept from batch to batch is one row a match.
+
+Layout under the sink path: ``intervals/batch=<id>`` (the sums of a micro-batch) and
+``matches/v=<id>`` (ball counts after it, versioned).  A batch counts once its
+``matches`` version is complete; a retried batch rewrites its own folders.
 """
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from crease import schema as S
-from crease.functions import rate
-from crease.streaming.versioned import state_partitions
+from crease.functions import running_totals
+from crease.operators.scorecard import normalised, snapshots
+from crease.sources.storage import committed
+from crease.streaming.versioned import latest_version, read_latest, write_version
 
-OUTPUT_SCHEMA = ("match_id string, after_balls long, position long, batter string, "
-                 "runs long, balls long")
-STATE_SCHEMA = "balls long, batters string"
+INTERVALS = ("match_id string, batter string, snap long, s_runs long, s_balls long, "
+             "s_first long, batch long")
+MATCHES = "match_id string, balls long"
 
 
-def _scorecard_fn(every: int, top: int, idle_ms: int | None, unknown: str = S.UNKNOWN):
-    # The returned closure runs on Python workers.  It is shipped by value and
-    # must reference no ``crease`` module (those would be imported by name on
-    # the worker): constants come in through the closure.
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:                 # match idle past the watermark: drop its state
-            state.remove()
+def interval_sink(base: str, every: int = S.SCORECARD_EVERY):
+    """foreachBatch callback: the micro-batch's interval sums and new ball counts."""
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        matches = f"{base}/matches"
+        if latest_version(spark, matches) == batch_id:    # a retried batch that was complete
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
-            return
-        prev_balls, prev = 0, {}
-        if state.exists:
-            prev_balls, blob = state.get
-            prev = json.loads(blob)
-        pdf = pdf.sort_values("kafka_offset", kind="stable")
-        batter = pdf["batter"].fillna(unknown).to_numpy(dtype=object)
-        runs = pdf["runs_off_bat"].fillna(0).to_numpy(dtype=np.int64)
-        offs = pdf["kafka_offset"].to_numpy(dtype=np.int64)
-        n = len(pdf)
-        ball_no = prev_balls + np.arange(1, n + 1, dtype=np.int64)
-        snap = (ball_no + every - 1) // every
-        g = (pd.DataFrame({"snap": snap, "batter": batter, "runs": runs, "off": offs})
-             .groupby(["snap", "batter"], sort=True)
-             .agg(r=("runs", "sum"), b=("runs", "size"), f=("off", "min")))
-        names = sorted(set(g.index.get_level_values("batter")) | set(prev))
-        base_r = np.array([prev.get(b, (0, 0, 0))[0] for b in names], dtype=np.int64)
-        base_b = np.array([prev.get(b, (0, 0, 0))[1] for b in names], dtype=np.int64)
-        first = pd.Series({b: prev[b][2] for b in prev}, dtype="float64").reindex(names)
-        first = first.fillna(g["f"].groupby(level="batter").min().reindex(names))
-        cum_r = g["r"].unstack("batter").reindex(columns=names).fillna(0).cumsum() + base_r
-        cum_b = g["b"].unstack("batter").reindex(columns=names).fillna(0).cumsum() + base_b
-        lo, hi = prev_balls // every + 1, (prev_balls + n) // every
-        out = []
-        if hi >= lo:
-            ks = list(range(lo, hi + 1))
-            long = pd.DataFrame({
-                "snap": np.repeat(ks, len(names)),
-                "batter": np.tile(names, len(ks)),
-                "runs": cum_r.loc[ks].to_numpy().ravel(),
-                "balls": cum_b.loc[ks].to_numpy().ravel(),
-                "first": np.tile(first.to_numpy(), len(ks)),
-            })
-            long = long[long["balls"] > 0].sort_values(
-                ["snap", "runs", "first"], ascending=[True, False, True], kind="stable")
-            long["position"] = long.groupby("snap").cumcount() + 1
-            long = long[long["position"] <= top]
-            out.append(pd.DataFrame({
-                "match_id": key[0],
-                "after_balls": (long["snap"] * every).astype("int64"),
-                "position": long["position"].astype("int64"),
-                "batter": long["batter"].astype(str),
-                "runs": long["runs"].astype("int64"),
-                "balls": long["balls"].astype("int64"),
-            }))
-        last_r, last_b = cum_r.iloc[-1].to_numpy(), cum_b.iloc[-1].to_numpy()
-        new_state = {b: (int(last_r[i]), int(last_b[i]), int(first.iloc[i]))
-                     for i, b in enumerate(names)}
-        state.update((int(prev_balls + n), json.dumps(new_state)))
-        if idle_ms is not None:
-            last_ms = int(pd.Timestamp(pdf["event_time"].max()).value // 1_000_000)
-            state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + idle_ms)
-        yield from (o for o in out if len(o))
-    return fn
-
-
-def scorecard_stream(messages: DataFrame, every: int = S.SCORECARD_EVERY,
-                     top: int = S.SCORECARD_TOP, watermark: str | None = None,
-                     idle_ms: int | None = None) -> DataFrame:
-    """Snapshots from a *streaming* DataFrame of parsed, uncleaned messages.
-
-    (``applyInPandasWithState`` is streaming-only; the batch form is
-    :func:`crease.operators.scorecard.scorecard_every`.)
-    """
-    rows = messages.select("match_id", "batter", "runs_off_bat", "kafka_offset", "event_time")
-    timeout = GroupStateTimeout.NoTimeout
-    if watermark is not None and idle_ms is not None:
-        # optional state eviction (the source job keeps every match forever):
-        # a match with no ball for ``idle_ms`` past the watermark is dropped
-        rows = rows.withWatermark("event_time", watermark)
-        timeout = GroupStateTimeout.EventTimeTimeout
-    else:
-        idle_ms = None
-    snaps = rows.groupBy("match_id").applyInPandasWithState(
-        _scorecard_fn(every, top, idle_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
-    return snaps.withColumn("strike_rate", rate("runs", "balls", 100, 1))
+        balls = normalised(batch_df).select("match_id", "batter", "runs_off_bat", "kafka_offset")
+        balls.persist()
+        try:
+            if balls.isEmpty():
+                return
+            before = read_latest(spark, matches, MATCHES, before=batch_id)
+            if before is None:
+                before = spark.createDataFrame([], MATCHES)
+            so_far = before.select(F.col("match_id").alias("m"), F.col("balls").alias("m_balls"))
+            numbered = running_totals(balls, ["match_id"], "kafka_offset", {"n": F.lit(1)})
+            ball_no = F.col("n") + F.coalesce("m_balls", F.lit(0))
+            (numbered.join(so_far, F.col("match_id").eqNullSafe(F.col("m")), "left")
+             .withColumn("ball_no", ball_no)
+             .groupBy("match_id", "batter", F.expr(f"(ball_no + {every - 1}) div {every}").alias("snap"))
+             .agg(F.sum("runs_off_bat").alias("s_runs"), F.count(F.lit(1)).alias("s_balls"),
+                  F.min("kafka_offset").alias("s_first"))
+             .write.mode("overwrite").parquet(f"{base}/intervals/batch={batch_id}"))
+            counts = balls.groupBy("match_id").agg(F.count(F.lit(1)).alias("balls"))
+            write_version(before.unionByName(counts).groupBy("match_id")
+                          .agg(F.sum("balls").alias("balls")), matches, batch_id)
+        finally:
+            balls.unpersist()
+    return sink
 
 
 def start_scorecard_stream(messages: DataFrame, sink_path: str, checkpoint: str,
-                           trigger: dict | None = None, watermark: str | None = None,
-                           idle_ms: int | None = None,
-                           partitions: int | None = None) -> StreamingQuery:
-    """Append snapshots to a Parquet table (exactly-once file sink).
+                           trigger: dict | None = None) -> StreamingQuery:
+    """Start the query; bound its micro-batches at the source
+    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)."""
+    rows = messages.select("match_id", "batter", "runs_off_bat", "kafka_offset")
+    return (rows.writeStream.outputMode("append")
+            .foreachBatch(interval_sink(sink_path.rstrip("/")))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"}))
+            .start())
+
 
-    One call receives one match's rows of one micro-batch, so bound the
-    micro-batch at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
-    ``partitions`` fixes the state partition count at the first start.
-    """
-    trigger = trigger or {"processingTime": "10 seconds"}
-    with state_partitions(messages.sparkSession, partitions):
-        return (scorecard_stream(messages, watermark=watermark, idle_ms=idle_ms).writeStream
-                .outputMode("append").format("parquet")
-                .option("path", sink_path)
-                .option("checkpointLocation", checkpoint)
-                .trigger(**trigger).start())
+def read_scorecards(spark: SparkSession, sink_path: str, every: int = S.SCORECARD_EVERY,
+                    top: int = S.SCORECARD_TOP) -> DataFrame:
+    """Scorecards of all complete micro-batches, as :func:`scorecard_every` gives them."""
+    base = sink_path.rstrip("/")
+    matches = read_latest(spark, f"{base}/matches", MATCHES)
+    if matches is None:
+        empty = spark.createDataFrame([], INTERVALS).withColumn("last_snap", F.lit(0).cast("long"))
+        return snapshots(empty, every, top)
+    last = latest_version(spark, f"{base}/matches")
+    folders = [f"{base}/intervals/batch={b}" for b in committed(spark, f"{base}/intervals", "batch")
+               if b <= last]
+    sums = (spark.read.schema(INTERVALS).option("basePath", f"{base}/intervals").parquet(*folders)
+            .groupBy("match_id", "batter", "snap")
+            .agg(F.sum("s_runs").alias("s_runs"), F.sum("s_balls").alias("s_balls"),
+                 F.min("s_first").alias("s_first")))
+    lasts = matches.select(F.col("match_id").alias("m"), F.expr(f"balls div {every}").alias("last_snap"))
+    return snapshots(sums.join(lasts, F.col("match_id").eqNullSafe(F.col("m"))).drop("m"), every, top)

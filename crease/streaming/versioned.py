@@ -1,41 +1,39 @@
 """Versioned result tables for micro-batch sinks.
 
-Each micro-batch writes a complete new version ``<base>/v=<batch_id>`` and
-then a one-row pointer ``<base>/_latest``.  A retried batch rewrites the
-same version (idempotent); readers never see a half-written version because
-they follow the pointer, which moves only after the version is complete.
+Each micro-batch writes a complete new version ``<base>/v=<batch_id>``.  The
+current version is the highest one whose job ended (its ``_SUCCESS`` file is
+there): nothing is ever rewritten in place, so a crash at any point leaves the
+version before it, and readers never see a half-written one.  A retried batch
+rewrites its own version.  Versions before the previous one are deleted.
 """
 from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crease.sources.storage import committed, delete
+
+KEEP_VERSIONS = 2             # the current one, and the one a reader may still scan
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def write_version(df: DataFrame, base: str, version: int) -> None:
+    spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{base}/v={version}")
-    (df.sparkSession.createDataFrame([(int(version),)], "version long")
-     .write.mode("overwrite").json(f"{base}/_latest"))
-
+    for old in committed(spark, base, "v")[:-KEEP_VERSIONS]:
+        delete(spark, f"{base}/v={old}")
 
-def ensure_pointer(spark: SparkSession, base: str) -> None:
-    """Create the pointer folder if absent (an empty append changes nothing
-    when it exists), so later reads of it never fail on a missing path."""
-    spark.createDataFrame([], "version long").write.mode("append").json(f"{base}/_latest")
 
+def latest_version(spark: SparkSession, base: str, before: int | None = None) -> int | None:
+    """The highest complete version (below ``before``)."""
+    done = [v for v in committed(spark, base, "v") if before is None or v < before]
+    return done[-1] if done else None
 
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    try:
-        row = spark.read.schema("version long").json(f"{base}/_latest").first()
-    except AnalysisException:
-        return None
-    return None if row is None else int(row["version"])
 
-
-def read_latest(spark: SparkSession, base: str, schema=None) -> DataFrame | None:
-    v = latest_version(spark, base)
+def read_latest(spark: SparkSession, base: str, schema=None, before: int | None = None) -> DataFrame | None:
+    v = latest_version(spark, base, before)
     if v is None:
         return None
     r = spark.read.schema(schema) if schema is not None else spark.read
@@ -57,21 +55,22 @@ def merge_latest(previous: DataFrame | None, changes: DataFrame, keys: list[str]
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None):
-    """Fix a new stream's state partition count (``None``: keep the session's).
-
-    Stateful operators take ``spark.sql.shuffle.partitions`` at a query's
-    first start and keep it in the checkpoint for good, so it is chosen per
-    stream (from the key count and cluster size) rather than inherited.
+def state_settings(spark: SparkSession, partitions: int | None = None):
+    """Settings a new stream takes over at its first start: RocksDB state (state
+    larger than memory spills to disk and is saved as increments), and the state
+    partition count (``None``: the session's), which the checkpoint keeps for good.
     """
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    new = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    if partitions is not None:
+        new["spark.sql.shuffle.partitions"] = str(partitions)
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
-
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -7,7 +7,7 @@ from crease.operators import warehouse as WH
 from crease.plans.daily import run_daily
 from crease.sources import warehouse_io as WIO
 from crease.sources.testtables import deliveries_from_lineitem
-from crease.streaming.live import live_leaderboard
+from crease.streaming.live import live_leaderboard, upsert_sink
 from crease.streaming.versioned import latest_version, merge_latest, read_latest, write_version
 from tests.conftest import SF_SMALL, rows
 
@@ -62,3 +62,33 @@ def test_versioned_table_and_keyed_merge(spark, tmp_dir):
     assert rows(read_latest(spark, base)) == [("a", 12, 1), ("b", 9, 0)]
     lb = live_leaderboard(spark, base)
     assert [r.batter_name for r in lb.collect()] == ["a", "b"]
+
+
+def test_upsert_survives_a_crash_between_batches(spark, tmp_dir):
+    """A version that never finished is no version: the retry merges onto the one before."""
+    base = os.path.join(tmp_dir, "live")
+    stats = "batter string, live_runs long, live_balls long, live_fours long, live_sixes long, live_sr double"
+    sink = upsert_sink(base)
+    sink(spark.createDataFrame([("a", 5, 3, 0, 0, 1.0), ("b", 9, 4, 1, 0, 2.0)], stats), 0)
+    change = spark.createDataFrame([("a", 12, 6, 1, 0, 3.0)], stats)
+    os.makedirs(os.path.join(base, "v=1"))                    # died while writing
+    assert latest_version(spark, base) == 0
+    sink(change, 1)
+    sink(change, 1)                                           # a retry of a complete batch
+    assert [(r.batter_name, r.live_runs) for r in live_leaderboard(spark, base).collect()] == [
+        ("a", 12), ("b", 9)]
+    for i in range(2, 6):
+        sink(change, i)
+    assert len(os.listdir(base)) == 2                         # old versions are pruned
+    assert live_leaderboard(spark, base).count() == 2
+
+
+def test_no_private_scratch_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from crease.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf={}))

@@ -5,67 +5,65 @@ from pyspark.sql import functions as F
 
 from crease import schema as S
 from crease.functions import phase
-from crease.operators.lake import LakeTable, lake_rows
+from crease.operators import lake as LK
 from crease.operators.leaderboards import top_bowlers, top_bowlers_join
 from crease.operators.quality import clean
 from crease.operators.scorecard import scorecard_every
-from crease.plans.replay import replay
+from crease.plans.replay import drain, publish, replay
 from crease.sources.messages import parse_messages, to_envelope
 from crease.sources.testtables import deliveries_from_events, deliveries_from_lineitem
 from crease.streaming.live import live_stats, read_live_table, start_live_stats
-from crease.streaming.scorecard_stream import start_scorecard_stream
+from crease.streaming.scorecard_stream import interval_sink, read_scorecards, start_scorecard_stream
 from tests.conftest import SF_SMALL, rows
 
 
 def test_lake_append_evolve_history(spark, tmp_dir):
-    lake = LakeTable(spark, os.path.join(tmp_dir, "lake")).create()
-    src = lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
+    path = os.path.join(tmp_dir, "lake")
+    src = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
     n = src.count()
-    assert lake.append(src) == n
-    assert [f[1] for f in lake.current_fields()] == [name for _, name, _ in S.LAKE_FIELDS]
-    lake.add_column("phase")
-    assert lake.current_fields()[-1] == (15, "phase", "string")
-    lake.append(src.withColumn("phase", phase("over_num", S.PHASE_SHORT)))
-    scan = lake.scan()
-    assert scan.count() == 2 * n
-    assert scan.filter(F.col("load_id") == 1).filter(F.col("phase").isNotNull()).count() == 0
-    assert lake.scan(as_of=1).count() == n                     # time travel by load
-    hist = [(r.sequence_number, r.added_records, r.total_records, r.schema_id)
-            for r in lake.history().collect()]
-    assert hist == [(1, n, n, 0), (2, n, 2 * n, 1)]
-    parts = {d for d in os.listdir(os.path.join(tmp_dir, "lake", "data", "load_id=1")) if "=" in d}
+    assert LK.append_load(src, path) == 1
+    assert LK.append_load(src.withColumn("phase", phase("over_num", S.PHASE_SHORT)), path) == 2
+    table = LK.scan(spark, path, LK.lake_schema(("phase", "string")))
+    assert table.count() == 2 * n
+    assert table.filter("load_id = 1 AND phase IS NOT NULL").count() == 0
+    assert LK.scan(spark, path, as_of=1).count() == n                   # an earlier state
+    hist = [(r.sequence_number, r.added_records, r.total_records)
+            for r in LK.load_history(spark, path).collect()]
+    assert sorted(hist) == [(1, n, n), (2, n, 2 * n)]
+    parts = {d for d in os.listdir(os.path.join(path, "load_id=1")) if "=" in d}
     assert len(parts) == 12 and all(p.startswith("batting_team=") for p in parts)
-    assert "PartitionFilters: [isnotnull(load_id" in \
-        scan.filter(F.col("batting_team") == "team_1")._jdf.queryExecution().executedPlan().toString()
-    assert rows(lake.columns(), order=True)[-1] == (15, "phase", "string")
-
-
-def test_lake_interrupted_append_is_invisible_and_retry_replaces_it(spark, tmp_dir):
-    lake = LakeTable(spark, os.path.join(tmp_dir, "lake")).create()
-    src = lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
-    n = lake.append(src)
-    # an append that wrote its files but died before the commit record
-    (src.withColumn("load_id", F.lit(2).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_id", "batting_team").parquet(lake.data_path))
-    assert lake.refresh().scan().count() == n
-    assert lake.append(src) == n                       # the retry reuses load 2
-    assert lake.scan().count() == 2 * n
-
-
-def test_lake_idempotent_append(spark, tmp_dir):
-    src = lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
-    for keyed in (False, True):                        # data scan / key table
-        path = os.path.join(tmp_dir, f"lake-{keyed}")
-        lake = LakeTable(spark, path, load_key="match_id" if keyed else None).create()
-        half = src.filter(F.col("match_id") < "1995")
-        first = lake.append_new(half, "match_id")
-        assert lake.append_new(src, "match_id") == src.count() - first
-        assert lake.append_new(src, "match_id") == 0
-        assert lake.scan().count() == src.count()
-        if keyed:
-            keys = spark.read.parquet(os.path.join(path, "_keys"))
-            assert keys.count() == src.select("match_id").distinct().count()
+    plan = table.filter(F.col("batting_team") == "team_1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batting_team" in plan
+    assert {r.name: r.n_values for r in LK.column_profile(table).collect()}["match_id"] == 2 * n
+
+
+def test_lake_interrupted_append_leaves_no_orphans(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lake")
+    src = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
+    assert LK.scan(spark, path).count() == 0
+    LK.append_load(src, path)
+    n = src.count()
+    # a load of twelve teams that died before its job ended
+    (src.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .partitionBy("batting_team").parquet(f"{path}/load_id=2"))
+    assert LK.scan(spark, path).count() == n
+    one = src.filter("batting_team = 'team_3'")
+    assert LK.append_load(one, path) == 3                   # the retry takes a fresh folder
+    assert LK.scan(spark, path).count() == n + one.count()
+
+
+def test_lake_idempotent_append_by_source_path(spark, tmp_dir):
+    """Two matches of one date are two sources; a rerun adds nothing."""
+    path = os.path.join(tmp_dir, "lake")
+    rows_ = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL).withColumn(
+        "file_path", F.concat("match_id", F.lit("-"), F.col("doc_no") % 2)))
+    first = rows_.filter("file_path LIKE '%-0'")
+    LK.append_new(first, path)
+    assert LK.scan(spark, path).count() == first.count() > 0
+    LK.append_new(rows_, path)
+    LK.append_new(rows_, path)
+    assert rows(LK.scan(spark, path).drop("load_id")) == rows(rows_.select(
+        *[c for c in LK.scan(spark, path).columns if c != "load_id"]))
 
 
 def test_bowler_forms_agree(spark):
@@ -73,16 +71,22 @@ def test_bowler_forms_agree(spark):
     assert rows(top_bowlers(c)) == rows(top_bowlers_join(c))
 
 
+def _offsets_per_file(spark, chunks):
+    lo, hi = deliveries_from_events(spark, SF_SMALL).agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    return -(-(hi - lo + 1) // chunks)
+
+
 def _stream_live(spark, tmp_dir, mode, chunks):
     base = os.path.join(tmp_dir, f"{mode}-{chunks}")
     sink, ckpt = f"{base}/table", f"{base}/ckpt"
-    replay(spark, deliveries_from_events(spark, SF_SMALL), f"{base}/src", chunks,
+    replay(spark, deliveries_from_events(spark, SF_SMALL), f"{base}/src",
            lambda env: start_live_stats(parse_messages(env), sink, ckpt, mode=mode,
-                                        trigger={"availableNow": True}))
+                                        trigger={"availableNow": True}),
+           rows=_offsets_per_file(spark, chunks))
     return read_live_table(spark, sink)
 
 
-def test_stream_equals_batch_and_restart(spark, tmp_dir):
+def test_stream_equals_batch(spark, tmp_dir):
     batch = live_stats(parse_messages(to_envelope(deliveries_from_events(spark, SF_SMALL))))
     want = rows(batch.select("batter", "live_runs", "live_balls", "live_fours", "live_sixes"))
     for mode, chunks in (("complete", 1), ("complete", 3), ("update", 3)):
@@ -92,28 +96,51 @@ def test_stream_equals_batch_and_restart(spark, tmp_dir):
         assert got.select(F.max("batch_id")).first()[0] == chunks - 1
 
 
+def test_restart_after_every_file(spark, tmp_dir):
+    balls = deliveries_from_events(spark, SF_SMALL)
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "sink", "ckpt"))
+    lo, hi = balls.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    for at in range(lo, hi + 1, -(-(hi - lo + 1) // 3)):
+        publish(balls.filter(F.col("kafka_offset").between(at, at + (hi - lo) // 3)), src)
+        drain(spark, src, lambda env: start_scorecard_stream(
+            parse_messages(env, clean=False), sink, ckpt, trigger={"availableNow": True}))
+    assert rows(read_scorecards(spark, sink)) == rows(scorecard_every(balls))
+
+
 def test_scorecard_stream_equals_batch(spark, tmp_dir):
     balls = deliveries_from_events(spark, SF_SMALL)
     batch = rows(scorecard_every(balls, block_width=8))   # many blocks per match
     assert batch == rows(scorecard_every(balls))
     sink, ckpt = os.path.join(tmp_dir, "sc"), os.path.join(tmp_dir, "sc-ckpt")
-    replay(spark, balls, os.path.join(tmp_dir, "src"), 4,
+    replay(spark, balls, os.path.join(tmp_dir, "src"),
            lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
-                                              trigger={"availableNow": True}))
-    got = spark.read.parquet(sink).select("match_id", "after_balls", "position", "batter",
-                                           "runs", "balls", "strike_rate")
-    assert rows(got) == batch
-
-
-def test_scorecard_stream_with_state_eviction(spark, tmp_dir):
-    balls = deliveries_from_events(spark, SF_SMALL)
-    want = rows(scorecard_every(balls))
+                                              trigger={"availableNow": True}),
+           rows=_offsets_per_file(spark, 4))
+    assert rows(read_scorecards(spark, sink)) == batch
+
+
+def test_scorecard_stream_with_one_match_of_most_balls(spark, tmp_dir):
+    data = [("hot" if i % 10 else f"m{i % 70}", f"b{i * i % 7}", i % 7, i + 1) for i in range(12_000)]
+    balls = spark.createDataFrame(data, "match_id string, batter string, runs_off_bat int, kafka_offset long")
+    balls = balls.select("*", F.lit("t").alias("batting_team"), F.lit("w").alias("bowler"),
+                         F.lit(0).alias("over_num"), F.lit(1).alias("ball_num"),
+                         F.col("runs_off_bat").alias("total_runs"),
+                         F.lit(None).cast("string").alias("wicket"), F.current_timestamp().alias("event_time"))
     sink, ckpt = os.path.join(tmp_dir, "sc"), os.path.join(tmp_dir, "sc-ckpt")
-    replay(spark, balls, os.path.join(tmp_dir, "src"), 3,
+    replay(spark, balls, os.path.join(tmp_dir, "src"),
            lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
-                                              trigger={"availableNow": True},
-                                              watermark="1 hour", idle_ms=6 * 3600 * 1000))
-    got = spark.read.parquet(sink).select("match_id", "after_balls", "position", "batter",
-                                           "runs", "balls", "strike_rate")
-    assert rows(got) == want
+                                              trigger={"availableNow": True}), rows=5000)
+    assert rows(read_scorecards(spark, sink)) == rows(scorecard_every(balls))
+
 
+def test_retried_scorecard_batch_counts_once(spark, tmp_dir):
+    balls = deliveries_from_events(spark, SF_SMALL)
+    sink, base = interval_sink(tmp_dir), tmp_dir
+    half = balls.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY kafka_offset)")).first()[0]
+    sink(balls.filter(F.col("kafka_offset") <= half), 0)
+    # batch 1 wrote its sums and died before its ball counts: the retry rewrites them
+    late = balls.filter(F.col("kafka_offset") > half)
+    interval_sink(os.path.join(tmp_dir, "elsewhere"))(late, 1)
+    sink(late, 1)
+    sink(late, 1)
+    assert rows(read_scorecards(spark, base)) == rows(scorecard_every(balls))

@@ -43,7 +43,8 @@ def duck():
 def test_every_query_is_registered_with_oracle_where_sql_can_express_it():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"validate_inputs"}
+    # what has no SQL form is tested against plain Python in tests/llm
+    assert {n for n in set(q) - set(o) if not n.startswith("op") and n != "pipeline"} == set()
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

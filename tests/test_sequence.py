@@ -44,3 +44,31 @@ def test_sequential_ids_dense_and_ordered(spark):
     df = spark.createDataFrame([(n,) for n in reversed(names)], "name string")
     out = sorted((r.id, r.name) for r in sequential_ids(df, ["name"], num_partitions=7).collect())
     assert out == [(i + 1, n) for i, n in enumerate(names)]
+
+
+def test_sequential_ids_with_payload_and_without_exchange_reuse(spark):
+    """Sampled ranges may differ from plan to plan; ids must not."""
+    n = 3_000_000
+    df = (spark.range(n).select(F.concat(F.lit("k"), F.hash("id") % 1000, F.lit("-"), "id").alias("name"),
+                                F.xxhash64("id").alias("payload")))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = sequential_ids(df, ["name"], num_partitions=50)
+        got = out.agg(F.countDistinct("id"), F.min("id"), F.max("id"), F.count("payload")).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert tuple(got) == (n, 1, n, n)
+
+
+def test_running_totals_shuffles_the_rows_once(spark):
+    df = spark.range(100_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("off"), F.lit(1).alias("r"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = running_totals(df, ["k"], "off", {"n": F.lit(1)})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the window above the join needs no exchange of its own
+    assert "Window" in plan and "Exchange" not in plan[:plan.index("SortMergeJoin")]

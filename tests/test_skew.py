@@ -1,5 +1,5 @@
-"""A hot match far beyond one block: default settings take the two-level
-scans and the long-match branch; results equal an incremental brute force."""
+"""A hot match far beyond one block of either scan; results equal an incremental
+brute force."""
 import random
 
 from crease.operators.scorecard import fall_of_wickets, scorecard_every
@@ -34,7 +34,7 @@ def test_hot_match_scorecard_and_wickets(spark):
     got = rows(scorecard_every(df).select("match_id", "after_balls", "position", "batter",
                                           "runs", "balls"))
     want = _brute_force(balls)
-    assert len(want) > 3 * 4096                       # past SNAP_BLOCK: long-match branch
+    assert len(want) > 3 * 4096                       # several blocks of intervals
     assert sorted(got) == want
     w = fall_of_wickets(df.withColumn("over_num", df.kafka_offset % 20)
                           .withColumn("ball_num", df.kafka_offset % 6))
