@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crease.sources.messages import read_messages, to_envelope
 
-BATCH_OFFSETS = 20_000
+BATCH_OFFSETS = 50_000
 
 
 def publish(balls: DataFrame, source_dir: str, rows: int = BATCH_OFFSETS) -> int:
