@@ -40,7 +40,7 @@ from crease.llm.common import WORD, free_name, n_words, ship, stage
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5                  # of all words
 MOST = 2                     # times a source, a shard, a document
-BLOCK_WORDS = 128
+BLOCK_WORDS = 16             # small sources come near their targets, too
 SHARD_WORDS = 1 << 20
 SEED = 20240322
 
@@ -73,17 +73,17 @@ def sainte_lague(votes: list[float], seats: int, most: list[int]) -> list[int]:
     if not whole or seats <= 0:
         return [0] * len(votes)
     got = [min(m, int(v * seats / whole + 0.5)) for v, m in zip(votes, most)]
-    seats = min(seats, sum(m for v, m in zip(votes, most) if v > 0))
+    seats, given = min(seats, sum(m for v, m in zip(votes, most) if v > 0)), sum(got)
     give = [(-v / (2 * n + 1), i) for i, (v, n, m) in enumerate(zip(votes, got, most)) if n < m]
     heapq.heapify(give)
-    while sum(got) < seats:
+    for _ in range(seats - given):
         _, i = heapq.heappop(give)
         got[i] += 1
         if got[i] < most[i]:
             heapq.heappush(give, (-votes[i] / (2 * got[i] + 1), i))
     take = [(v / (2 * n - 1), -i) for i, (v, n) in enumerate(zip(votes, got)) if n > 0]
     heapq.heapify(take)
-    while sum(got) > seats:
+    for _ in range(given - seats):
         _, i = heapq.heappop(take)
         i = -i
         got[i] -= 1
