@@ -17,11 +17,11 @@ lower case); similarity is the weighted Jaccard of the multisets.
 * **Verification by hubs.**  A bucket never emits all its pairs.  Its hub -- the
   member that shares the most buckets with others, the original of a group of
   edited copies as a rule -- is compared with each member, on whole multisets, and
-  links join components.  Members of a bucket that still holds several components
-  are dealt anew by prefix filtering: two of them can only be alike if they share a
-  token among their first ones, tokens that the hub lacks first.  These buckets have
-  hubs again, which meet members of other components only and then leave, until no
-  bucket holds two components.
+  links join components.
+* **The rest by prefix filtering.**  In buckets that still hold several components,
+  two members of one hub's circle can only be alike if they share a token among their
+  first ones, tokens that the hub lacks first, and early enough for the overlap they
+  need; few pairs do, and those are compared.
 * **Classes.**  Connected components of the links; the smallest doc_id names one.
 
 Skew: hubs and counts are map-side aggregates; comparisons are dealt by hub and a
@@ -258,15 +258,14 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(bucket, node) by prefix filtering inside each hub's circle.
+    """(bucket, node, pos, size, before): the first tokens of each member of a hub's circle.
 
     Two members with a similarity s share a token among the first n - ceil(s n) + 1
     of their n tokens, in any order common to both.  The order here puts tokens
     that the hub lacks first: members that resemble each other only in what they
-    share with the hub meet in no bucket any more.
+    share with the hub hardly meet any more.  ``before`` are the tokens before.
     """
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, buckets = [], []
         for h, a, n, b in _groups(parts):
             size = int(b[1].sum())
             # tokens: the shingle's first copy, second copy, ...
@@ -279,14 +278,40 @@ def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float =
             token = _mix(token + _GOLDEN * (copy.astype(_U) + _U(1)))
             order = np.lexsort((token, in_hub))
             first = token[order[:size - int(np.ceil(similarity * size - 1e-9)) + 1]]
-            seed = np.frombuffer(h[:8], "<u8")
-            buckets.append(_mix(first + seed).view(np.int64))
-            nodes += [n] * len(first)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(buckets) if buckets else [], pa.int64()),
-             pa.array(nodes, pa.binary())], ["bucket", "node"])
+            bucket = _mix(first + np.frombuffer(h[:8], "<u8")).view(np.int64)
+            k = len(bucket)
+            # one list of earlier tokens for each place: slices of the same array
+            befores = pa.ListArray.from_arrays(
+                np.concatenate([[0], np.cumsum(np.arange(k))]).astype(np.int32),
+                pa.array(np.concatenate([bucket[:m] for m in range(k)])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket), pa.array([n] * k, pa.binary()), pa.array(np.arange(k)),
+                 pa.array(np.full(k, size)), befores], ["bucket", "node", "pos", "size", "before"])
+
+    return _dealt(pairs, texts).mapInArrow(
+        run, "bucket long, node binary, pos long, size long, before array<long>")
+
+
+def prefix_pairs(tokens: DataFrame, labels: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(hub, node): members of different components that may still be alike.
+
+    Of each pair only its first common token counts; what follows there must leave
+    room for the overlap that the similarity asks for, which few pairs reach.
+    """
+    rows = stage(_open(tokens, labels), "near-tokens")
+    x = rows.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "pos", "size", "before")])
+    y = rows.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "pos", "size", "before")])
+    least = similarity / (1 + similarity) * (F.col("x_size") + F.col("y_size")) - 1e-6
+    return (x.join(y, (x["bucket"] == y["bucket"]) & (F.col("x_node") < F.col("y_node"))
+                   & (F.col("x_size") - F.col("x_pos") >= least) & (F.col("y_size") - F.col("y_pos") >= least)
+                   & (F.col("x_label") != F.col("y_label")) & ~F.arrays_overlap("x_before", "y_before"))
+            .select(F.col("x_node").alias("hub"), F.col("y_node").alias("node")).distinct())
 
-    return _dealt(pairs, texts).mapInArrow(run, "bucket long, node binary")
+
+def _digest(edges: DataFrame) -> tuple:
+    """The same for equal sets of distinct edges."""
+    h = F.xxhash64("u", "v").cast("decimal(38,0)")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(h), F.sum(h * h % 1000003)).first())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -304,7 +329,7 @@ def components(links: DataFrame) -> DataFrame:
                                                   .otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
                       .unionByName(low.select("u", F.col("m").alias("v")))
                       .filter("u <> v").distinct(), "near-small")
-        if not edges.exceptAll(small).take(1) and not small.exceptAll(edges).take(1):
+        if _digest(edges) == _digest(small):
             return small.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
                 small.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
         edges = small
@@ -330,31 +355,25 @@ def near_links(docs: DataFrame, sketches: DataFrame, similarity: float = SIMILAR
     texts = stage(docs.select(text_node().alias("node"), "text").join(wanted, "node", "left_semi")
                   .dropDuplicates(["node"]), "near-texts")
     # the buckets of the bands: every member against its hub
-    hub = stage(members.join(hubs(members), "bucket"), "near-hubs")
-    tested = compare(hub.filter("node <> hub").select("hub", "node").distinct(), texts)
+    hub = stage(members.join(hubs(members), "bucket").filter("node <> hub"), "near-hubs")
+    tested = compare(hub.select("hub", "node").distinct(), texts)
     links = tested.filter(F.col("similarity") >= similarity).select("hub", "node")
     labels = components(links)
-    # what may still join two components: members of one hub's circle that share a rare token
-    circle = stage(_open(hub.filter("node <> hub").select("bucket", "node"), labels)
-                   .join(hub.select("bucket", "hub").distinct(), "bucket")
-                   .select("hub", "node").distinct(), "near-circles")
-    rest = stage(rare_first_prefixes(circle, texts, similarity).distinct(), "near-tokens")
-    while True:
-        rest = stage(_open(rest, labels).select("bucket", "node"), "near-open")
-        if rest.isEmpty():
-            return labels
-        rows = stage(_labelled(rest, labels).join(hubs(rest), "bucket"), "near-round")
-        of_hub = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-        pairs = (rows.join(of_hub, "hub", "left")
-                 .filter(F.col("label") != F.coalesce("hub_label", "hub"))
-                 .select("hub", "node").distinct().join(tested.select("hub", "node"), ["hub", "node"], "left_anti"))
-        more = compare(pairs, texts)
-        tested = tested.unionByName(more)
-        found = more.filter(F.col("similarity") >= similarity).select("hub", "node")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
-        rest = rows.filter("node <> hub").select("bucket", "node")
+    # what may still join two components: members of one hub's circle.  1 - similarity
+    # is a distance; a member linked to the hub is in reach of an unlinked one only
+    # if their distances from the hub differ by 1 - similarity at most
+    circle = (_open(hub.select("bucket", "node", "hub"), labels).select("hub", "node").distinct()
+              .join(tested, ["hub", "node"]))
+    nearest = circle.groupBy("hub").agg(
+        F.max(F.when(F.col("similarity") < similarity, F.col("similarity"))).alias("near"))
+    circle = stage(circle.join(nearest, "hub").filter(
+        (F.col("similarity") < similarity)
+        | (F.col("near") >= F.col("similarity") - (1 - similarity) - 1e-9)).select("hub", "node"), "near-circles")
+    pairs = prefix_pairs(rare_first_prefixes(circle, texts, similarity), labels, similarity)
+    more = compare(stage(pairs.join(tested.select("hub", "node"), ["hub", "node"], "left_anti"),
+                         "near-pairs"), texts)
+    found = more.filter(F.col("similarity") >= similarity).select("hub", "node")
+    return labels if found.isEmpty() else components(links.unionByName(found))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
