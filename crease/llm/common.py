@@ -68,3 +68,37 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+BITMAP_WORDS = 1 << 20       # of 64 bits: 8 MB, however many keys go in
+
+
+def hash_bitmap(keys: DataFrame, h: Column) -> DataFrame:
+    """(b_word, b_bits): which values of 26 bits of the long ``h`` occur in ``keys``.
+
+    At most ``BITMAP_WORDS`` rows whatever the keys' number, so it may be broadcast.
+    """
+    return (keys.select(_word(h).alias("b_word"), _bit(h).alias("b_bit"))
+            .groupBy("b_word").agg(F.bit_or("b_bit").alias("b_bits")))
+
+
+def split_by_bitmap(rows: DataFrame, h: Column, bitmap: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be among the keys, rows that are surely not), without a shuffle.
+
+    The first part holds false positives, the more the fuller the bitmap; an exact
+    join on it decides.
+    """
+    marked = rows.select("*", _word(h).alias("b_own"), _bit(h).alias("b_bit")).join(
+        F.broadcast(bitmap), F.col("b_own") == F.col("b_word"), "left")
+    hit = F.coalesce(F.col("b_bits").bitwiseAND(F.col("b_bit")) != 0, F.lit(False))
+    own = [F.col(c) for c in rows.columns]
+    return marked.filter(hit).select(*own), marked.filter(~hit).select(*own)
+
+
+def _word(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - BITMAP_WORDS.bit_length() + 1)
+
+
+def _bit(h: Column) -> Column:
+    return F.call_function(
+        "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63).cast("long")).cast("int"))

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.common import ship, stage
+from crease.llm.common import hash_bitmap, ship, split_by_bitmap, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -205,7 +205,8 @@ def shared_buckets(sketches: DataFrame) -> DataFrame:
     rows = sketches.select("node", F.xxhash64("node").alias("h"), F.explode("buckets").alias("bucket"))
     many = stage(rows.groupBy("bucket").agg(F.min("h").alias("a"), F.max("h").alias("b"))
                  .filter("a < b").select("bucket"), "near-buckets")
-    return stage(rows.join(many, "bucket").select("bucket", "node").distinct(), "near-members")
+    likely, _ = split_by_bitmap(rows, F.xxhash64("bucket"), hash_bitmap(many, F.xxhash64("bucket")))
+    return stage(likely.join(many, "bucket").select("bucket", "node").distinct(), "near-members")
 
 
 def hubs(members: DataFrame) -> DataFrame:
@@ -221,8 +222,9 @@ def hubs(members: DataFrame) -> DataFrame:
 def _dealt(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Texts of pairs, dealt by hub and salt, each group's hub first (node null)."""
     n = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
-    salted = (pairs.join(n, "hub")
-              .select("hub", "node", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")))
+    salted = stage(pairs.join(n, "hub")
+                   .select("hub", "node", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")),
+                   "near-salted")
     t = texts.select(F.col("node").alias("t_node"), "text")
     members = salted.join(t, F.col("node") == F.col("t_node")).select("hub", "salt", "node", "text")
     heads = (salted.select("hub", "salt").distinct().join(t, F.col("hub") == F.col("t_node"))
@@ -298,7 +300,7 @@ def prefix_pairs(tokens: DataFrame, labels: DataFrame, similarity: float = SIMIL
     Of each pair only its first common token counts; what follows there must leave
     room for the overlap that the similarity asks for, which few pairs reach.
     """
-    rows = stage(_open(tokens, labels), "near-tokens")
+    rows = stage(_open(stage(tokens, "near-tokens"), labels), "near-open")
     x = rows.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "pos", "size", "before")])
     y = rows.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "pos", "size", "before")])
     least = similarity / (1 + similarity) * (F.col("x_size") + F.col("y_size")) - 1e-6
@@ -352,8 +354,9 @@ def near_links(docs: DataFrame, sketches: DataFrame, similarity: float = SIMILAR
     """(node, label) of every node that is like another one."""
     members = shared_buckets(sketches)
     wanted = stage(members.select("node").distinct(), "near-wanted")
-    texts = stage(docs.select(text_node().alias("node"), "text").join(wanted, "node", "left_semi")
-                  .dropDuplicates(["node"]), "near-texts")
+    likely, _ = split_by_bitmap(docs.select(text_node().alias("node"), "text"), F.xxhash64("node"),
+                                hash_bitmap(wanted, F.xxhash64("node")))
+    texts = stage(likely.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-texts")
     # the buckets of the bands: every member against its hub
     hub = stage(members.join(hubs(members), "bucket").filter("node <> hub"), "near-hubs")
     tested = compare(hub.select("hub", "node").distinct(), texts)
@@ -403,13 +406,20 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     loose = classes.filter(~worded).select(F.lit(None).cast("long").alias("k_id"), "d_node").distinct()
     keep = stage(best.select(F.col("b.doc_id").alias("k_id"), "b.d_node").unionByName(loose)
                  .withColumnRenamed("d_node", "k_node").distinct(), "near-keep")
-    times = classes.groupBy("doc_id", "d_node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = stage(times.select(F.col("doc_id").alias("a_id"), F.col("d_node").alias("a_node")), "near-again")
+    of = [F.col("doc_id").eqNullSafe(F.col("k_id")), F.col("d_node") == F.col("k_node")]
+    times = classes.groupBy("doc_id", "d_node").agg(F.count(F.lit(1)).alias("n"))
+    # documents to drop, and documents that come more than once: all others stay as they are
+    doubtful = stage(times.join(keep, of, "left")
+                     .select("doc_id", "d_node", F.col("k_node").isNotNull().alias("kept"), "n")
+                     .filter("NOT kept OR n > 1"), "near-doubtful")
     rows = docs.select(F.struct(*docs.columns).alias("d_row"), F.col("doc_id").cast("long").alias("d_id"),
                        text_node().alias("d_node"))
-    kept = rows.join(keep, (F.col("d_node") == F.col("k_node")) & F.col("d_id").eqNullSafe(F.col("k_id")),
-                     "left_semi")
-    same = (F.col("d_node") == F.col("a_node")) & F.col("d_id").eqNullSafe(F.col("a_id"))
-    return (kept.join(again, same, "left_anti")
-            .unionByName(kept.join(again, same, "left_semi").dropDuplicates(["d_id", "d_node"]))
+    likely, sure = split_by_bitmap(rows, F.xxhash64("d_id", "d_node"),
+                                   hash_bitmap(doubtful, F.xxhash64("doc_id", "d_node")))
+    what = doubtful.select(F.col("doc_id").alias("k_id"), F.col("d_node").alias("k_node"), "kept")
+    judged = likely.join(what, F.col("d_id").eqNullSafe(F.col("k_id"))
+                         & (F.col("d_node") == F.col("k_node")), "left")
+    return (sure.select("d_row")
+            .unionByName(judged.filter("kept IS NULL").select("d_row"))
+            .unionByName(judged.filter("kept").dropDuplicates(["d_id", "d_node"]).select("d_row"))
             .select("d_row.*"))
