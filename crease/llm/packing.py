@@ -34,7 +34,7 @@ from crease.llm.common import ship, stage
 CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 3000          # nodes of the branch and bound; the incumbent stands beyond it
-BUCKET_ROWS = 1 << 16        # pieces numbered in one window partition
+BUCKET_ROWS = 1 << 11        # pieces numbered in one window partition
 CACHE_WORDS = 1 << 20        # distinct words a worker remembers before it starts afresh
 LONGEST_CACHED = 64          # characters of a remembered word
 
