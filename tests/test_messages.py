@@ -6,6 +6,7 @@ from crease.schema import ENVELOPE
 from crease.sources.messages import encode_messages, parse_messages
 from tests.conftest import rows
 
+# fixed values: the documented sample message
 SAMPLE = {"match_id": "2024-04-09", "batting_team": "Sunrisers Hyderabad", "over": 0, "ball": 3,
           "batter": "TM Head", "bowler": "K Rabada", "runs_off_bat": 4, "extras": 0,
           "total_runs": 4, "wicket": None}
