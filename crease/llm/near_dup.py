@@ -104,7 +104,7 @@ def bag_minhash(keys: np.ndarray, weights: np.ndarray, owner: np.ndarray, n_docs
     total = np.bincount(owner, weights, n_docs)
     value = np.zeros((n_docs, registers), _U)
     # (shingle, octave) processes: octave 0 is [0, 1), octave j is [2^(j-1), 2^j)
-    top = np.frexp(weights.astype(float))[1]        # octaves of a weight: its bit length
+    top = np.frexp(weights - 1.0)[1] + 1            # octaves up to the one that holds the weight's end
     rep = np.repeat(np.arange(len(keys)), top)
     octave = np.arange(len(rep)) - np.repeat(np.cumsum(top) - top, top)
     low = np.where(octave == 0, 0, 1 << np.maximum(octave - 1, 0))

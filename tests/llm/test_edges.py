@@ -157,6 +157,26 @@ def test_bag_minhash_is_unbiased_on_weights():
     assert abs((s[0] == s[1]).mean() - near_dup.weighted_jaccard(a, b)) < 0.02
 
 
+@pytest.mark.parametrize("low", [3, 7, 15])
+def test_bag_minhash_between_powers_of_two(low):
+    # a passage of 40 words, `low` times against one time more
+    import numpy as np
+    passage = [f"p{i}" for i in range(40)]
+    a, b = near_dup.shingles(passage * low), near_dup.shingles(passage * (low + 1))
+    true = near_dup.weighted_jaccard(a, b)
+    keys, weights = map(np.concatenate, zip(a, b))
+    owner = np.repeat([0, 1], [len(a[0]), len(b[0])])
+    s = near_dup.bag_minhash(keys, weights, owner, 2, 20_000)
+    assert abs((s[0] == s[1]).mean() - true) < 0.02
+    # 200 pairs through the bands
+    met = 0
+    for salt in range(200):
+        salted = near_dup._mix(keys + np.uint64(salt + 1))
+        x, y = near_dup.band_hashes(near_dup.bag_minhash(salted, weights, owner, 2))
+        met += bool((x == y).any())
+    assert met >= 200 * (1 - (1 - true ** near_dup.ROWS) ** near_dup.BANDS) - 6
+
+
 def test_near_duplicate_circles(spark):
     """Pairs that no hub links: variants alike among themselves, not like the hub."""
     base = WORDS[:100]
