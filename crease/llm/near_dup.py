@@ -50,6 +50,7 @@ SIMILARITY = 0.8
 BANDS = 26
 ROWS = 5
 SALT_ROWS = 512              # comparisons of one hub in one group
+EARLIER = 8                  # tokens before a token that its row carries
 CACHE_WORDS = 1 << 19
 
 _U = np.uint64
@@ -265,7 +266,8 @@ def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float =
     Two members with a similarity s share a token among the first n - ceil(s n) + 1
     of their n tokens, in any order common to both.  The order here puts tokens
     that the hub lacks first: members that resemble each other only in what they
-    share with the hub hardly meet any more.  ``before`` are the tokens before.
+    share with the hub hardly meet any more.  ``before`` are the ``EARLIER`` tokens
+    before at most, so that a row's size is bounded whatever the text's length.
     """
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, a, n, b in _groups(parts):
@@ -282,10 +284,11 @@ def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float =
             first = token[order[:size - int(np.ceil(similarity * size - 1e-9)) + 1]]
             bucket = _mix(first + np.frombuffer(h[:8], "<u8")).view(np.int64)
             k = len(bucket)
-            # one list of earlier tokens for each place: slices of the same array
+            carried = np.minimum(np.arange(k), EARLIER)
+            ends = np.cumsum(carried)
+            at = np.arange(ends[-1]) + np.repeat(np.arange(k) - ends, carried)
             befores = pa.ListArray.from_arrays(
-                np.concatenate([[0], np.cumsum(np.arange(k))]).astype(np.int32),
-                pa.array(np.concatenate([bucket[:m] for m in range(k)])))
+                np.concatenate([[0], ends]).astype(np.int32), pa.array(bucket[at]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket), pa.array([n] * k, pa.binary()), pa.array(np.arange(k)),
                  pa.array(np.full(k, size)), befores], ["bucket", "node", "pos", "size", "before"])
@@ -297,8 +300,10 @@ def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float =
 def prefix_pairs(tokens: DataFrame, labels: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(hub, node): members of different components that may still be alike.
 
-    Of each pair only its first common token counts; what follows there must leave
-    room for the overlap that the similarity asks for, which few pairs reach.
+    What follows a common token must leave room for the overlap that the similarity
+    asks for, which few pairs reach.  A pair that has room at any common token has it
+    at its first one, and a distinct leaves one row a pair.  The tokens just before only
+    save rows: a pair that shares one of them has met there already.
     """
     rows = stage(_open(stage(tokens, "near-tokens"), labels), "near-open")
     x = rows.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "pos", "size", "before")])

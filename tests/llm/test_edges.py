@@ -177,6 +177,33 @@ def test_bag_minhash_between_powers_of_two(low):
     assert met >= 200 * (1 - (1 - true ** near_dup.ROWS) ** near_dup.BANDS) - 6
 
 
+def test_prefix_rows_grow_with_the_prefix_only(spark):
+    """A look-alike of 100,000 words in an open circle: rows of a bounded size, one a prefix token."""
+    n = 100_000
+    long, hub = [[f"{c}{i}" for i in range(n)] for c in "ab"]
+    texts = spark.createDataFrame([(bytearray(b"h" * 16), " ".join(hub)), (bytearray(b"x" * 16), " ".join(long))],
+                                  "node binary, text string")
+    pairs = spark.createDataFrame([(bytearray(b"h" * 16), bytearray(b"x" * 16))], "hub binary, node binary")
+    tokens = near_dup.rare_first_prefixes(pairs, texts)
+    size = n - near_dup.SHINGLE + 1
+    got = tokens.agg(F.count("*"), F.max("pos"), F.min("size"), F.max(F.size("before"))).first()[:]
+    assert got == (size // 5 + 1, size // 5, size, near_dup.EARLIER)
+    rows = {r.pos: r for r in tokens.filter("pos < 30").collect()}
+    assert rows[0].before == [] and rows[3].before == [rows[i].bucket for i in range(3)]
+    assert rows[29].before == [rows[i].bucket for i in range(29 - near_dup.EARLIER, 29)]
+
+
+def test_prefix_pairs_come_once(spark):
+    """Many common first tokens give one row; a first common token too late gives none."""
+    rows = [(b, node, pos, 100, []) for node, ps in (("x", range(12)), ("y", range(12)), ("z", range(15, 21)))
+            for b, pos in enumerate(ps)]
+    tokens = spark.createDataFrame(rows, "bucket long, node string, pos long, size long, before array<long>").withColumn(
+        "node", F.col("node").cast("binary"))
+    none = spark.createDataFrame([], "node binary, label binary")
+    got = [(bytes(r.hub), bytes(r.node)) for r in near_dup.prefix_pairs(tokens, none).collect()]
+    assert got == [(b"x", b"y")]
+
+
 def test_near_duplicate_circles(spark):
     """Pairs that no hub links: variants alike among themselves, not like the hub."""
     base = WORDS[:100]
