@@ -1,17 +1,17 @@
 """Main-text extraction by tag-path ratios.
 
-A page is read into text nodes in page order, each with its tag path (the tags
-from the root down to it).  Per tag path the text length and the punctuation are
+A page is read into text nodes in page order, each with its tag path (the block-level
+tags from the root down to it).  Per tag path the text length and the punctuation are
 summed and divided by the path's nodes: the path's ratios.  Node by node the
 ratios are smoothed along the page with a Gaussian, fused into one score (length
 times punctuation), and the scores summed into every container the nodes stand in.
-The container path with the best sum among the page's ``article``/``main`` elements
--- on pages without any, the innermost one that keeps most of the page's score, and
-in it the paths over a threshold -- gives the content nodes.
+The innermost container path that keeps most of the page's score, or one above it
+that holds further paths of like ratios, gives the content: from its first block over
+a threshold to its last one, and the headings before.  ``article`` and ``main`` get a bonus in the
+score and stand for the containers in them; they decide nothing by themselves.
 
-Elements that are furniture by tag, role, class or id (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) take no part,
-and neither do comments and the head.
+Furniture takes no part: menus, headers, footers, asides, scripts and styles by their
+tag; sidebars, notices, adverts, forms, reader comments by role, class or id.  Nor do comments and the head.
 
 Blocks: the text between two block-level tags is a block; character references are
 decoded, white space runs become one space, blocks without text go, and blocks are
@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from crease.llm.common import ship
 
 SMOOTH = 2.0                 # standard deviation of the Gaussian, in nodes
-CONTAINER_SHARE = 0.6        # of the page's score, that an unnamed container keeps
-THRESHOLD = 0.25             # of the container's mean score, outside article and main
+CONTAINER_SHARE = 0.6        # of the page's score, that the container keeps
+THRESHOLD = 0.25             # of the container's mean score, for a block or a further path
+NAMED = 2.0                  # times the score, in article and main
 
 # fixed values: HTML element names
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -50,6 +51,9 @@ BLOCK = frozenset(
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
 SKIPPED = RAW | frozenset(
     "head nav header footer aside form menu button select option input dialog object".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# stand beside others of their kind: their parent is the container
+PARTS = HEADINGS | frozenset("p li td th tr tbody thead table ul ol dl dt dd blockquote pre".split())
 P_WITHIN = frozenset("button td th table".split())
 # a start tag on the left closes these when they are open, up to the nearest of the others
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
@@ -74,9 +78,8 @@ _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?]")
 
 
-def is_furniture(tag: str, attrs: str) -> bool:
-    if tag in SKIPPED:
-        return True
+def named_furniture(tag: str, attrs: str) -> bool:
+    """Furniture by role, class or id."""
     if tag in ("html", "body", "article", "main") or "=" not in attrs:
         return False
     for name, *values in _NAMES.findall(attrs):
@@ -88,10 +91,11 @@ def is_furniture(tag: str, attrs: str) -> bool:
 
 class TagPaths:
     """The page's tag paths as numbers: a path is its parent's number and a tag.
-    Number 0 is the root; parents come before their children."""
+    Number 0 is the root; parents come before their children.  ``wrapper`` gives
+    the enclosing one of every element that is furniture by name (0: none)."""
 
     def __init__(self):
-        self.parent, self.tag = [0], [""]
+        self.parent, self.tag, self.wrapper = [0], [""], [0]
         self._numbers: dict[tuple[int, str], int] = {}
 
     def child(self, parent: int, tag: str) -> int:
@@ -103,16 +107,21 @@ class TagPaths:
 
 
 class _Stack:
-    """Open elements: tag, inside furniture, path number."""
+    """Open elements: tag, inside furniture by tag, path number, furniture by name."""
 
     def __init__(self, paths: TagPaths):
         self.paths = paths
-        self.open: list[tuple[str, bool, int]] = [("", False, 0)]
+        self.open: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
         self.count: dict[str, int] = {}
 
-    def push(self, tag: str, furniture: bool) -> None:
-        _, inside, path = self.open[-1]
-        self.open.append((tag, inside or furniture, self.paths.child(path, tag)))
+    def push(self, tag: str, attrs: str) -> None:
+        _, inside, path, wrapper = self.open[-1]
+        if named_furniture(tag, attrs):
+            self.paths.wrapper.append(wrapper)
+            wrapper = len(self.paths.wrapper) - 1
+        if tag in BLOCK:
+            path = self.paths.child(path, tag)
+        self.open.append((tag, inside or tag in SKIPPED, path, wrapper))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def close(self, tags, within=frozenset()) -> None:
@@ -122,7 +131,7 @@ class _Stack:
             return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] in tags:
-                for tag, _, _ in self.open[i:]:
+                for tag, *_ in self.open[i:]:
                     self.count[tag] -= 1
                 del self.open[i:]
                 return
@@ -130,18 +139,19 @@ class _Stack:
                 return
 
 
-def text_nodes(page: str, paths: TagPaths) -> list[tuple[int, int, str]]:
-    """(tag path, block number, text) of every text node outside furniture."""
+def text_nodes(page: str, paths: TagPaths) -> list[tuple[int, int, str, int]]:
+    """(tag path, block number, text, furniture by name that it stands in) of every
+    text node outside furniture by tag."""
     out: list = []
     stack = _Stack(paths)
     block = 0
     scan = _NODE.scanner(page)
     while m := scan.match():
         text, tag = m["text"], m["tag"]
-        _, furniture, path = stack.open[-1]
+        _, furniture, path, wrapper = stack.open[-1]
         if text is not None:
             if not furniture:
-                out.append((path, block, text))
+                out.append((path, block, text, wrapper))
             continue
         if tag is None:                              # a comment or declaration
             continue
@@ -154,27 +164,31 @@ def text_nodes(page: str, paths: TagPaths) -> list[tuple[int, int, str]]:
             scan = _NODE.scanner(page, end.end() if end else len(page))
         elif tag in VOID:
             if tag == "br" and not furniture:
-                out.append((path, block, " "))
+                out.append((path, block, " ", wrapper))
         else:
             if tag in BLOCK:
                 stack.close(("p",), P_WITHIN)
             if tag in CLOSES:
                 stack.close(*CLOSES[tag])
-            stack.push(tag, is_furniture(tag, m["attrs"]))
+            stack.push(tag, m["attrs"])
     return out
 
 
-def path_scores(nodes: list[tuple[int, int, str]]) -> list[float]:
-    """The fused, smoothed tag-path ratio at every node."""
+def path_scores(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> tuple[list[float], list[float]]:
+    """The fused tag-path ratio at every node: smoothed, and the path's own."""
     sums: dict[int, list[float]] = {}
-    for path, _, text in nodes:
+    for path, _, text, _ in nodes:
         s = sums.setdefault(path, [0, 0, 0])
         s[0] += 1
         s[1] += len(text.strip())
         s[2] += len(_PUNCTUATION.findall(text))
-    length = np.array([sums[p][1] / sums[p][0] for p, _, _ in nodes])
-    points = np.array([(1 + sums[p][2]) / sums[p][0] for p, _, _ in nodes])
-    return (_smoothed(length) * _smoothed(points)).tolist()
+    named = [False]
+    for p in range(1, len(paths.tag)):
+        named.append(named[paths.parent[p]] or paths.tag[p] in ("article", "main"))
+    bonus = np.array([NAMED if named[n[0]] else 1.0 for n in nodes])
+    length = np.array([sums[n[0]][1] / sums[n[0]][0] for n in nodes])
+    points = np.array([(1 + sums[n[0]][2]) / sums[n[0]][0] for n in nodes])
+    return (_smoothed(length) * _smoothed(points) * bonus).tolist(), (length * points * bonus).tolist()
 
 
 def _smoothed(values: np.ndarray) -> np.ndarray:
@@ -183,38 +197,79 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return (np.convolve(values, _KERNEL)[full] / np.convolve(np.ones(len(values)), _KERNEL)[full])
 
 
-def content_nodes(nodes: list[tuple[int, int, str]], paths: TagPaths) -> list[bool]:
-    """Which nodes belong to the main text."""
-    scores = path_scores(nodes)
+def without_furniture(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> list[tuple[int, int, str, int]]:
+    """The nodes outside furniture by name."""
+    return [node for node in nodes if not node[3]]
+
+
+def container(nodes: list[tuple[int, int, str, int]], scores: list[float], own: list[float], paths: TagPaths) -> int:
+    """The path that holds the main text."""
     n = len(paths.tag)
-    held = [0.0] * n                                 # score by container path
-    for (path, _, _), s in zip(nodes, scores):
+    held, raw, count = [0.0] * n, [0.0] * n, [0] * n  # by container path
+    at, times = [0.0] * n, [0] * n                    # by the path itself
+    for (path, _, text, _), s, o in zip(nodes, scores, own):
         held[path] += s
+        if text.strip():
+            at[path] += o
+            times[path] += 1
+    raw[:], count[:] = at, times
+    children: list[list[int]] = [[] for _ in range(n)]
     for p in range(n - 1, 0, -1):
-        held[paths.parent[p]] += held[p]
-    named = [p for p in range(n) if paths.tag[p] in ("article", "main")]
-    if named:
-        best = max(named, key=lambda p: (held[p], -p))
-    else:
-        most = held[0] * CONTAINER_SHARE
-        best = max(p for p in range(n) if held[p] >= most and (not p or paths.tag[p] in BLOCK))
-        if paths.tag[best] in ("p", "li", "td", "blockquote"):
-            best = paths.parent[best]                # paragraphs stand beside others
-    inside = [False] * n
-    for p in range(best, n):
+        up = paths.parent[p]
+        held[up] += held[p]
+        raw[up] += raw[p]
+        count[up] += count[p]
+        children[up].append(p)
+    most = held[0] * CONTAINER_SHARE
+    best = max(p for p in range(n) if held[p] >= most)
+    while best and paths.tag[best] in PARTS:
+        best = paths.parent[best]
+    like = THRESHOLD * raw[best] / max(1, count[best])
+    # up to the highest container with further paths like these, or with the page's title
+    p, top = best, best
+    while p:
+        p, below = paths.parent[p], p
+        if (paths.tag[p] in ("article", "main") or times[p] and at[p] >= like * times[p]
+                or any(count[c] and (raw[c] >= like * count[c] or paths.tag[c] == "h1")
+                       for c in children[p] if c != below)):
+            top = p
+    return top
+
+
+def content_nodes(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> list[bool]:
+    """Which nodes belong to the main text."""
+    scores, own = path_scores(nodes, paths)
+    best = container(nodes, scores, own, paths)
+    inside = [False] * len(paths.tag)
+    for p in range(best, len(paths.tag)):
         inside[p] = p == best or inside[paths.parent[p]]
-    chosen = [s for (p, _, _), s in zip(nodes, scores) if inside[p]]
-    least = 0.0 if named else THRESHOLD * sum(chosen) / max(1, len(chosen))
-    return [inside[p] and s >= least for (p, _, _), s in zip(nodes, scores)]
+    chosen = [s for (p, *_), s in zip(nodes, scores) if inside[p]]
+    least = THRESHOLD * sum(chosen) / max(1, len(chosen))
+    # a block counts by its best node; headings go with what they head, and short blocks
+    # between two that count (lists, captions) with these
+    best_of: dict[int, float] = {}
+    heading: dict[int, bool] = {}
+    for (p, block, text, _), s in zip(nodes, scores):
+        if inside[p] and text.strip():
+            best_of[block] = max(best_of.get(block, 0.0), s)
+            heading[block] = paths.tag[p] in HEADINGS
+    blocks = list(best_of)
+    over = [k for k, block in enumerate(blocks) if best_of[block] >= least]
+    if not over:
+        return [False] * len(nodes)
+    first = over[0]
+    while first and heading[blocks[first - 1]]:
+        first -= 1
+    return [inside[p] and blocks[first] <= block <= blocks[over[-1]] for p, block, *_ in nodes]
 
 
 def main_text(page: str | None) -> str:
     paths = TagPaths()
-    nodes = text_nodes(page or "", paths)
+    nodes = without_furniture(text_nodes(page or "", paths), paths)
     if not nodes:
         return ""
     blocks: dict[int, list[str]] = {}
-    for (_, block, text), keep in zip(nodes, content_nodes(nodes, paths)):
+    for (_, block, text, _), keep in zip(nodes, content_nodes(nodes, paths)):
         if keep:
             blocks.setdefault(block, []).append(text)
     lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks.values())

@@ -354,3 +354,29 @@ def test_html_edges(spark):
     got = {r.page_id: r for r in html_extract.extract(df).collect()}
     for i, (_, text) in cases.items():
         assert (got[i].text, got[i].n_chars) == (text, len(text)), i
+
+
+SENTENCES = "<p>One long sentence, with commas, and more words that follow it. Then another one, of a like length, ends here.</p>"
+
+
+def test_html_scores_choose_without_article_elements():
+    """The supplied pages with the article's tags renamed: the same text, headings too."""
+    import pyarrow.parquet as pq
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist()
+    for page in pages:
+        want = html_extract.main_text(page)
+        renamed = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html_extract.main_text(renamed) == want
+
+
+def test_html_containers_by_their_score():
+    s = SENTENCES
+    cases = {  # page: sentences found, what else must be there
+        f"<article>promo</article><div>{s * 3}</div>": (3, ""),
+        f"<div><section>{s * 13}</section><div>{s * 7}</div></div><div>x</div>": (20, ""),
+        f"<div><h1>Title</h1><div>{s * 4}</div></div><p>legal</p>": (4, "Title"),
+        f"<div>{s}<ul>{'<li>go' * 12}</ul>{s}</div>": (2, "go"),
+    }
+    for page, (n, other) in cases.items():
+        got = html_extract.main_text(page)
+        assert (got.count("One long"), other in got, "promo" in got) == (n, True, False), page
