@@ -11,7 +11,8 @@ a threshold to its last one, and the headings before.  ``article`` and ``main``
 score and stand for the containers in them; they decide nothing by themselves.
 
 Furniture takes no part: menus, headers, footers, asides, scripts and styles by their
-tag; sidebars, notices, adverts, forms, reader comments by role, class or id.  Nor do comments and the head.
+tag; sidebars, notices, adverts, forms, reader comments by role, class or id, unless
+the element holds several blocks and most of the page's score.  Nor do comments and the head.
 
 Blocks: the text between two block-level tags is a block; character references are
 decoded, white space runs become one space, blocks without text go, and blocks are
@@ -38,6 +39,7 @@ from crease.llm.common import ship
 
 SMOOTH = 2.0                 # standard deviation of the Gaussian, in nodes
 CONTAINER_SHARE = 0.6        # of the page's score, that the container keeps
+WRAPPER_SHARE = 0.5          # of the page's score; what holds more is no furniture by its name
 THRESHOLD = 0.25             # of the container's mean score, for a block or a further path
 NAMED = 2.0                  # times the score, in article and main
 
@@ -50,7 +52,7 @@ BLOCK = frozenset(
     .split())
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
 SKIPPED = RAW | frozenset(
-    "head nav header footer aside form menu button select option input dialog object".split())
+    "head nav header footer aside menu button select option input dialog object".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # stand beside others of their kind: their parent is the container
 PARTS = HEADINGS | frozenset("p li td th tr tbody thead table ul ol dl dt dd blockquote pre".split())
@@ -64,6 +66,12 @@ FURNITURE = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs header masthead footer notice notices "
     "cookie cookies consent alert comment comments reply replies respond disqus share sharing "
     "social related newsletter subscribe popup modal widget form login".split())
+# words that leave the meaning of a furniture word as it is, and words before it that turn it
+PLAIN = frozenset(
+    "site page top bottom left right main global primary secondary list container wrapper wrap inner "
+    "outer section box bar block area item items group button buttons link links content".split())
+TURNS = frozenset("has with no without is".split())
+HEADERS = frozenset("header masthead banner".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
 _REACH = math.ceil(2 * SMOOTH)
@@ -79,16 +87,29 @@ _PUNCTUATION = re.compile(r"[.,;:!?]")
 
 
 def named_furniture(tag: str, attrs: str) -> bool:
-    """Furniture by role, class or id."""
+    """Furniture by role, class or id (or a form)."""
+    if tag == "form":
+        return True
     if tag in ("html", "body", "article", "main") or "=" not in attrs:
         return False
     for name, *values in _NAMES.findall(attrs):
-        words = set(_WORDS.findall("".join(values).lower()))
-        if words & (ROLES if name.lower() == "role" else FURNITURE):
-            return True
+        for token in "".join(values).lower().split():
+            if name.lower() == "role":
+                if token in ROLES:
+                    return True
+            elif _says_furniture(_WORDS.findall(token)):
+                return True
     return False
 
 
+def _says_furniture(words: list[str]) -> bool:
+    """``sidebar``, ``site-header``, ``post-comments``; not ``has-sidebar``,
+    ``article-header``, ``social-science``."""
+    if not FURNITURE.intersection(words) or words[0] in TURNS:
+        return False
+    return words[-1] in FURNITURE - HEADERS or all(w in FURNITURE or w in PLAIN for w in words)
+
+
 class TagPaths:
     """The page's tag paths as numbers: a path is its parent's number and a tag.
     Number 0 is the root; parents come before their children.  ``wrapper`` gives
@@ -198,8 +219,25 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
 
 
 def without_furniture(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> list[tuple[int, int, str, int]]:
-    """The nodes outside furniture by name."""
-    return [node for node in nodes if not node[3]]
+    """The nodes outside furniture by name.  What holds several blocks and most of the
+    page's score is none, nor is what holds all of it."""
+    n = len(paths.wrapper)
+    if n == 1:
+        return nodes
+    held, blocks, seen = [0.0] * n, [0] * n, -1
+    for node, s in zip(nodes, path_scores(nodes, paths)[1]):
+        held[node[3]] += s
+        if node[2].strip() and node[1] != seen:
+            seen = node[1]
+            blocks[node[3]] += 1
+    for w in range(n - 1, 0, -1):
+        held[paths.wrapper[w]] += held[w]
+        blocks[paths.wrapper[w]] += blocks[w]
+    out = [False] * n
+    for w in range(1, n):
+        most = blocks[w] > 1 and held[w] > held[0] * WRAPPER_SHARE
+        out[w] = out[paths.wrapper[w]] or not most and blocks[w] < blocks[0]
+    return [node for node in nodes if not out[node[3]]]
 
 
 def container(nodes: list[tuple[int, int, str, int]], scores: list[float], own: list[float], paths: TagPaths) -> int:

@@ -380,3 +380,17 @@ def test_html_containers_by_their_score():
     for page, (n, other) in cases.items():
         got = html_extract.main_text(page)
         assert (got.count("One long"), other in got, "promo" in got) == (n, True, False), page
+
+
+def test_html_nothing_is_lost_by_a_name():
+    s = SENTENCES
+    cases = {  # page: sentences found, what else must be there
+        f"<div class='layout has-sidebar'><article>{s}</article><div class=sidebar>x</div></div>": (1, ""),
+        f"<article><div class='article-header'><h1>Title</h1></div><div class='social-science'>{s * 2}</div>{s}</article>": (3, "Title"),
+        f"<div class=sidebar>{s * 3}</div><p>x</p>": (3, ""),
+        f"<form id=page><div>{s * 3}</div></form>": (3, ""),
+        "<aside><article>promo</article></aside><div>story</div>": (0, "story"),
+    }
+    for page, (n, other) in cases.items():
+        got = html_extract.main_text(page)
+        assert (got.count("One long"), other in got, "promo" in got) == (n, True, False), page
