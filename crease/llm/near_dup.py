@@ -384,15 +384,20 @@ def near_links(docs: DataFrame, sketches: DataFrame, similarity: float = SIMILAR
     return labels if found.isEmpty() else components(links.unionByName(found))
 
 
+def labelled(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, node, worded and label (the smallest node of the class) of every document."""
+    sketches = stage(sketch(docs), "near-sketches")
+    labels = stage(near_links(docs, sketches, similarity), "near-labels")
+    return (sketches.select("doc_id", "node", (F.size("buckets") > 0).alias("worded"))
+            .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, node and class_id (the smallest doc_id of the class) of every document.
 
     Documents without words are classes of their own.
     """
-    sketches = stage(sketch(docs), "near-sketches")
-    labels = stage(near_links(docs, sketches, similarity), "near-labels")
-    rows = (sketches.select("doc_id", "node", (F.size("buckets") > 0).alias("worded"))
-            .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    rows = labelled(docs, similarity)
     least = rows.filter("worded").groupBy("label").agg(F.min("doc_id").alias("least"))
     return (rows.join(least, "label", "left")
             .select("doc_id", "node", F.when(F.col("worded"), F.col("least"))
@@ -401,16 +406,14 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, all columns as they came: the smallest doc_id's
-    (of equal ids the smallest text hash's; of equal rows any one)."""
-    classes = stage(near_classes(docs, similarity).select("doc_id", F.col("node").alias("d_node"), "class_id"),
-                    "near-classes")
-    worded = F.col("class_id").isNotNull()
-    best = classes.filter(worded).groupBy("class_id").agg(
+    (of equal ids the smallest text hash's; of equal rows any one).  Documents without
+    words all stay."""
+    # classes go by their label, for ids may be repeated or null
+    classes = stage(labelled(docs, similarity).filter("worded")
+                    .select("doc_id", F.col("node").alias("d_node"), "label"), "near-classes")
+    best = classes.groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "d_node")).alias("b"))
-    # rows without a class id (all ids of the class are null) have their text as class
-    loose = classes.filter(~worded).select(F.lit(None).cast("long").alias("k_id"), "d_node").distinct()
-    keep = stage(best.select(F.col("b.doc_id").alias("k_id"), "b.d_node").unionByName(loose)
-                 .withColumnRenamed("d_node", "k_node").distinct(), "near-keep")
+    keep = stage(best.select(F.col("b.doc_id").alias("k_id"), F.col("b.d_node").alias("k_node")), "near-keep")
     of = [F.col("doc_id").eqNullSafe(F.col("k_id")), F.col("d_node") == F.col("k_node")]
     times = classes.groupBy("doc_id", "d_node").agg(F.count(F.lit(1)).alias("n"))
     # documents to drop, and documents that come more than once: all others stay as they are

@@ -148,6 +148,15 @@ def test_near_duplicates_edges(spark, docs, nothing):
     assert near_dup.near_classes(nothing).count() == 0
 
 
+def test_one_per_class_with_repeated_and_null_ids(spark):
+    a, b = " ".join(WORDS[:100]), " ".join(WORDS[200:300])
+    rows = [(7, a), (7, b), (7, ""), (8, a), (None, ""), (None, ""), (None, None), (9, " "), (9, " "),
+            (None, "all ids null"), (None, "all ids null")]
+    kept = near_dup.one_per_class(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(7, a), (7, b), (7, ""), (None, ""), (None, ""), (None, None), (9, " "), (9, " "), (None, "all ids null")])
+
+
 def test_bag_minhash_is_unbiased_on_weights():
     import numpy as np
     a = near_dup.shingles("a a a a a b b c d d d d d d d d d".split(), 1)
