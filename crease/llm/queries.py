@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from crease.llm.bm25 import top_k
 from crease.llm.chat import conversation_digests, format_conversations
-from crease.llm.common import read_table, stage
+from crease.llm.common import WORD, read_table, stage
 from crease.llm.html_extract import extract
 from crease.llm.line_dedup import drop_frequent_lines
 from crease.llm.mixing import mix_report
 from crease.llm.near_dup import near_classes
 from crease.llm.packing import pack_documents
+from crease.llm.periodic_runs import periodic_runs
 from crease.llm.quality import judge
+from crease.llm.token_alignment import align_documents
 from crease.llm.url_filter import judge_urls
 from crease.llm.warc import archive_and_index
 
@@ -70,6 +72,39 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "documents"))
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(read_table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """One text in ten, by its id's checksum, goes periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"array(named_struct('w', regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), 'g', g))")
+    looped = F.expr("""transform(transform(words, s -> named_struct('w', s.w, 'n', size(s.w), 'g', s.g,
+          'a', cast(pmod(s.g, size(s.w)) as int))),
+        s -> array_join(transform(sequence(0, s.n - 1), i -> s.w[if(i < s.a, i,
+          cast(s.a + (i - s.a) % (1 + (s.n - s.a) div (3 + s.g % 8)) as int))]), ' '))[0]""")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    mark = (F.col("h") % 10 == 0) & F.regexp_like("text", F.lit(WORD))
+    rows = rows.select("doc_id", "text", F.when(mark, words).alias("words"))
+    return rows.select("doc_id", F.when(F.col("words").isNotNull(), looped).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(_looped(read_table(spark, sf_dir, "documents")))
+    best = F.expr("""aggregate(runs, cast(null as struct<start: long, length: long, period: long>),
+        (b, r) -> if(b is null or r.length * b.period > b.length * r.period, r, b))""")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return (rows.withColumn("best", best).select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES = {
     "op1_sainte_lague_mixing": op1_sainte_lague_mixing,
     "op2_warc_index_merge": op2_warc_index_merge,
@@ -81,6 +116,8 @@ QUERIES = {
     "op8_bm25_block_max_wand": op8_bm25_block_max_wand,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
+    "op11_pair_bitmaps": op11_pair_bitmaps,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
