@@ -15,6 +15,7 @@ from crease.llm.near_dup import near_classes
 from crease.llm.packing import pack_documents
 from crease.llm.periodic_runs import periodic_runs
 from crease.llm.quality import judge
+from crease.llm.shingle_join import similar_components
 from crease.llm.token_alignment import align_documents
 from crease.llm.url_filter import judge_urls
 from crease.llm.warc import archive_and_index
@@ -105,6 +106,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
 
 
+def op13_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sainte_lague_mixing": op1_sainte_lague_mixing,
     "op2_warc_index_merge": op2_warc_index_merge,
@@ -118,6 +123,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_pair_bitmaps": op11_pair_bitmaps,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_grouped_prefix_join": op13_grouped_prefix_join,
 }
 
 ORACLE: dict[str, str] = {}
@@ -206,3 +212,20 @@ M AS (SELECT a.doc_id AS query_id, a.rid AS q, b.rid, b.doc_id,
 R AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
       FROM M)
 SELECT query_id, doc_id, score, rank FROM R WHERE rank <= 10"""
+
+
+# all pairs that share a shingle, all links, then everything that links reach
+ORACLE["op13_grouped_prefix_join"] = r"""
+WITH RECURSIVE W AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+S AS (SELECT DISTINCT rid, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: concat(ws[i], ' ', ws[i + 1], ' ', ws[i + 2])) END) AS g
+    FROM W),
+N AS (SELECT rid, count(*) AS n FROM S GROUP BY rid),
+P AS (SELECT a.rid AS x, b.rid AS y, count(*) AS i FROM S a JOIN S b ON a.g = b.g AND a.rid < b.rid
+    GROUP BY a.rid, b.rid),
+L AS (SELECT x, y FROM P JOIN N p ON p.rid = x JOIN N q ON q.rid = y WHERE 100 * i >= 90 * (p.n + q.n - i)),
+E AS (SELECT x, y FROM L UNION ALL SELECT y, x FROM L),
+R(x, y) AS (SELECT rid, rid FROM W UNION SELECT R.x, E.y FROM R JOIN E ON E.x = R.y)
+SELECT any_value(w.doc_id) AS doc_id, any_value(coalesce(N.n, 0)) AS n_shingles, min(v.doc_id) AS component_id
+FROM R JOIN W w ON w.rid = R.x JOIN W v ON v.rid = R.y LEFT JOIN N ON N.rid = R.x GROUP BY R.x"""
