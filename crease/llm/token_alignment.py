@@ -32,6 +32,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 
@@ -46,7 +47,9 @@ from crease.llm.packing import _byte_letters
 
 CHUNK_DOCS = 4096            # documents of one bitmap, at most 65,536
 CHUNK_LINKS = 1 << 20        # a chunk ends with the text that brings it to so many links
-CACHE_BYTES = 64 << 20       # of remembered parts in a worker, about
+SLICE_DOCS = 128             # texts encoded together
+CACHE_BYTES = 160 << 20      # of remembered parts in a worker, about
+PART_BYTES = 350             # of a remembered part besides its digest form and links
 LONGEST_CACHED = 64          # characters of a remembered part
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -56,62 +59,84 @@ INDEX_SCHEMA = ("chunk long, pos int, doc_id long, n_a long, n_b long, n_groups
                 "a int, b int, n_docs long, n_links long, planes array<binary>")
 
 
-class Part:
-    """The tokens of one part of a text: how many, their groups, their links."""
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "links")
-
-    def __init__(self, a: list[tuple[int, int]], b: list[tuple[int, int]]):
-        """``a`` and ``b``: (id, bytes) of each token."""
-        groups, links = [], []
-        i = j = 0
-        while i < len(a):
-            i0, j0 = i, j
-            left, right = a[i][1], b[j][1]
-            i, j = i + 1, j + 1
-            while left != right:
-                if left < right:
-                    left += a[i][1]
-                    i += 1
-                else:
-                    right += b[j][1]
-                    j += 1
-            groups.append(",".join(str(t) for t, _ in a[i0:i]) + "|" + ",".join(str(t) for t, _ in b[j0:j]))
-            links.append(a[i - 1][0] << 32 | b[j - 1][0])
-        self.n_a, self.n_b, self.n_groups = len(a), len(b), len(groups)
-        self.groups = ";".join(groups).encode()
-        self.links = np.array(links, np.int64).tobytes()
+# what is known of one part of a text: tokens of A and B, groups, the groups' digest
+# form, the links as packed 64-bit pairs
+Part = tuple[int, int, int, bytes, bytes]
+
+
+def byte_level_bytes(vocabulary: dict[str, int]) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary."""
+    byte = {c: i for i, c in enumerate(_byte_letters())}
+    out = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
+        out[i] = bytes(byte[c] for c in token)
+    return out
 
 
 class Aligner:
     """Aligned parts of texts under two tokenizers."""
 
     def __init__(self, a_path: str, b_path: str):
+        import public_tokenizers
         import sentencepiece
-        from tokenizers import Tokenizer
-        self._a = Tokenizer.from_file(a_path)
-        self._a.encode_special_tokens = True            # their strings in a text are plain text
-        self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        byte = {c: i for i, c in enumerate(_byte_letters())}
-        self._a_bytes = {i: bytes(byte[c] for c in t) for t, i in self._a.get_vocab(False).items()}
-        b = self._b
+        import tiktoken
+        with open(a_path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        self._a_bytes = byte_level_bytes(
+            {t: i for t, i in model["vocab"].items() if not t.startswith("<|")})
+        # merges are numbered in order of their ids: the id is the rank, and the same
+        # merges run several times faster without the offsets of an encoding
+        self._a = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                    mergeable_ranks={t: i for i, t in enumerate(self._a_bytes) if t})
+        self._b = b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self._b_bytes = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i)
                          else b.id_to_piece(i).replace("▁", " ").encode()
                          for i in range(b.get_piece_size())]
+        self._a_length = np.array([len(t) for t in self._a_bytes])
+        self._b_length = np.array([len(t) for t in self._b_bytes])
+        # an id inside a group, and as the last of its side
+        n_a, n_b = len(self._a_bytes), len(self._b_bytes)
+        self._names = ([f"{i}," for i in range(n_a)] + [f"{i}|" for i in range(n_a)]
+                       + [f"{i}," for i in range(n_b)] + [f"{i};" for i in range(n_b)])
         self._parts: dict[str, Part | None] = {}
         self._size = 0
 
     def _learn(self, parts: list[str]) -> None:
+        if not parts:
+            return
         spelled = [" " + p for p in parts]
-        a_ids = [e.ids for e in self._a.encode_batch(spelled, add_special_tokens=False)]
-        b_ids = self._b.encode(parts, num_threads=1)
-        for part, text, a, b in zip(parts, spelled, a_ids, b_ids):
-            a_bytes, b_bytes = [self._a_bytes[t] for t in a], [self._b_bytes[t] for t in b]
-            whole = text.encode()
-            got = None
-            if b"".join(a_bytes) == whole == b"".join(b_bytes):
-                got = Part([(t, len(s)) for t, s in zip(a, a_bytes)], [(t, len(s)) for t, s in zip(b, b_bytes)])
-                self._size += len(got.groups) + len(got.links) + 400
-            self._parts[part] = got
+        a = [self._a.encode_ordinary(p) for p in spelled]
+        b = self._b.encode(parts, num_threads=1)
+        good = []
+        for k, text in enumerate(spelled):
+            if b"".join([self._b_bytes[t] for t in b[k]]) == text.encode():
+                good.append(k)
+            else:
+                self._parts[parts[k]] = None
+        if not good:
+            return
+        n_a, n_b = [np.array([len(x[k]) for k in good]) for x in (a, b)]
+        ids_a, ids_b = [np.fromiter((t for k in good for t in x[k]), np.int64) for x in (a, b)]
+        # the parts one after another: their ends are ends on both sides
+        ends_a, ends_b = np.cumsum(self._a_length[ids_a]), np.cumsum(self._b_length[ids_b])
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
+        links = (ids_a[last_a] << 32 | ids_b[last_b]).tobytes()
+        width_a, width_b = len(self._a_bytes), len(self._b_bytes)
+        name_a, name_b = ids_a.copy(), ids_b + 2 * width_a
+        name_a[last_a] += width_a
+        name_b[last_b] += width_b
+        order = np.argsort(np.r_[2 * np.searchsorted(shared, ends_a), 2 * np.searchsorted(shared, ends_b) + 1],
+                           kind="stable")
+        text = [self._names[i] for i in np.r_[name_a, name_b][order].tolist()]
+        tokens = np.cumsum(n_a + n_b).tolist()
+        groups = (np.searchsorted(shared, ends_a[np.cumsum(n_a) - 1]) + 1).tolist()
+        t0 = g0 = 0
+        for k, t1, g1, x, y in zip(good, tokens, groups, n_a.tolist(), n_b.tolist()):
+            spell = "".join(text[t0:t1])[:-1].encode()
+            self._parts[parts[k]] = (x, y, g1 - g0, spell, links[8 * g0:8 * g1])
+            self._size += len(spell) + 8 * (g1 - g0) + PART_BYTES
+            t0, g0 = t1, g1
 
     def align(self, texts: list[str]) -> list[list[Part] | None]:
         """The parts of each text; None for a text without tokens."""
@@ -119,16 +144,16 @@ class Aligner:
             self._parts, self._size = {}, 0
         cut = [_LONE_SPACE.split(t) if t else [] for t in texts]
         known = self._parts
-        new = {p: None for parts in cut for p in parts if p not in known}
-        self._learn(list(new))
-        out = []
+        new = [p for p in dict.fromkeys(p for parts in cut for p in parts) if p not in known]
+        self._learn(new)
+        out: list[list[Part] | None] = []
         for parts in cut:
             got = [known[p] for p in parts]
-            out.append(None if not got or None in got else got)
+            out.append(got if got and all(got) else None)
         for p in new:
             if len(p) > LONGEST_CACHED:
                 gone = known.pop(p)
-                self._size -= len(gone.groups) + len(gone.links) + 400 if gone else 0
+                self._size -= len(gone[3]) + len(gone[4]) + PART_BYTES if gone else 0
         return out
 
 
@@ -208,8 +233,8 @@ def build_index(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                              "planes": planes})
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 64):
-                part = whole.slice(at, 64)
+            for at in range(0, whole.num_rows, SLICE_DOCS):
+                part = whole.slice(at, SLICE_DOCS)
                 digests = {c: [] for c in ("chunk", "pos", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256")}
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc_id, parts in zip(part.column(0).to_pylist(), aligner.align(texts)):
@@ -220,10 +245,11 @@ def build_index(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                         owners.clear()
                     row = (chunk, taken, doc_id, 0, 0, 0, "")
                     if parts:
-                        n = sum([p.n_groups for p in parts])
-                        row = (chunk, taken, doc_id, sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), n,
-                               hashlib.sha256(b";".join([p.groups for p in parts])).hexdigest())
-                        links.append(np.frombuffer(b"".join([p.links for p in parts]), np.int64))
+                        n_a, n_b, n, groups, pairs = zip(*parts)
+                        n = sum(n)
+                        row = (chunk, taken, doc_id, sum(n_a), sum(n_b), n,
+                               hashlib.sha256(b";".join(groups)).hexdigest())
+                        links.append(np.frombuffer(b"".join(pairs), np.int64))
                         owners.append(np.full(n, taken, np.int64))
                         n_links += n
                     taken += 1
