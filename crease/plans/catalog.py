@@ -20,18 +20,18 @@ from crease.operators import scorecard as SC
 from crease.operators import warehouse as WH
 from crease.operators.quality import clean, clean_audit, null_profile
 from crease.plans.daily import run_daily
-from crease.plans.replay import drain, replay
 from crease.plans.season import read_top_batters_csv, run_season, write_csv
 from crease.session import scratch_path
 from crease.sources import matches as M
 from crease.sources import warehouse_io as WIO
-from crease.sources.messages import encode_messages, parse_messages, read_messages, to_envelope
+from crease.sources.message_log import drain, publish, read_log, read_log_stream
+from crease.sources.messages import encode_messages, parse_messages, to_envelope
 from crease.sources.testtables import (
     EVENT_DELIVERIES_SQL, LINEITEM_DELIVERIES_SQL, deliveries_from_events,
     deliveries_from_lineitem,
 )
 from crease.streaming.live import (
-    LIVE_COLUMNS, live_leaderboard, read_live_table, start_live_stats,
+    LIVE_COLUMNS, live_leaderboard, read_live_table, start_live_stats, without_redelivery,
 )
 from crease.streaming.scorecard_stream import read_scorecards, start_scorecard_stream
 
@@ -274,16 +274,25 @@ def _state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _live(spark, sf, mode: str) -> str:
-    base = scratch_path(spark, f"live-{mode}")
+BATCH_OFFSETS = 50_000        # log positions of one micro-batch, whatever the table holds
+AT_ONCE = {"processingTime": "0 seconds"}
+
+
+def _run_live(spark, base: str, mode: str, change=lambda parsed: parsed) -> str:
+    """The live table of the log under ``base``, brought up to the log's end."""
     sink, ckpt = f"{base}/table", f"{base}/checkpoint"
-    replay(spark, _E(spark, sf), f"{base}/source",
-           lambda env: start_live_stats(parse_messages(env), sink, ckpt, mode=mode,
-                                        trigger={"availableNow": True},
-                                        partitions=_state_partitions(spark)))
+    drain(lambda: start_live_stats(
+        change(parse_messages(read_log_stream(spark, f"{base}/log", ckpt, BATCH_OFFSETS))), sink, ckpt,
+        mode=mode, trigger=AT_ONCE, partitions=_state_partitions(spark)))
     return sink
 
 
+def _live(spark, sf, mode: str) -> str:
+    base = scratch_path(spark, f"live-{mode}")
+    publish(to_envelope(_E(spark, sf)), f"{base}/log")
+    return _run_live(spark, base, mode)
+
+
 def q_live_batter_stats(spark, sf):
     return read_live_table(spark, _live(spark, sf, "complete")).select(*LIVE_COLUMNS)
 
@@ -295,18 +304,36 @@ def q_upsert_latest(spark, sf):
 def q_live_leaderboard(spark, sf):
     """The live table, most runs first, after a stream with an empty micro-batch."""
     base = scratch_path(spark, "live-board")
-    source, sink, ckpt = f"{base}/source", f"{base}/table", f"{base}/checkpoint"
+    balls = _E(spark, sf)
+    publish(to_envelope(balls), f"{base}/log")
+    _run_live(spark, base, "update")
+    # messages that all fail the stream's cleaning, behind the others: no batter changes
+    ahead = balls.agg(F.max("kafka_offset")).first()[0] or 0
+    publish(to_envelope(balls.filter("batter IS NULL")), f"{base}/log", F.col("offset") + ahead + 1)
+    return live_leaderboard(spark, _run_live(spark, base, "update")).select(*LIVE_COLUMNS)
 
-    def start(env):
-        return start_live_stats(parse_messages(env), sink, ckpt, mode="update",
-                                trigger={"availableNow": True}, partitions=_state_partitions(spark))
 
-    balls = _E(spark, sf)
-    replay(spark, balls, source, start)
-    # a file whose messages all fail the stream's cleaning: no batter changes
-    to_envelope(balls.filter("batter IS NULL")).write.mode("append").parquet(source)
-    drain(spark, source, start)
-    return live_leaderboard(spark, sink).select(*LIVE_COLUMNS)
+def _redelivered(spark, sf, base: str) -> str:
+    """A log in which every message comes twice, the second time 200 messages later."""
+    once = to_envelope(_E(spark, sf)).withColumn("position", F.col("offset") * 2)
+    again = once.withColumn("position", F.col("position") + 401)
+    publish(once.unionByName(again), f"{base}/log", F.col("position"))
+    return f"{base}/log"
+
+
+def q_live_redelivered(spark, sf):
+    """The live table of a log that holds every message twice."""
+    base = scratch_path(spark, "live-again")
+    _redelivered(spark, sf, base)
+    # 200 messages are 6 days of the smallest table's events
+    sink = _run_live(spark, base, "update", lambda parsed: without_redelivery(parsed, "10 days"))
+    return read_live_table(spark, sink).select(*LIVE_COLUMNS)
+
+
+def q_scorecard_redelivered(spark, sf):
+    """The 30-ball scorecards of a log that holds every message twice."""
+    base = scratch_path(spark, "scorecard-again")
+    return _scorecards(spark, base, _redelivered(spark, sf, base))
 
 
 def q_scorecard_final(spark, sf):
@@ -314,10 +341,10 @@ def q_scorecard_final(spark, sf):
 
 
 def q_scorecard_from_messages(spark, sf):
-    """Final scorecards from the message envelope: encoded, written, read, parsed."""
+    """Final scorecards from a bounded read of the message log: encoded, written, read, parsed."""
     path = scratch_path(spark, "messages")
-    to_envelope(_E(spark, sf)).write.parquet(path)
-    return SC.scorecard_final(parse_messages(read_messages(spark, fmt="parquet", path=path), clean=False))
+    publish(to_envelope(_E(spark, sf)), path)
+    return SC.scorecard_final(parse_messages(read_log(spark, path), clean=False))
 
 
 def q_fall_of_wickets(spark, sf):
@@ -328,15 +355,20 @@ def q_scorecard_every_30(spark, sf):
     return SC.scorecard_every(_E(spark, sf))
 
 
-def q_scorecard_every_30_stream(spark, sf):
-    base = scratch_path(spark, "scorecard-stream")
+def _scorecards(spark, base: str, log: str) -> DataFrame:
     sink, ckpt = f"{base}/table", f"{base}/checkpoint"
-    replay(spark, _E(spark, sf), f"{base}/source",
-           lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
-                                              trigger={"availableNow": True}))
+    drain(lambda: start_scorecard_stream(
+        parse_messages(read_log_stream(spark, log, ckpt, BATCH_OFFSETS), clean=False), sink, ckpt,
+        trigger=AT_ONCE, partitions=_state_partitions(spark)))
     return read_scorecards(spark, sink)
 
 
+def q_scorecard_every_30_stream(spark, sf):
+    base = scratch_path(spark, "scorecard-stream")
+    publish(to_envelope(_E(spark, sf)), f"{base}/log")
+    return _scorecards(spark, base, f"{base}/log")
+
+
 # ---------------------------------------------------------------- scheduled job
 def q_run_report(spark, sf):
     rep = run_daily(spark, _L(spark, sf), scratch_path(spark, "daily"), RUN_DATE,
@@ -383,6 +415,8 @@ QUERIES: dict[str, Query] = {
     "live_batter_stats": q_live_batter_stats,
     "upsert_latest": q_upsert_latest,
     "live_leaderboard": q_live_leaderboard,
+    "live_redelivered": q_live_redelivered,
+    "scorecard_redelivered": q_scorecard_redelivered,
     "scorecard_final": q_scorecard_final,
     "scorecard_from_messages": q_scorecard_from_messages,
     "fall_of_wickets": q_fall_of_wickets,
@@ -645,5 +679,7 @@ ORACLE: dict[str, str] = {
         "count(*) AS deliveries_processed, 'daily_top_batters' AS output_name, "
         "'SUCCESS' AS status FROM L WHERE runs_off_bat BETWEEN 0 AND 6"),
 }
+ORACLE["live_redelivered"] = ORACLE["live_batter_stats"]
+ORACLE["scorecard_redelivered"] = ORACLE["scorecard_every_30"]
 ORACLE["live_leaderboard"] = ORACLE["upsert_latest"]
 ORACLE["scorecard_from_messages"] = ORACLE["scorecard_final"]

@@ -27,6 +27,17 @@ def live_stats(parsed: DataFrame) -> DataFrame:
             .withColumn("live_sr", rate("live_runs", "live_balls", 100, 2)))
 
 
+def without_redelivery(parsed: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Each message once, for messages that come again within ``delay`` of event time.
+
+    A message is its key and its offset at the producer.  The state holds a key for
+    ``delay`` behind the latest event, then drops it: it is bounded by the messages of
+    that time, not by the stream.
+    """
+    return (parsed.withWatermark("event_time", delay)
+            .dropDuplicatesWithinWatermark(["message_key", "kafka_offset"]))
+
+
 def _sink_rows(batch_df: DataFrame, batch_id: int) -> DataFrame:
     return batch_df.select(
         F.col("batter").alias("batter_name"), "live_runs", "live_balls", "live_fours",

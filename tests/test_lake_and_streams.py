@@ -9,11 +9,11 @@ from crease.operators import lake as LK
 from crease.operators.leaderboards import top_bowlers, top_bowlers_join
 from crease.operators.quality import clean
 from crease.operators.scorecard import scorecard_every
-from crease.plans.replay import drain, publish, replay
+from crease.sources.message_log import drain, publish, read_log, read_log_stream, resume_position
 from crease.sources.messages import parse_messages, to_envelope
 from crease.sources.testtables import deliveries_from_events, deliveries_from_lineitem
-from crease.streaming.live import live_stats, read_live_table, start_live_stats
-from crease.streaming.scorecard_stream import interval_sink, read_scorecards, start_scorecard_stream
+from crease.streaming.live import live_stats, read_live_table, start_live_stats, without_redelivery
+from crease.streaming.scorecard_stream import read_balls, read_scorecards, start_scorecard_stream
 from tests.conftest import SF_SMALL, rows
 
 
@@ -71,52 +71,78 @@ def test_bowler_forms_agree(spark):
     assert rows(top_bowlers(c)) == rows(top_bowlers_join(c))
 
 
-def _offsets_per_file(spark, chunks):
+AT_ONCE = {"processingTime": "0 seconds"}
+
+
+def _batch(spark, batches):
+    """Positions of a micro-batch, so that the small table makes ``batches`` of them."""
     lo, hi = deliveries_from_events(spark, SF_SMALL).agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-    return -(-(hi - lo + 1) // chunks)
+    return -(-(hi - lo + 1) // batches)
 
 
-def _stream_live(spark, tmp_dir, mode, chunks):
-    base = os.path.join(tmp_dir, f"{mode}-{chunks}")
-    sink, ckpt = f"{base}/table", f"{base}/ckpt"
-    replay(spark, deliveries_from_events(spark, SF_SMALL), f"{base}/src",
-           lambda env: start_live_stats(parse_messages(env), sink, ckpt, mode=mode,
-                                        trigger={"availableNow": True}),
-           rows=_offsets_per_file(spark, chunks))
-    return read_live_table(spark, sink)
+def _live(spark, base, mode, max_offsets, change=lambda p: p):
+    drain(lambda: start_live_stats(
+        change(parse_messages(read_log_stream(spark, f"{base}/log", f"{base}/ckpt", max_offsets))),
+        f"{base}/table", f"{base}/ckpt", mode=mode, trigger=AT_ONCE))
+    return read_live_table(spark, f"{base}/table")
 
 
-def test_stream_equals_batch(spark, tmp_dir):
-    batch = live_stats(parse_messages(to_envelope(deliveries_from_events(spark, SF_SMALL))))
-    want = rows(batch.select("batter", "live_runs", "live_balls", "live_fours", "live_sixes"))
-    for mode, chunks in (("complete", 1), ("complete", 3), ("update", 3)):
-        got = _stream_live(spark, tmp_dir, mode, chunks)
-        assert rows(got.select("batter_name", "live_runs", "live_balls", "live_fours",
-                               "live_sixes")) == want, (mode, chunks)
-        assert got.select(F.max("batch_id")).first()[0] == chunks - 1
+def _scorecards(spark, base, max_offsets):
+    drain(lambda: start_scorecard_stream(
+        parse_messages(read_log_stream(spark, f"{base}/log", f"{base}/ckpt", max_offsets), clean=False),
+        f"{base}/table", f"{base}/ckpt", trigger=AT_ONCE))
+    return read_scorecards(spark, f"{base}/table")
+
+
+def _board(df, name):
+    return rows(df.select(name, "live_runs", "live_balls", "live_fours", "live_sixes"))
 
 
-def test_restart_after_every_file(spark, tmp_dir):
+def test_stream_equals_batch(spark, tmp_dir):
+    env = to_envelope(deliveries_from_events(spark, SF_SMALL))
+    want = _board(live_stats(parse_messages(env)), "batter")
+    for mode, batches in (("complete", 1), ("update", 3)):
+        base = os.path.join(tmp_dir, mode)
+        publish(env, f"{base}/log", segment=170)
+        got = _live(spark, base, mode, _batch(spark, batches))
+        assert _board(got, "batter_name") == want, mode
+        assert got.select(F.max("batch_id")).first()[0] == batches - 1
+
+
+def test_log_reads_by_position(spark, tmp_dir):
+    env = to_envelope(deliveries_from_events(spark, SF_SMALL))
+    publish(env, tmp_dir, segment=100)
+    # an append that died before its job ended is not there
+    (env.withColumn("position", F.col("offset") + 5000).write
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{tmp_dir}/append=1/segment=50"))
+    assert rows(read_log(spark, tmp_dir, 150, 350).drop("position", "segment")) == rows(
+        env.filter("offset >= 150 AND offset < 350"))
+    assert publish(env.limit(0), tmp_dir) == 2
+    plan = read_log(spark, tmp_dir, 150, 350)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(position,150)" in plan
+
+
+def test_restart_takes_up_where_the_checkpoint_ended(spark, tmp_dir):
     balls = deliveries_from_events(spark, SF_SMALL)
-    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "sink", "ckpt"))
     lo, hi = balls.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-    for at in range(lo, hi + 1, -(-(hi - lo + 1) // 3)):
-        publish(balls.filter(F.col("kafka_offset").between(at, at + (hi - lo) // 3)), src)
-        drain(spark, src, lambda env: start_scorecard_stream(
-            parse_messages(env, clean=False), sink, ckpt, trigger={"availableNow": True}))
-    assert rows(read_scorecards(spark, sink)) == rows(scorecard_every(balls))
+    cut = lo + 2 * (hi - lo) // 3
+    publish(to_envelope(balls.filter(F.col("kafka_offset") < cut)), f"{tmp_dir}/log", segment=64)
+    _scorecards(spark, tmp_dir, 300)
+    assert resume_position(spark, f"{tmp_dir}/ckpt") == cut
+    publish(to_envelope(balls.filter(F.col("kafka_offset") >= cut)), f"{tmp_dir}/log", segment=64)
+    assert rows(_scorecards(spark, tmp_dir, 300)) == rows(scorecard_every(balls))
+    assert resume_position(spark, f"{tmp_dir}/ckpt") == hi + 1
 
 
-def test_scorecard_stream_equals_batch(spark, tmp_dir):
+def test_scorecard_stream_equals_batch_under_redelivery(spark, tmp_dir):
     balls = deliveries_from_events(spark, SF_SMALL)
     batch = rows(scorecard_every(balls, block_width=8))   # many blocks per match
     assert batch == rows(scorecard_every(balls))
-    sink, ckpt = os.path.join(tmp_dir, "sc"), os.path.join(tmp_dir, "sc-ckpt")
-    replay(spark, balls, os.path.join(tmp_dir, "src"),
-           lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
-                                              trigger={"availableNow": True}),
-           rows=_offsets_per_file(spark, 4))
-    assert rows(read_scorecards(spark, sink)) == batch
+    once = to_envelope(balls).withColumn("position", F.col("offset") * 2)
+    publish(once.unionByName(once.withColumn("position", F.col("position") + 301)), f"{tmp_dir}/log",
+            F.col("position"))
+    assert rows(_scorecards(spark, tmp_dir, 700)) == batch
+    assert read_balls(spark, f"{tmp_dir}/table").count() == balls.count()
 
 
 def test_scorecard_stream_with_one_match_of_most_balls(spark, tmp_dir):
@@ -126,21 +152,17 @@ def test_scorecard_stream_with_one_match_of_most_balls(spark, tmp_dir):
                          F.lit(0).alias("over_num"), F.lit(1).alias("ball_num"),
                          F.col("runs_off_bat").alias("total_runs"),
                          F.lit(None).cast("string").alias("wicket"), F.current_timestamp().alias("event_time"))
-    sink, ckpt = os.path.join(tmp_dir, "sc"), os.path.join(tmp_dir, "sc-ckpt")
-    replay(spark, balls, os.path.join(tmp_dir, "src"),
-           lambda env: start_scorecard_stream(parse_messages(env, clean=False), sink, ckpt,
-                                              trigger={"availableNow": True}), rows=5000)
-    assert rows(read_scorecards(spark, sink)) == rows(scorecard_every(balls))
-
-
-def test_retried_scorecard_batch_counts_once(spark, tmp_dir):
-    balls = deliveries_from_events(spark, SF_SMALL)
-    sink, base = interval_sink(tmp_dir), tmp_dir
-    half = balls.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY kafka_offset)")).first()[0]
-    sink(balls.filter(F.col("kafka_offset") <= half), 0)
-    # batch 1 wrote its sums and died before its ball counts: the retry rewrites them
-    late = balls.filter(F.col("kafka_offset") > half)
-    interval_sink(os.path.join(tmp_dir, "elsewhere"))(late, 1)
-    sink(late, 1)
-    sink(late, 1)
-    assert rows(read_scorecards(spark, base)) == rows(scorecard_every(balls))
+    publish(to_envelope(balls), f"{tmp_dir}/log")
+    assert rows(_scorecards(spark, tmp_dir, 5000)) == rows(scorecard_every(balls))
+    # the hot match is numbered by blocks, none larger than its width
+    assert read_balls(spark, f"{tmp_dir}/table").filter("match_id = 'hot'").agg(
+        F.countDistinct("block"), F.max("block_no")).first() == (
+            3, sum(1 for i in range(12_000) if i % 10 and (i + 1) // 4096 == 1))
+
+
+def test_messages_that_come_again_count_once(spark, tmp_dir):
+    once = to_envelope(deliveries_from_events(spark, SF_SMALL)).withColumn("position", F.col("offset") * 2)
+    publish(once.unionByName(once.withColumn("position", F.col("position") + 101)), f"{tmp_dir}/log",
+            F.col("position"))
+    got = _live(spark, tmp_dir, "update", 900, lambda p: without_redelivery(p, "10 days"))
+    assert _board(got, "batter_name") == _board(live_stats(parse_messages(once)), "batter")
