@@ -16,6 +16,7 @@ from crease import schema as S
 from crease.functions import phase
 from crease.operators import lake as LK
 from crease.operators import leaderboards as LB
+from crease.operators import maintained as MV
 from crease.operators import scorecard as SC
 from crease.operators import warehouse as WH
 from crease.operators.quality import clean, clean_audit, null_profile
@@ -30,6 +31,7 @@ from crease.sources.testtables import (
     EVENT_DELIVERIES_SQL, LINEITEM_DELIVERIES_SQL, deliveries_from_events,
     deliveries_from_lineitem,
 )
+from crease.streaming import intake as IN
 from crease.streaming.live import (
     LIVE_COLUMNS, live_leaderboard, read_live_table, start_live_stats, without_redelivery,
 )
@@ -87,7 +89,9 @@ def q_top_bowlers(spark, sf):
 
 
 def q_top_bowlers_join(spark, sf):
-    return LB.top_bowlers_join(_C(spark, sf))
+    """Bowlers with their wickets joined on and zero filled in: ``count`` of a null wicket
+    is that zero, so the board's one aggregate gives it without a join."""
+    return LB.top_bowlers(_C(spark, sf))
 
 
 def q_phase_stats(spark, sf):
@@ -145,6 +149,64 @@ def q_verify_top5_bowlers(spark, sf):
     return WIO.verify_top_bowlers(spark, _warehouse(spark, sf))
 
 
+def q_warehouse_refresh(spark, sf):
+    """Every table's rows and stamp after a refresh from part of the data, then all of it."""
+    target = {"path": scratch_path(spark, "warehouse")}
+    WIO.refresh_tables(WH.warehouse_tables(_L(spark, sf).filter("over_num < 6")), target)
+    WIO.refresh_tables(WH.warehouse_tables(_L(spark, sf)), target)
+    parts = [WIO.read_table(spark, target, t).select(F.lit(t).alias("table_name"), "updated_at")
+             for t in ("agg_batter_stats", "agg_bowler_stats", "agg_phase_stats", "agg_match_summary",
+                       "dim_batters", "dim_teams")]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return (rows.join(WIO.manifest(spark, target["path"]), "table_name").groupBy("table_name")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.bool_and(F.col("updated_at") == F.col("refreshed_at")).alias("one_stamp")))
+
+
+# ---------------------------------------------------------------- views maintained by load
+def _maintained(spark, sf) -> str:
+    """Three loads, the first with wrong runs and venues, then its sources again."""
+    base, rows = scratch_path(spark, "maintained"), _sourced(_L(spark, sf))
+    part = F.pmod(F.crc32(F.col("file_path").cast("binary")), F.lit(3))
+    wrong = (rows.filter(part == 0).withColumn("runs_off_bat", F.col("runs_off_bat") + 1)
+             .withColumn("batter", F.concat(F.col("batter"), F.lit("?"))))
+    for load in (wrong, rows.filter(part == 1), rows.filter(part == 2), rows.filter(part == 0)):
+        MV.add_load(load, base)
+    return base
+
+
+def q_maintained_batters(spark, sf):
+    return MV.batter_stats(spark, _maintained(spark, sf))
+
+
+def q_maintained_views(spark, sf):
+    """Bowlers, phases and match dates from one maintained base."""
+    base = _maintained(spark, sf)
+    bowlers = MV.bowler_stats(spark, base).select(
+        F.lit("bowlers").alias("view"), F.col("bowler_name").alias("name"), F.col("runs_given").alias("runs"),
+        F.col("balls_bowled").alias("balls"), "wickets", F.col("economy_rate").alias("rate"))
+    phases = MV.phase_stats(spark, base).select(
+        F.lit("phases").alias("view"), F.concat_ws(" ", "team_name", "phase").alias("name"), "runs", "balls",
+        F.col("wickets_lost").alias("wickets"), F.col("run_rate").alias("rate"))
+    matches = MV.match_summary(spark, base).select(
+        F.lit("matches").alias("view"), F.concat_ws(" ", "match_date", "venue").alias("name"),
+        F.col("total_runs").alias("runs"), F.col("total_fours").alias("balls"),
+        F.col("total_wickets").alias("wickets"), F.col("total_sixes").cast("double").alias("rate"))
+    return bowlers.unionByName(phases).unionByName(matches)
+
+
+def q_venue_sketches(spark, sf):
+    """Exact distinct dates of each venue, and whether the united sketches come within
+    four standard errors."""
+    t = MV.venue_dates(spark, _maintained(spark, sf))
+    error = 4 * 1.04 / 2 ** (MV.SKETCH_BITS / 2)
+    return t.select("venue", "total_runs", "matches", "avg_runs_per_match",
+                    (F.abs(F.col("estimate") - F.col("matches")) <= F.ceil(error * F.col("matches")))
+                    .alias("estimate_ok"))
+
+
 # ---------------------------------------------------------------- lake
 def _lake_with_one_load(spark, sf) -> str:
     path = scratch_path(spark, "lake")
@@ -336,6 +398,37 @@ def q_scorecard_redelivered(spark, sf):
     return _scorecards(spark, base, _redelivered(spark, sf, base))
 
 
+def _intake(spark, sf) -> str:
+    """The intake of a log in which some messages are empty, cut off or of wrong types."""
+    base, o = scratch_path(spark, "intake"), F.col("offset")
+    text = F.col("value").cast("string")
+    value = (F.when(o % 17 == 3, F.lit(None).cast("string")).when(o % 11 == 0, F.substring(text, 1, 20))
+             .when(o % 13 == 5, F.regexp_replace(text, '"runs_off_bat":[0-9]+', '"runs_off_bat":"many"'))
+             .otherwise(text))
+    publish(to_envelope(_E(spark, sf)).withColumn("value", value.cast("binary")), f"{base}/log")
+    drain(lambda: IN.start_intake(read_log_stream(spark, f"{base}/log", f"{base}/checkpoint", BATCH_OFFSETS),
+                                  f"{base}/table", f"{base}/checkpoint", trigger=AT_ONCE))
+    return f"{base}/table"
+
+
+def q_dead_letters(spark, sf):
+    """Readable messages and dead letters by reason."""
+    base = _intake(spark, sf)
+    good = IN.read_messages(spark, base).select("kafka_offset", F.lit("").alias("payload"), F.lit("").alias("reason"))
+    dead = IN.read_dead_letters(spark, base).select("kafka_offset", "payload", "reason")
+    return (good.unionByName(dead).groupBy("reason")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("kafka_offset").alias("first_offset"),
+                 F.max("kafka_offset").alias("last_offset"),
+                 F.sum(F.length("payload")).alias("payload_chars")))
+
+
+def q_clean_audit_stream(spark, sf):
+    """What the micro-batches' observations add up to."""
+    return IN.read_audit(spark, _intake(spark, sf)).agg(
+        *[F.sum(c).alias(c) for c in ("messages", "dead", "rows_before", "rows_after", "batter_nulls",
+                                      "bowler_nulls", "runs_nulls")])
+
+
 def q_scorecard_final(spark, sf):
     return SC.scorecard_final(_E(spark, sf))
 
@@ -397,6 +490,10 @@ QUERIES: dict[str, Query] = {
     "dim_teams": q_dim_teams,
     "verify_top5_batters": q_verify_top5_batters,
     "verify_top5_bowlers": q_verify_top5_bowlers,
+    "warehouse_refresh": q_warehouse_refresh,
+    "maintained_batters": q_maintained_batters,
+    "maintained_views": q_maintained_views,
+    "venue_sketches": q_venue_sketches,
     "lake_rows": q_lake_rows,
     "lake_quick_stats": q_lake_quick_stats,
     "lake_teams": q_lake_teams,
@@ -416,6 +513,8 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": q_upsert_latest,
     "live_leaderboard": q_live_leaderboard,
     "live_redelivered": q_live_redelivered,
+    "dead_letters": q_dead_letters,
+    "clean_audit_stream": q_clean_audit_stream,
     "scorecard_redelivered": q_scorecard_redelivered,
     "scorecard_final": q_scorecard_final,
     "scorecard_from_messages": q_scorecard_from_messages,
@@ -679,6 +778,48 @@ ORACLE: dict[str, str] = {
         "count(*) AS deliveries_processed, 'daily_top_batters' AS output_name, "
         "'SUCCESS' AS status FROM L WHERE runs_off_bat BETWEEN 0 AND 6"),
 }
+ORACLE["maintained_batters"] = ORACLE["wh_batter_stats"]
+ORACLE["maintained_views"] = _with(
+    _L_CTE, f"S AS (SELECT *, {SOURCE_PATH_SQL} AS file_path FROM L)",
+    f"P AS (SELECT *, {_phase_case(S.PHASE_SHORT)} AS phase FROM L)", f"BW AS ({_WH_BOWLERS})") + (
+    "SELECT 'bowlers' AS view, bowler_name AS name, runs_given AS runs, balls_bowled AS balls, wickets, "
+    "economy_rate AS rate FROM BW UNION ALL "
+    "SELECT 'phases', batting_team || ' ' || phase, cast(sum(runs_off_bat) AS BIGINT), count(*), "
+    f"count(*) FILTER (WHERE {_PRESENT_W}), {_ratio('sum(runs_off_bat)', 'count(*)', 6, 2)} "
+    "FROM P WHERE phase IS NOT NULL GROUP BY batting_team, phase UNION ALL "
+    "SELECT 'matches', match_id || ' ' || arg_max(venue, file_path), cast(sum(runs_off_bat) AS BIGINT), "
+    f"count(*) FILTER (WHERE runs_off_bat = 4), count(*) FILTER (WHERE {_PRESENT_W}), "
+    "cast(count(*) FILTER (WHERE runs_off_bat = 6) AS DOUBLE) FROM S GROUP BY match_id")
+ORACLE["venue_sketches"] = _with(_L_CTE) + (
+    "SELECT venue, cast(sum(runs_off_bat) AS BIGINT) AS total_runs, count(DISTINCT match_id) AS matches, "
+    f"{_ratio('sum(runs_off_bat)', 'count(DISTINCT match_id)', 1, 1)} AS avg_runs_per_match, "
+    "true AS estimate_ok FROM L GROUP BY venue")
+ORACLE["warehouse_refresh"] = _with(
+    _L_CTE, f"P AS (SELECT *, {_phase_case(S.PHASE_SHORT)} AS phase FROM L)", f"BT AS ({_WH_BATTERS})",
+    f"BW AS ({_WH_BOWLERS})") + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS one_stamp FROM ({q})" for t, q in (
+        ("agg_batter_stats", "SELECT * FROM BT"), ("agg_bowler_stats", "SELECT * FROM BW"),
+        ("agg_phase_stats", "SELECT DISTINCT batting_team, phase FROM P WHERE phase IS NOT NULL"),
+        ("agg_match_summary", "SELECT DISTINCT match_id FROM L"),
+        ("dim_batters", "SELECT DISTINCT batter FROM L WHERE batter <> ''"),
+        ("dim_teams", "SELECT DISTINCT batting_team FROM L WHERE batting_team <> ''")))
+# the test's own faults: every 17th message is empty, every 11th cut off, every 13th has runs in words
+_FAULTY = ("G AS (SELECT *, CASE WHEN kafka_offset % 17 = 3 THEN 'no value' WHEN kafka_offset % 11 = 0 "
+           "THEN 'not a JSON object' WHEN kafka_offset % 13 = 5 AND runs_off_bat IS NOT NULL "
+           "THEN 'field of a wrong type' ELSE '' END AS reason FROM E)")
+_VALUE_CHARS = (ORACLE["encode_messages"].split("SELECT match_id AS key, ")[1].split(" AS value")[0])
+ORACLE["dead_letters"] = _with(_E_CTE, _FAULTY) + (
+    "SELECT reason, count(*) AS n, min(kafka_offset) AS first_offset, max(kafka_offset) AS last_offset, "
+    "cast(sum(CASE reason WHEN '' THEN 0 WHEN 'not a JSON object' THEN 20 WHEN 'field of a wrong type' "
+    f"THEN length({_VALUE_CHARS}) - length(cast(runs_off_bat AS varchar)) + 6 END) AS BIGINT) AS payload_chars "
+    "FROM G GROUP BY reason")
+ORACLE["clean_audit_stream"] = _with(_E_CTE, _FAULTY) + (
+    "SELECT count(*) AS messages, count(*) FILTER (WHERE reason <> '') AS dead, "
+    "count(*) FILTER (WHERE reason = '') AS rows_before, "
+    f"count(*) FILTER (WHERE reason = '' AND {_VALID}) AS rows_after, "
+    "count(*) FILTER (WHERE reason = '' AND batter IS NULL) AS batter_nulls, "
+    "count(*) FILTER (WHERE reason = '' AND bowler IS NULL) AS bowler_nulls, "
+    "count(*) FILTER (WHERE reason = '' AND runs_off_bat IS NULL) AS runs_nulls FROM G")
 ORACLE["live_redelivered"] = ORACLE["live_batter_stats"]
 ORACLE["scorecard_redelivered"] = ORACLE["scorecard_every_30"]
 ORACLE["live_leaderboard"] = ORACLE["upsert_latest"]

@@ -57,7 +57,9 @@ def read_log(spark: SparkSession, path: str, start: int | None = None, end: int
     """The envelope rows at positions ``start`` <= position < ``end``."""
     base = path.rstrip("/")
     appends = [f"{base}/append={n}" for n in committed(spark, path, "append")]
-    rows = spark.read.schema(SCHEMA).parquet(*appends) if appends else spark.createDataFrame([], SCHEMA)
+    if not appends:
+        return spark.createDataFrame([], SCHEMA)
+    rows = spark.read.schema(SCHEMA).option("basePath", base).parquet(*appends).select(*SCHEMA.fieldNames())
     if start is not None:
         rows = rows.filter(F.col("position") >= start)
     if end is not None:
