@@ -35,6 +35,7 @@ from crease.streaming import intake as IN
 from crease.streaming.live import (
     LIVE_COLUMNS, live_leaderboard, read_live_table, start_live_stats, without_redelivery,
 )
+from crease.streaming import windows as EW
 from crease.streaming.scorecard_stream import read_scorecards, start_scorecard_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -290,9 +291,14 @@ def q_quarantine_files(spark, sf):
 
 
 def q_validate_inputs(spark, sf):
-    """The presence check on the given table's own files."""
-    return M.validate_inputs(spark, f"{sf.rstrip('/')}/lineitem.parquet", "*.parquet").select(
-        (F.col("files") > 0).alias("input_ok"), (F.col("bytes") > 0).alias("has_bytes"))
+    """The check of the documents that a run would read: how many there are, how many of
+    them can be read, and what they hold."""
+    path = scratch_path(spark, "matches")
+    M.write_match_documents(_L(spark, sf), path, broken=F.col("doc_no") % 5 == 0)
+    listed = M.validate_inputs(spark, path, "part-*")
+    found = M.quarantine_report(M.read_match_documents(spark, path, multi_line=False, glob=None))
+    return found.join(listed, F.col("files") > 0).select(
+        (F.col("bytes") > 0).alias("input_ok"), "documents", "valid_documents", "quarantined_documents", "deliveries")
 
 
 def q_season_job(spark, sf):
@@ -429,6 +435,24 @@ def q_clean_audit_stream(spark, sf):
                                       "bowler_nulls", "runs_nulls")])
 
 
+def q_event_windows(spark, sf):
+    """Hourly windows of a log in which every 37th message comes a quarter of the log late."""
+    base, balls = scratch_path(spark, "windows"), _E(spark, sf)
+    lo, hi = balls.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    lo, hi = lo or 0, hi or 0
+    behind = F.when(F.col("offset") % 37 == 0, (hi - lo) // 4 * 2 + 1).otherwise(0)
+    publish(to_envelope(balls), f"{base}/log", F.col("offset") * 2 + behind)
+    most = (hi - lo) // 4 + 1                # positions of a micro-batch: an eighth of the table's
+    drain(lambda: EW.start_windows(
+        parse_messages(read_log_stream(spark, f"{base}/log", f"{base}/checkpoint", most)),
+        f"{base}/table", f"{base}/checkpoint", trigger=AT_ONCE))
+    late = EW.read_late(spark, f"{base}/table").withColumn("closed", F.lit(True))
+    return (EW.read_windows(spark, f"{base}/table").withColumn("late", F.lit(False))
+            .unionByName(late.withColumn("late", F.lit(True)))
+            .select("match_id", F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "late", "closed",
+                    "runs", "balls", "wickets"))
+
+
 def q_scorecard_final(spark, sf):
     return SC.scorecard_final(_E(spark, sf))
 
@@ -513,6 +537,7 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": q_upsert_latest,
     "live_leaderboard": q_live_leaderboard,
     "live_redelivered": q_live_redelivered,
+    "event_windows": q_event_windows,
     "dead_letters": q_dead_letters,
     "clean_audit_stream": q_clean_audit_stream,
     "scorecard_redelivered": q_scorecard_redelivered,
@@ -734,7 +759,11 @@ ORACLE: dict[str, str] = {
         f"(SELECT count(*) FROM ({_DOC_GROUPS}) WHERE doc_no % 7 <> 0) AS valid_documents, "
         f"(SELECT count(*) FROM ({_DOC_GROUPS}) WHERE doc_no % 7 = 0) AS quarantined_documents, "
         "(SELECT count(*) FROM L WHERE doc_no % 7 <> 0) AS deliveries"),
-    "validate_inputs": "SELECT count(*) > 0 AS input_ok, count(*) > 0 AS has_bytes FROM lineitem",
+    "validate_inputs": _with(_L_CTE) + (
+        f"SELECT true AS input_ok, (SELECT count(*) FROM ({_DOC_GROUPS})) AS documents, "
+        f"(SELECT count(*) FROM ({_DOC_GROUPS}) WHERE doc_no % 5 <> 0) AS valid_documents, "
+        f"(SELECT count(*) FROM ({_DOC_GROUPS}) WHERE doc_no % 5 = 0) AS quarantined_documents, "
+        "(SELECT count(*) FROM L WHERE doc_no % 5 <> 0) AS deliveries"),
     # documents give missing names as '', so the job's cleaning sees no null bowler
     "season_job": _with(_L_CTE, f"D AS ({_FLAT})", _C_CTE.replace("FROM L ", "FROM D "), f"BT AS ({_BATTERS} ORDER BY runs DESC, batter ASC LIMIT 10)",
                         f"BW AS ({_BOWLERS})", f"PH AS ({_phase_body(S.PHASE_LONG)})",
@@ -820,6 +849,23 @@ ORACLE["clean_audit_stream"] = _with(_E_CTE, _FAULTY) + (
     "count(*) FILTER (WHERE reason = '' AND batter IS NULL) AS batter_nulls, "
     "count(*) FILTER (WHERE reason = '' AND bowler IS NULL) AS bowler_nulls, "
     "count(*) FILTER (WHERE reason = '' AND runs_off_bat IS NULL) AS runs_nulls FROM G")
+# every message's micro-batch from its position; a batch's watermark from the batches before
+ORACLE["event_windows"] = _with(
+    _E_CTE, "B AS (SELECT min(kafka_offset) AS lo, max(kafka_offset) AS hi FROM E)",
+    "Q AS (SELECT E.*, 2 * kafka_offset + CASE WHEN kafka_offset % 37 = 0 THEN (hi - lo) // 4 * 2 + 1 ELSE 0 END "
+    "AS pos, (hi - lo) // 4 + 1 AS most FROM E, B)",
+    "K AS (SELECT *, (pos - min(pos) OVER ()) // most AS batch FROM Q)",
+    "M AS (SELECT * FROM K WHERE batter IS NOT NULL AND runs_off_bat BETWEEN 0 AND 6)",
+    "T AS (SELECT batch, max(event_time) AS seen FROM M GROUP BY batch)",
+    "N AS (SELECT b.batch, (SELECT max(seen) FROM T WHERE T.batch < b.batch) - INTERVAL 12 HOURS AS mark "
+    "FROM (SELECT DISTINCT batch FROM K) b)",
+    "H AS (SELECT M.*, date_trunc('hour', event_time) AS h, "
+    "coalesce(date_trunc('hour', event_time) + INTERVAL 1 HOUR <= N.mark, false) AS late "
+    "FROM M JOIN N ON N.batch = M.batch)",
+    "F AS (SELECT max(seen) - INTERVAL 12 HOURS AS mark FROM T)") + (
+    "SELECT match_id, strftime(h, '%Y-%m-%d %H') AS hour, late, late OR any_value(h + INTERVAL 1 HOUR <= F.mark) "
+    "AS closed, cast(sum(runs_off_bat) AS BIGINT) AS runs, count(*) AS balls, "
+    f"count(*) FILTER (WHERE {_PRESENT_W}) AS wickets FROM H, F GROUP BY match_id, h, late")
 ORACLE["live_redelivered"] = ORACLE["live_batter_stats"]
 ORACLE["scorecard_redelivered"] = ORACLE["scorecard_every_30"]
 ORACLE["live_leaderboard"] = ORACLE["upsert_latest"]
