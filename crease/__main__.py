@@ -76,8 +76,10 @@ def cmd_lake(spark, a):
     rows = LK.lake_rows(_docs(spark, a))
     if a.add_phase:
         rows = rows.withColumn("phase", phase("over_num", S.PHASE_SHORT))
-    load = LK.append_new(rows, a.table) if a.idempotent else LK.append_load(rows, a.table)
-    table = LK.scan(spark, a.table)
+    schema = LK.lake_schema(*((("phase", "string"),) if a.add_phase else ()))
+    load = (LK.append_new(rows, a.table, schema=schema) if a.idempotent
+            else LK.append_load(rows, a.table, schema=schema))
+    table = LK.scan(spark, a.table, schema)
     added = table.filter(f"load_id = {load}").count()
     return {"load": load, "added": added, **LK.lake_quick_stats(table).first().asDict()}
 

@@ -4,8 +4,11 @@
 its own number, never into another one, and counts once its job has ended (its
 ``_SUCCESS`` file is there).  What an interrupted attempt left is never read, and a
 retry takes the next number.  Loads keep the path of their source document, so an
-idempotent append skips sources that are loaded already.  A later load may have
-more columns; readers name the columns they want and older loads give nulls.
+idempotent append skips sources that are loaded already.
+
+Columns have ids, written to the files as Parquet field ids, and readers resolve them by
+id: a later load may have more columns (older loads give nulls), or may have renamed one
+(older loads give its values under the new name).
 """
 from __future__ import annotations
 
@@ -18,6 +21,7 @@ from crease.functions import count_if, is_present
 from crease.sources.storage import committed, started
 
 SOURCE_COL = "file_path"
+SOURCE_ID = 1_000_000        # field id of the source path, out of the columns' way
 _SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
                 "long": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
 
@@ -48,17 +52,33 @@ def lake_rows(deliveries: DataFrame) -> DataFrame:
         *[F.col(c) for c in (SOURCE_COL,) if c in deliveries.columns])
 
 
-def lake_schema(*added: tuple[str, str]) -> T.StructType:
-    """The lake's columns, further (name, type) columns, the source path and load."""
-    fields = [(n, t) for _, n, t in S.LAKE_FIELDS] + list(added)
-    return T.StructType([T.StructField(n, _SPARK_TYPES[t]) for n, t in fields]
-                        + [T.StructField(SOURCE_COL, T.StringType()),
-                           T.StructField("load_id", T.LongType())])
+FIELD_ID = "parquet.field.id"
+
+
+def lake_schema(*added: tuple[str, str], renamed: dict[str, str] | None = None) -> T.StructType:
+    """The lake's columns with their ids, further (name, type) columns under the next
+    ids, the source path and load.  ``renamed`` gives columns new names, not new ids."""
+    new = renamed or {}
+    fields = [*S.LAKE_FIELDS, *[(len(S.LAKE_FIELDS) + 1 + k, n, t) for k, (n, t) in enumerate(added)]]
+    return T.StructType(
+        [T.StructField(new.get(n, n), _SPARK_TYPES[t], metadata={FIELD_ID: i}) for i, n, t in fields]
+        + [T.StructField(SOURCE_COL, T.StringType(), metadata={FIELD_ID: SOURCE_ID}),
+           T.StructField("load_id", T.LongType())])
 
 
-def append_load(rows: DataFrame, path: str, partition_col: str = S.LAKE_PARTITION) -> int:
-    """Append rows as a load of its own; returns its number.  A rerun appends again."""
+def append_load(rows: DataFrame, path: str, partition_col: str = S.LAKE_PARTITION,
+                schema: T.StructType | None = None) -> int:
+    """Append rows as a load of its own; returns its number.  A rerun appends again.
+
+    Columns get the ids that ``schema`` gives their names; a column without a name there
+    is a mistake, not a new column.
+    """
     spark = rows.sparkSession
+    ids = {f.name: f.metadata for f in (schema or lake_schema()).fields}
+    unknown = [c for c in rows.columns if c not in ids]
+    if unknown:
+        raise ValueError(f"columns without an id in the lake's schema: {unknown}")
+    rows = rows.select(*[F.col(c).alias(c, metadata=ids[c]) for c in rows.columns])
     load = max(started(spark, path, "load_id"), default=0) + 1
     # rebalance on the partition column: AQE sizes the files and splits a hot team
     # over several writers instead of one task a team
@@ -72,6 +92,8 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """All complete loads (up to ``as_of``) under one schema; older loads give null
     for columns they lack.  Filters on ``batting_team`` and ``load_id`` prune folders."""
     schema = schema or lake_schema()
+    spark.conf.set("spark.sql.parquet.fieldId.read.enabled", "true")
+    spark.conf.set("spark.sql.parquet.fieldId.read.ignoreMissing", "true")   # loads without any ids
     loads = [n for n in committed(spark, path, "load_id") if as_of is None or n <= as_of]
     if not loads:
         return spark.createDataFrame([], schema)
@@ -80,7 +102,7 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None,
             .parquet(*[f"{base}/load_id={n}" for n in loads]))
 
 
-def append_new(rows: DataFrame, path: str, key: str = SOURCE_COL) -> int:
+def append_new(rows: DataFrame, path: str, key: str = SOURCE_COL, schema: T.StructType | None = None) -> int:
     """Idempotent append: drop incoming rows of sources that are loaded already.
 
     Left-anti join on the source path, one column of the table, distinct; two
@@ -88,7 +110,7 @@ def append_new(rows: DataFrame, path: str, key: str = SOURCE_COL) -> int:
     """
     loaded = scan(rows.sparkSession, path).select(F.col(key).alias("loaded_key")).distinct()
     new = rows.join(loaded, rows[key].eqNullSafe(F.col("loaded_key")), "left_anti")
-    return append_load(new, path)
+    return append_load(new, path, schema=schema)
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame:
@@ -105,16 +127,17 @@ def load_history(spark: SparkSession, path: str) -> DataFrame:
         F.expr("sum(added_records) OVER (ORDER BY load_id)").alias("total_records"))
 
 
-def column_profile(lake_df: DataFrame) -> DataFrame:
-    """(name, type, n_values): the table's columns and how many rows have a value.
+def column_profile(lake_df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """(id, name, type, n_values): the table's columns and how many rows have a value.
 
     One aggregate over the table, then one row a column.
     """
-    fields = [f for f in lake_df.schema.fields if f.name not in (SOURCE_COL, "load_id")]
+    fields = [f for f in (schema or lake_schema()).fields if f.name not in (SOURCE_COL, "load_id")]
     counts = lake_df.agg(*[F.count(f.name).alias(f.name) for f in fields])
     return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
-                 F.col(f.name).alias("n_values")) for f in fields])))
+        F.struct(F.lit(f.metadata[FIELD_ID]).alias("id"), F.lit(f.name).alias("name"),
+                 F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n_values"))
+        for f in fields])))
 
 
 def lake_quick_stats(lake_df: DataFrame) -> DataFrame:

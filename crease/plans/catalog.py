@@ -218,11 +218,12 @@ def _lake_with_one_load(spark, sf) -> str:
 def _lake_evolved(spark, sf) -> str:
     path = _lake_with_one_load(spark, sf)
     LK.append_load(LK.lake_rows(_L(spark, sf)).withColumn("phase", phase("over_num", S.PHASE_SHORT)),
-                   path)
+                   path, schema=EVOLVED)
     return path
 
 
 EVOLVED = LK.lake_schema(("phase", "string"))
+RENAMED = LK.lake_schema(("phase", "string"), renamed={"runs_off_bat": "bat_runs", "wicket_kind": "dismissal"})
 
 
 def q_lake_rows(spark, sf):
@@ -259,13 +260,25 @@ def q_schema_evolution(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("runs_off_bat").alias("runs")))
 
 
+def q_renamed_columns(spark, sf):
+    """A load under the first names and one under new names, read by field id."""
+    path = _lake_with_one_load(spark, sf)
+    rows = LK.lake_rows(_L(spark, sf)).withColumn("phase", phase("over_num", S.PHASE_SHORT))
+    LK.append_load(rows.withColumnsRenamed({"runs_off_bat": "bat_runs", "wicket_kind": "dismissal"}), path,
+                   schema=RENAMED)
+    return LK.scan(spark, path, RENAMED).groupBy("load_id", "batting_team").agg(
+        F.sum("bat_runs").alias("runs"), F.count("dismissal").alias("dismissals"),
+        F.count("phase").alias("phases"))
+
+
 def q_table_columns(spark, sf):
-    return LK.column_profile(LK.scan(spark, _lake_evolved(spark, sf), EVOLVED))
+    return LK.column_profile(LK.scan(spark, _lake_evolved(spark, sf), EVOLVED), EVOLVED)
 
 
 def q_snapshot_history(spark, sf):
     return (LK.load_history(spark, _lake_evolved(spark, sf))
-            .select("sequence_number", "operation", "added_records", "total_records"))
+            .select("sequence_number", "operation", "added_records", "total_records",
+                    F.col("committed_at").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("timed")))
 
 
 # ---------------------------------------------------------------- nested documents
@@ -295,10 +308,10 @@ def q_validate_inputs(spark, sf):
     them can be read, and what they hold."""
     path = scratch_path(spark, "matches")
     M.write_match_documents(_L(spark, sf), path, broken=F.col("doc_no") % 5 == 0)
-    listed = M.validate_inputs(spark, path, "part-*")
+    listed = M.validate_inputs(spark, path, "part-*").first()
     found = M.quarantine_report(M.read_match_documents(spark, path, multi_line=False, glob=None))
-    return found.join(listed, F.col("files") > 0).select(
-        (F.col("bytes") > 0).alias("input_ok"), "documents", "valid_documents", "quarantined_documents", "deliveries")
+    return found.select(F.lit(listed["bytes"] > 0).alias("input_ok"), "documents", "valid_documents",
+                        "quarantined_documents", "deliveries")
 
 
 def q_season_job(spark, sf):
@@ -523,6 +536,7 @@ QUERIES: dict[str, Query] = {
     "lake_teams": q_lake_teams,
     "lake_append_idempotent": q_lake_append_idempotent,
     "schema_evolution": q_schema_evolution,
+    "renamed_columns": q_renamed_columns,
     "table_columns": q_table_columns,
     "snapshot_history": q_snapshot_history,
     "flatten_matches": q_flatten_matches,
@@ -672,11 +686,13 @@ _EVERY30 = (_with(_E_CTE, _BALLS,
 
 _DOC_GROUPS = "SELECT DISTINCT match_id, venue, batting_team, over_num, doc_no FROM L"
 
-# the lake's column types as SURVEY has them, apart from the code under test
-_LAKE_TYPES = [(n, "string") for n in ("match_id", "match_date", "venue", "batting_team", "batter",
-                                       "bowler", "wicket_kind")] + [
-    (n, "int") for n in ("over_num", "ball_num", "runs_off_bat", "total_runs", "extras")] + [
-    ("is_boundary", "boolean"), ("is_six", "boolean")]
+# the lake's column ids and types as SURVEY has them, apart from the code under test
+_LAKE_TYPES = [
+    (1, "match_id", "string"), (2, "match_date", "string"), (3, "venue", "string"),
+    (4, "batting_team", "string"), (5, "batter", "string"), (6, "bowler", "string"),
+    (7, "over_num", "int"), (8, "ball_num", "int"), (9, "runs_off_bat", "int"),
+    (10, "total_runs", "int"), (11, "extras", "int"), (12, "wicket_kind", "string"),
+    (13, "is_boundary", "boolean"), (14, "is_six", "boolean")]
 
 ORACLE: dict[str, str] = {
     "clean_deliveries": _with(_L_CTE, _C_CTE) + "SELECT * FROM C",
@@ -744,12 +760,16 @@ ORACLE: dict[str, str] = {
         "cast(sum(runs_off_bat) AS BIGINT) FROM L GROUP BY 2"),
     "table_columns": _with(_L_CTE, f"V AS ({_LAKE})", f"P AS (SELECT {_phase_case(S.PHASE_SHORT)} AS phase FROM L)")
     + " UNION ALL ".join(
-        f"SELECT '{n}' AS name, '{t}' AS type, 2 * count({n}) AS n_values FROM V" for n, t in _LAKE_TYPES)
-    + " UNION ALL SELECT 'phase', 'string', count(phase) FROM P",
+        f"SELECT {i} AS id, '{n}' AS name, '{t}' AS type, 2 * count({n}) AS n_values FROM V"
+        for i, n, t in _LAKE_TYPES) + " UNION ALL SELECT 15, 'phase', 'string', count(phase) FROM P",
+    "renamed_columns": _with(_L_CTE) + " UNION ALL ".join(
+        f"SELECT CAST({n} AS BIGINT) AS load_id, batting_team, cast(sum(runs_off_bat) AS BIGINT) AS runs, "
+        f"count(nullif(wicket, '')) AS dismissals, {p} AS phases FROM L GROUP BY batting_team"
+        for n, p in ((1, "CAST(0 AS BIGINT)"), (2, "count(over_num)"))),
     "snapshot_history": _with(_L_CTE) + (
         "SELECT CAST(1 AS BIGINT) AS sequence_number, 'append' AS operation, "
-        "count(*) AS added_records, count(*) AS total_records FROM L "
-        "UNION ALL SELECT CAST(2 AS BIGINT), 'append', count(*), 2 * count(*) FROM L"),
+        "count(*) AS added_records, count(*) AS total_records, true AS timed FROM L "
+        "UNION ALL SELECT CAST(2 AS BIGINT), 'append', count(*), 2 * count(*), true FROM L"),
     "flatten_matches": _with(_L_CTE) + _FLAT,
     "match_titles": _with(_L_CTE) + (
         "SELECT match_id, CASE WHEN len(t) >= 2 THEN t[1] || ' vs ' || t[2] END AS title FROM "

@@ -1,6 +1,7 @@
 """Lake table behaviour, stream sinks, restart and equivalences."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from crease import schema as S
@@ -22,8 +23,12 @@ def test_lake_append_evolve_history(spark, tmp_dir):
     src = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
     n = src.count()
     assert LK.append_load(src, path) == 1
-    assert LK.append_load(src.withColumn("phase", phase("over_num", S.PHASE_SHORT)), path) == 2
-    table = LK.scan(spark, path, LK.lake_schema(("phase", "string")))
+    evolved = LK.lake_schema(("phase", "string"))
+    later = src.withColumn("phase", phase("over_num", S.PHASE_SHORT))
+    with pytest.raises(ValueError, match="phase"):
+        LK.append_load(later, path)
+    assert LK.append_load(later, path, schema=evolved) == 2
+    table = LK.scan(spark, path, evolved)
     assert table.count() == 2 * n
     assert table.filter("load_id = 1 AND phase IS NOT NULL").count() == 0
     assert LK.scan(spark, path, as_of=1).count() == n                   # an earlier state
@@ -37,6 +42,21 @@ def test_lake_append_evolve_history(spark, tmp_dir):
     assert {r.name: r.n_values for r in LK.column_profile(table).collect()}["match_id"] == 2 * n
 
 
+def test_lake_columns_are_read_by_id(spark, tmp_dir):
+    """Names may change and even change places; values follow the ids."""
+    src = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
+    LK.append_load(src, tmp_dir)
+    names = {"batter": "bowler", "bowler": "batter", "extras": "byes"}
+    swapped = LK.lake_schema(renamed=names)
+    LK.append_load(src.select(*[F.col(c).alias(names.get(c, c)) for c in src.columns]), tmp_dir, schema=swapped)
+    table = LK.scan(spark, tmp_dir, swapped)
+    want = rows(src.select("bowler", "batter", "extras", "batting_team"))
+    for load in (1, 2):
+        assert rows(table.filter(F.col("load_id") == load).select("batter", "bowler", "byes", "batting_team")) == want
+    assert {(r["id"], r["name"]) for r in LK.column_profile(table, swapped).collect()} >= {
+        (5, "bowler"), (6, "batter"), (11, "byes")}
+
+
 def test_lake_interrupted_append_leaves_no_orphans(spark, tmp_dir):
     path = os.path.join(tmp_dir, "lake")
     src = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL))
