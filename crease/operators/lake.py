@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from crease import schema as S
 from crease.functions import count_if, is_present
 from crease.sources.storage import committed, started
+from crease.sources.table_metadata import FIELD_ID
 
 SOURCE_COL = "file_path"
 SOURCE_ID = 1_000_000        # field id of the source path, out of the columns' way
@@ -52,9 +53,6 @@ def lake_rows(deliveries: DataFrame) -> DataFrame:
         *[F.col(c) for c in (SOURCE_COL,) if c in deliveries.columns])
 
 
-FIELD_ID = "parquet.field.id"
-
-
 def lake_schema(*added: tuple[str, str], renamed: dict[str, str] | None = None) -> T.StructType:
     """The lake's columns with their ids, further (name, type) columns under the next
     ids, the source path and load.  ``renamed`` gives columns new names, not new ids."""

@@ -24,6 +24,7 @@ from crease.plans.daily import run_daily
 from crease.plans.season import read_top_batters_csv, run_season, write_csv
 from crease.session import scratch_path
 from crease.sources import matches as M
+from crease.sources import table_metadata as TM
 from crease.sources import warehouse_io as WIO
 from crease.sources.message_log import drain, publish, read_log, read_log_stream
 from crease.sources.messages import encode_messages, parse_messages, to_envelope
@@ -281,6 +282,20 @@ def q_snapshot_history(spark, sf):
                     F.col("committed_at").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("timed")))
 
 
+def q_metadata_history(spark, sf):
+    """Loads and current columns from the table's metadata document, written and read back."""
+    path = scratch_path(spark, "metadata")
+    (TM.metadata_document(LK.load_history(spark, _lake_evolved(spark, sf)), LK.lake_schema(), EVOLVED)
+     .coalesce(1).write.option("ignoreNullFields", "false").json(path))
+    meta = TM.read_current_metadata(spark, path, "part-*")
+    columns = TM.table_columns(meta).filter("name NOT IN ('file_path')").select(
+        F.lit("column").alias("kind"), F.col("field_id").cast("long").alias("id"), "name", "type",
+        F.lit(None).cast("long").alias("rows"))
+    return TM.snapshot_history(meta).select(
+        F.lit("load").alias("kind"), F.col("sequence_number").alias("id"), F.col("operation").alias("name"),
+        F.col("schema_id").cast("string").alias("type"), F.col("total_records").alias("rows")).unionByName(columns)
+
+
 # ---------------------------------------------------------------- nested documents
 def _documents(spark, sf) -> DataFrame:
     path = scratch_path(spark, "matches")
@@ -539,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "renamed_columns": q_renamed_columns,
     "table_columns": q_table_columns,
     "snapshot_history": q_snapshot_history,
+    "metadata_history": q_metadata_history,
     "flatten_matches": q_flatten_matches,
     "match_titles": q_match_titles,
     "quarantine_files": q_quarantine_files,
@@ -770,6 +786,11 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(1 AS BIGINT) AS sequence_number, 'append' AS operation, "
         "count(*) AS added_records, count(*) AS total_records, true AS timed FROM L "
         "UNION ALL SELECT CAST(2 AS BIGINT), 'append', count(*), 2 * count(*), true FROM L"),
+    "metadata_history": _with(_L_CTE) + (
+        "SELECT 'load' AS kind, CAST(1 AS BIGINT) AS id, 'append' AS name, '0' AS type, count(*) AS rows FROM L "
+        "UNION ALL SELECT 'load', 2, 'append', '1', 2 * count(*) FROM L UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'column', {i}, '{n}', '{t}', NULL"
+                             for i, n, t in [*_LAKE_TYPES, (15, "phase", "string")])),
     "flatten_matches": _with(_L_CTE) + _FLAT,
     "match_titles": _with(_L_CTE) + (
         "SELECT match_id, CASE WHEN len(t) >= 2 THEN t[1] || ' vs ' || t[2] END AS title FROM "

@@ -9,12 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+FIELD_ID = "parquet.field.id"
 
-def read_current_metadata(spark: SparkSession, metadata_dir: str) -> DataFrame:
-    """One row: the newest ``*.metadata.json`` of the table."""
-    docs = (spark.read.option("multiLine", True).option("pathGlobFilter", "*.metadata.json")
-            .json(metadata_dir))
+
+def metadata_document(history: DataFrame, *schemas: StructType) -> DataFrame:
+    """One row in the form of such a document, from a table's loads (``load_history``; a
+    row a load) and its schemas, oldest first, whose fields carry Parquet field ids."""
+    at = F.unix_millis(F.to_timestamp("committed_at"))
+    number = F.col("sequence_number").cast("long")
+    snapshot = F.struct(
+        number.alias("snapshot-id"), number.alias("sequence-number"), at.alias("timestamp-ms"),
+        F.least(number - 1, F.lit(len(schemas) - 1)).cast("int").alias("schema-id"),
+        F.struct("operation", F.col("added_records").cast("string").alias("added-records"),
+                 F.col("total_records").cast("string").alias("total-records"),
+                 F.lit(None).cast("string").alias("added-data-files")).alias("summary"))
+    fields = [F.struct(F.lit(k).alias("schema-id"), F.array(*[
+        F.struct(F.lit(f.metadata[FIELD_ID]).alias("id"), F.lit(f.name).alias("name"),
+                 F.lit(f.dataType.simpleString()).alias("type"), F.lit(not f.nullable).alias("required"))
+        for f in s.fields if FIELD_ID in f.metadata]).alias("fields")) for k, s in enumerate(schemas)]
+    return history.agg(
+        F.max(at).alias("last-updated-ms"), F.lit(len(schemas) - 1).alias("current-schema-id"),
+        F.array(*fields).alias("schemas"), F.sort_array(F.collect_list(snapshot)).alias("snapshots"),
+        F.sort_array(F.collect_list(F.struct(number.alias("snapshot-id"), at.alias("timestamp-ms"))))
+        .alias("snapshot-log"))
+
+
+def read_current_metadata(spark: SparkSession, metadata_dir: str,
+                          names: str = "*.metadata.json") -> DataFrame:
+    """One row: the newest metadata document of the table."""
+    docs = spark.read.option("multiLine", True).option("pathGlobFilter", names).json(metadata_dir)
     newest = docs.agg(F.max("`last-updated-ms`").alias("m"))
     return docs.join(newest, docs["`last-updated-ms`"] == newest["m"]).drop("m")
 
