@@ -4,6 +4,11 @@ Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage befo
 it kept, written as Parquet and read again: quality rules, line deduplication, one
 document of each near-duplicate class, the mix of sources, best-fit packing.  All
 stages but the last return the columns of ``documents``.
+
+Edge cases: nulls in any column are kept (a null text counts as empty: the quality
+rules reject it); repeated rows are documents of one class, of which one stays; an
+empty table packs nothing; further columns, whatever their names, go through all
+stages but the last.
 """
 from __future__ import annotations
 
@@ -11,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm.common import read_table, stage
+from crease.llm.common import own_columns, read_table, stage
 from crease.llm.line_dedup import drop_frequent_lines
 from crease.llm.mixing import mixed_documents
 from crease.llm.near_dup import one_per_class
@@ -25,7 +30,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Frequent lines go; ``n_chars`` follows the text."""
-    cleaned = drop_frequent_lines(docs).select(*docs.columns)
+    cleaned = drop_frequent_lines(docs).select(*own_columns(docs))
+    if "n_chars" not in docs.columns:
+        return cleaned
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -17,14 +17,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, gone: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and reread it.
 
     Cuts the lineage at a table that survives lost executors; every later read
-    sees the same rows in the same files.
+    sees the same rows in the same files.  The path is added to ``gone``, the list
+    of what the caller deletes when no later plan reads it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if gone is not None:
+        gone.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -36,6 +39,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def delete_all(spark: SparkSession, paths: list[str]) -> None:
+    while paths:
+        delete_path(spark, paths.pop())
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow``, also where a column has a dot in its name: the function
+    sees the columns as c0, c1, ... and returns those of ``schema`` in its order."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(function, schema)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers (what ``--py-files`` does).
 
@@ -70,6 +84,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, also those with a dot or a backtick in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """64 bits of a whole row; which columns are null counts, too."""
+    return F.xxhash64(F.lit(seed), *[x for c in own_columns(df) for x in (c.isNull(), c)])
+
+
 BITMAP_WORDS = 1 << 20       # of 64 bits: 8 MB, however many keys go in
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crease.llm.common import delete_path, free_name, ship
+from crease.llm.common import delete_path, free_name, map_arrow, own_columns, ship
 from crease.session import scratch_path
 
 MIN_DOCS = 10
@@ -185,7 +185,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: in
                 arrays + [pa.array(totals, pa.int64()), pa.array(drops, pa.int64())],
                 [*columns, n_lines, n_dropped])
 
-    joined = keyed.join(lost, [k1, k2], "left").select(*[keyed[c] for c in columns], gone)
+    joined = keyed.join(lost, [k1, k2], "left").select(*own_columns(docs), gone)
     schema = T.StructType([*docs.schema.fields, T.StructField(n_lines, T.LongType()),
                            T.StructField(n_dropped, T.LongType())])
-    return joined.mapInArrow(strip, schema)
+    return map_arrow(joined, strip, schema)

@@ -5,7 +5,9 @@
    twice its source's size, and the excess is shared again by weight.
 2. A source's documents are dealt to shards of about ``SHARD_WORDS`` words by a
    seeded hash, and a shard's words -- its documents in seeded order -- are cut
-   into equal blocks of about ``BLOCK_WORDS`` words.
+   into equal blocks of about ``BLOCK_WORDS`` words, or of a ``FEWEST_BLOCKS``-th of
+   the smallest source if that is less (one word at least), so that tiny sources
+   come near their targets, too.
 3. The blocks of the whole mix go to the sources by highest quotients
    (size / 1, 3, 5, ...: Sainte-Lague), and a source's blocks to its shards in
    the same way: an integer quota for every shard, never more than twice its
@@ -35,13 +37,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crease.llm.common import WORD, free_name, n_words, ship, stage
+from crease.llm.common import (WORD, free_name, hash_bitmap, map_arrow, n_words, own_columns, row_hash,
+                               ship, split_by_bitmap, stage)
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5                  # of all words
 MOST = 2                     # times a source, a shard, a document
-BLOCK_WORDS = 16             # small sources come near their targets, too
+BLOCK_WORDS = 16
+FEWEST_BLOCKS = 128          # of the smallest source, where it has that many words
 SHARD_WORDS = 1 << 20
+SALT_ROWS = 1024             # equal rows that one copy of their text serves
 SEED = 20240322
 
 _WORD = re.compile(WORD)
@@ -99,12 +104,15 @@ def _source_table(sized: DataFrame, weights, share: float) -> DataFrame:
     sizes = [n for _, n in rows]
     total = share * sum(sizes)
     target = targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], total)
-    blocks = [-(-n // BLOCK_WORDS) for n in sizes]
-    quota = sainte_lague(target, round(sum(target) / BLOCK_WORDS), [MOST * b for b in blocks])
-    out = [(s, i, n, t, max(1, -(-n // SHARD_WORDS)), q)
+    smallest = min((n for n in sizes if n), default=0)
+    block = max(1, min(BLOCK_WORDS, smallest // FEWEST_BLOCKS))
+    blocks = [-(-n // block) for n in sizes]
+    quota = sainte_lague(target, round(sum(target) / block), [MOST * b for b in blocks])
+    out = [(s, i, n, t, max(1, -(-n // SHARD_WORDS)), q, block)
            for i, ((s, n), t, q) in enumerate(zip(rows, target, quota))]
     return sized.sparkSession.createDataFrame(
-        out, "s_source string, s_no int, s_size long, s_target double, s_shards long, s_quota long")
+        out, "s_source string, s_no int, s_size long, s_target double, s_shards long, s_quota long, "
+             "s_block long")
 
 
 def _shard_quotas(dealt: DataFrame) -> DataFrame:
@@ -115,9 +123,9 @@ def _shard_quotas(dealt: DataFrame) -> DataFrame:
     """
     cells = (dealt.groupBy("s_no", "m_shard")
              .agg(F.sum("m_size").alias("q_words"), F.first("s_size").alias("s_size"),
-                  F.first("s_quota").alias("s_quota"))
+                  F.first("s_quota").alias("s_quota"), F.first("s_block").alias("s_block"))
              .filter("q_words > 0")
-             .withColumn("q_blocks", F.greatest(F.lit(1), F.round(F.col("q_words") / BLOCK_WORDS)).cast("long"))
+             .withColumn("q_blocks", F.ceil(F.col("q_words") / F.col("s_block")).cast("long"))
              .withColumn("q_votes", F.col("s_quota") * (F.col("q_words") / F.col("s_size")))
              .withColumn("q_base", F.least(F.floor(F.col("q_votes") + 0.5), MOST * F.col("q_blocks"))))
     source = Window.partitionBy("s_no")
@@ -149,7 +157,7 @@ def mix(docs: DataFrame, size: Column, weights=WEIGHTS, share: float = SHARE,
     """``docs`` with ``size``, ``source_size``, ``target``, ``taken`` and, for those
     who cut texts, ``take_passes`` (whole passes) and ``take_spans`` (word spans
     [from, to) of the last, partial pass).  Names that clash get a ``_`` more."""
-    plain = docs.select(F.struct(*docs.columns).alias("m_row"), size.alias("m_size"),
+    plain = docs.select(F.struct(*own_columns(docs)).alias("m_row"), size.alias("m_size"),
                         F.col("source").cast("string").alias("m_source"))
     plain = plain.withColumn("m_id", F.col("m_row.doc_id"))
     sized = stage(plain.select("m_size", "m_source", "m_id"), "mix-sizes")
@@ -207,36 +215,61 @@ def cut_words(text: str, start: int, end: int) -> str:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: a copy of a document for every whole pass and, of the last
     pass, the text between the first and the last word of each taken span.
-    ``n_chars`` follows a cut text; the other columns stay."""
+    ``n_chars`` follows a cut text; the other columns stay.
+
+    The mix is worked out on ids, sizes and row hashes.  Texts move once, to the
+    number of their copies; those that are cut, or whose row comes more than once, go
+    by one text a row hash instead, salted by the number of equal rows.
+    """
     ship(docs.sparkSession)
-    mixed = mix(docs, n_words(F.col("text")))
-    columns = docs.columns
+    key = ["k_one", "k_two"]
+    keyed = docs.select(F.struct(*own_columns(docs)).alias("k_row"), row_hash(docs, SEED).alias("k_one"),
+                        row_hash(docs, SEED + 1).alias("k_two"))
+    narrow = stage(keyed.select(*key, F.col("k_row.doc_id").alias("doc_id"), F.col("k_row.source").alias("source"),
+                                n_words(F.col("k_row.text")).alias("k_size"),
+                                F.rand(SEED).alias("k_place")), "mix-narrow")
+    one = F.struct(F.lit(0).cast("long").alias("from"), F.col("k_size").alias("to"))
+    taken = stage(mix(narrow, F.col("k_size")).select(
+        *key, "k_size", "k_place", F.when(F.col("k_size") > 0, F.concat(
+            F.array_repeat(one, F.col("take_passes").cast("int")), F.col("take_spans"))).alias("k_parts")),
+        "mix-taken")
+    some = taken.filter(F.size("k_parts") > 0)
+    is_cut = F.exists("k_parts", lambda p: (p["from"] > 0) | (p["to"] < F.col("k_size")))
+    special = stage(taken.groupBy(*key)
+                    .agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(is_cut, F.lit(False))).alias("cut"))
+                    .filter("n > 1 OR cut").select(*key, F.ceil(F.col("n") / SALT_ROWS).alias("k_salts")),
+                    "mix-special")
+    plain = some.join(special, key, "left_anti").select(*key, F.size("k_parts").alias("k_copies"))
+    whole = (keyed.join(plain.hint("shuffle_hash"), key)
+             .select("k_row", F.explode(F.sequence(F.lit(1), "k_copies"))).select("k_row.*"))
+    parts = some.join(special, key).select(
+        *key, "k_size", F.floor(F.col("k_place") * F.col("k_salts")).alias("k_salt"),
+        F.explode("k_parts").alias("k_part"))
+    likely, _ = split_by_bitmap(keyed, F.col("k_one"), hash_bitmap(special, F.col("k_one")))
+    texts = (likely.dropDuplicates(key).join(special, key)
+             .select(*key, "k_row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k_salts") - 1)).alias("k_salt")))
+    extra = [free_name(docs, n) for n in ("k_size", "k_from", "k_to")]
+    cut = texts.join(parts, [*key, "k_salt"]).select("k_row.*", *[c.alias(n) for c, n in zip(
+        (F.col("k_size"), F.col("k_part.from"), F.col("k_part.to")), extra)])
+    return whole.union(map_arrow(cut, _cutter(docs.columns), docs.schema))
+
+
+def _cutter(columns: list[str]):
+    """Cuts the texts of rows that end with (size, from, to), in short batches."""
     text, chars = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
-    extra = [free_name(docs, n) for n in ("size", "take_passes", "take_spans")]
-
-    def copies(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            rows, texts = [], {}
-            extras = [part.column(i).to_pylist() for i in range(len(columns), part.num_columns)]
-            for i, (size, passes, spans) in enumerate(zip(*extras)):
-                rows += [i] * (passes if size else 0)
-                for span in spans:
-                    if (span["from"], span["to"]) != (0, size):
-                        texts[len(rows)] = cut_words(part.column(text)[i].as_py(),
-                                                     span["from"], span["to"])
-                    rows.append(i)
-            out = part.select(columns).take(pa.array(rows, pa.int64()))
-            for at in range(0, out.num_rows, 256):       # copies of long texts, in short batches
-                chunk = out.slice(at, 256)
-                arrays = list(chunk.columns)
-                new = [texts.get(at + k) for k in range(chunk.num_rows)]
-                if any(x is not None for x in new):
-                    arrays[text] = pa.array([o.as_py() if n is None else n
-                                             for o, n in zip(arrays[text], new)], arrays[text].type)
-                    if chars is not None:
-                        arrays[chars] = pa.array(
-                            [o if n is None else len(n)
-                             for o, n in zip(arrays[chars].to_pylist(), new)], arrays[chars].type)
-                yield pa.RecordBatch.from_arrays(arrays, schema=out.schema)
-
-    return mixed.select(*columns, *extra).mapInArrow(copies, docs.schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                part = whole.slice(at, 64)
+                arrays = part.columns[:len(columns)]
+                new = [t.as_py() if (a, b) == (0, n) else cut_words(t.as_py(), a, b)
+                       for t, n, a, b in zip(arrays[text], *(c.to_pylist() for c in part.columns[len(columns):]))]
+                if chars is not None:
+                    arrays[chars] = pa.array(
+                        [n if t.as_py() == x else len(x)
+                         for n, t, x in zip(arrays[chars].to_pylist(), arrays[text], new)], arrays[chars].type)
+                arrays[text] = pa.array(new, arrays[text].type)
+                yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    return run

@@ -35,7 +35,7 @@ CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 3000          # nodes of the branch and bound; the incumbent stands beyond it
 BUCKET_ROWS = 1 << 11        # pieces numbered in one window partition
-CACHE_WORDS = 1 << 20        # distinct words a worker remembers before it starts afresh
+CACHE_WORDS = 1 << 18        # distinct words a worker remembers, 50 MB at most, before it starts afresh
 LONGEST_CACHED = 64          # characters of a remembered word
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -108,9 +108,9 @@ class WordTokenizer:
         return self._encode(space + part)
 
     def packed_ids(self, text: str) -> bytes:
-        for cache in (self._rest, self._first):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
+        if len(self._rest) + len(self._first) > CACHE_WORDS:
+            self._rest.clear()
+            self._first.clear()
         parts = text.split(" ") if not _TWO_SPACES.search(text) else _LONE_SPACE.split(text)
         if parts[-1] == "" or parts[0] == "":          # a space at either end
             return self._encode(text)

@@ -115,6 +115,44 @@ def test_mixing_edges(spark, docs, nothing):
     assert all(r.n_chars == len(r.text) for r in copies.collect())
 
 
+def test_captures_without_a_time(spark):
+    df = spark.createDataFrame([(i, f"http://h/{i % 2}", "x" * 1200, None if i < 2 else f"2024-01-0{i}T00:00:00Z")
+                                for i in range(4)], "page_id long, url string, html string, at string")
+    got = warc.archive_and_index(df, F.col("at")).collect()
+    assert [(r.urlkey, r.page_id, r.captured is None) for r in got] == [
+        ("h)/0", 0, True), ("h)/0", 2, False), ("h)/1", 1, True), ("h)/1", 3, False)]
+
+
+def test_mixing_tiny_sources(spark):
+    for n in (1, 3, 25):
+        df = spark.createDataFrame(
+            [(i, "a " * n, "small") for i in range(1)] + [(10 + i, "b c " * 500, "zlarge") for i in range(50)],
+            "doc_id long, text string, source string")
+        got = [r for r in mixing.mix_report(df).collect() if r.doc_id == 0]
+        assert abs(got[0].taken - got[0].target) <= 1, got
+
+
+def test_mixing_copies_of_one_row(spark):
+    """Equal rows share one text; every row's copies come out."""
+    same, names = "w " * 30 + "end", ["doc_id", "text", "source", "n_chars", "a.b"]
+    rows = [(1, same, "s", 63, "x")] * 3000 + [(k, f"t{k} " * 20, "u" if k % 2 else None, 1, None) for k in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, extra string").toDF(*names)
+    out = mixing.mixed_documents(df).collect()
+    want = mixing.mix(df, mixing.n_words(F.col("text"))).groupBy("doc_id").agg(F.sum("taken").alias("t")).collect()
+    got = Counter()
+    for r in out:
+        got[r.doc_id] += len(r.text.split())
+    assert {r.doc_id: r.t for r in want if r.t} == dict(got)
+    assert all(r["a.b"] == ("x" if r.doc_id == 1 else None) for r in out)
+
+
+def test_stages_keep_columns_with_dots(spark, docs):
+    dotted = docs.withColumnRenamed("m_row", "a.b")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, dotted, "")
+        assert out.columns == dotted.columns and {r["a.b"] for r in out.collect()} <= {"m"}, name
+
+
 def test_sainte_lague_against_single_seats():
     import random
     for seed in range(60):
