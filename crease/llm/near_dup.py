@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.common import hash_bitmap, ship, split_by_bitmap, stage
+from crease.llm.common import delete_all, hash_bitmap, own_columns, ship, split_by_bitmap, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -51,7 +51,7 @@ BANDS = 26
 ROWS = 5
 SALT_ROWS = 512              # comparisons of one hub in one group
 EARLIER = 8                  # tokens before a token that its row carries
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17        # words a worker remembers, 25 MB at most, before it starts afresh
 
 _U = np.uint64
 _GOLDEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -201,13 +201,16 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                        ).mapInArrow(run, "doc_id long, node binary, buckets array<long>")
 
 
-def shared_buckets(sketches: DataFrame) -> DataFrame:
+def shared_buckets(sketches: DataFrame, gone: list[str] | None = None) -> DataFrame:
     """(bucket, node), once each, of the buckets that hold different nodes."""
     rows = sketches.select("node", F.xxhash64("node").alias("h"), F.explode("buckets").alias("bucket"))
+    done: list[str] = []
     many = stage(rows.groupBy("bucket").agg(F.min("h").alias("a"), F.max("h").alias("b"))
-                 .filter("a < b").select("bucket"), "near-buckets")
+                 .filter("a < b").select("bucket"), "near-buckets", done)
     likely, _ = split_by_bitmap(rows, F.xxhash64("bucket"), hash_bitmap(many, F.xxhash64("bucket")))
-    return stage(likely.join(many, "bucket").select("bucket", "node").distinct(), "near-members")
+    members = stage(likely.join(many, "bucket").select("bucket", "node").distinct(), "near-members", gone)
+    delete_all(sketches.sparkSession, done)
+    return members
 
 
 def hubs(members: DataFrame) -> DataFrame:
@@ -220,12 +223,12 @@ def hubs(members: DataFrame) -> DataFrame:
             .select("bucket", "m.hub"))
 
 
-def _dealt(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _dealt(pairs: DataFrame, texts: DataFrame, gone: list[str] | None = None) -> DataFrame:
     """Texts of pairs, dealt by hub and salt, each group's hub first (node null)."""
     n = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
     salted = stage(pairs.join(n, "hub")
                    .select("hub", "node", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")),
-                   "near-salted")
+                   "near-salted", gone)
     t = texts.select(F.col("node").alias("t_node"), "text")
     members = salted.join(t, F.col("node") == F.col("t_node")).select("hub", "salt", "node", "text")
     heads = (salted.select("hub", "salt").distinct().join(t, F.col("hub") == F.col("t_node"))
@@ -247,7 +250,7 @@ def _groups(parts: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, tuple, byt
                 yield h, head, n, own
 
 
-def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def compare(pairs: DataFrame, texts: DataFrame, gone: list[str] | None = None) -> DataFrame:
     """(hub, node, similarity) of every pair, staged."""
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(h, n, weighted_jaccard(a, b)) for h, a, n, b in _groups(parts)]
@@ -256,12 +259,17 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             [pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()),
              pa.array(cols[2], pa.float64())], ["hub", "node", "similarity"])
 
-    return stage(_dealt(pairs, texts).mapInArrow(
-        run, "hub binary, node binary, similarity double"), "near-compared")
+    done: list[str] = []
+    compared = stage(_dealt(pairs, texts, done).mapInArrow(
+        run, "hub binary, node binary, similarity double"), "near-compared", gone)
+    delete_all(pairs.sparkSession, done)
+    return compared
 
 
-def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(bucket, node, pos, size, before): the first tokens of each member of a hub's circle.
+def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY,
+                        gone: list[str] | None = None) -> DataFrame:
+    """(bucket, node, pos, size, own, before): the first tokens of each member of a hub's
+    circle, and how many of its tokens the hub lacks (``own``).
 
     Two members with a similarity s share a token among the first n - ceil(s n) + 1
     of their n tokens, in any order common to both.  The order here puts tokens
@@ -291,27 +299,38 @@ def rare_first_prefixes(pairs: DataFrame, texts: DataFrame, similarity: float =
                 np.concatenate([[0], ends]).astype(np.int32), pa.array(bucket[at]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket), pa.array([n] * k, pa.binary()), pa.array(np.arange(k)),
-                 pa.array(np.full(k, size)), befores], ["bucket", "node", "pos", "size", "before"])
+                 pa.array(np.full(k, size)), pa.array(np.full(k, size - int(in_hub.sum()))), befores],
+                ["bucket", "node", "pos", "size", "own", "before"])
 
-    return _dealt(pairs, texts).mapInArrow(
-        run, "bucket long, node binary, pos long, size long, before array<long>")
+    done: list[str] = []
+    tokens = stage(_dealt(pairs, texts, done).mapInArrow(
+        run, "bucket long, node binary, pos long, size long, own long, before array<long>"), "near-tokens", gone)
+    delete_all(pairs.sparkSession, done)
+    return tokens
 
 
-def prefix_pairs(tokens: DataFrame, labels: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def prefix_pairs(tokens: DataFrame, labels: DataFrame, similarity: float = SIMILARITY,
+                 gone: list[str] | None = None) -> DataFrame:
     """(hub, node): members of different components that may still be alike.
 
     What follows a common token must leave room for the overlap that the similarity
-    asks for, which few pairs reach.  A pair that has room at any common token has it
+    asks for, which few pairs reach: of the tokens that the hub lacks, two members can
+    share what either has left of them, and of the hub's own what the poorer one has.
+    A pair that has room at any common token has it
     at its first one, and a distinct leaves one row a pair.  The tokens just before only
-    save rows: a pair that shares one of them has met there already.
+    save rows: a pair that shares one of them has met there already.  Tables without
+    ``own`` tell nothing of the hub: all tokens count as those it lacks.
     """
-    rows = stage(_open(stage(tokens, "near-tokens"), labels), "near-open")
-    x = rows.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "pos", "size", "before")])
-    y = rows.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "pos", "size", "before")])
+    if "own" not in tokens.columns:
+        tokens = tokens.withColumn("own", F.col("size"))
+    rows = stage(_open(tokens, labels), "near-open", gone)
+    columns = ("node", "label", "pos", "size", "own", "before")
+    x, y = (rows.select("bucket", *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "xy")
+    room = (F.greatest(F.lit(0), F.least(*[F.col(f"{s}_own") - F.col(f"{s}_pos") for s in "xy"]))
+            + F.least(*[F.col(f"{s}_size") - F.greatest(f"{s}_own", f"{s}_pos") for s in "xy"]))
     least = similarity / (1 + similarity) * (F.col("x_size") + F.col("y_size")) - 1e-6
     return (x.join(y, (x["bucket"] == y["bucket"]) & (F.col("x_node") < F.col("y_node"))
-                   & (F.col("x_size") - F.col("x_pos") >= least) & (F.col("y_size") - F.col("y_pos") >= least)
-                   & (F.col("x_label") != F.col("y_label")) & ~F.arrays_overlap("x_before", "y_before"))
+                   & (room >= least) & (F.col("x_label") != F.col("y_label")) & ~F.arrays_overlap("x_before", "y_before"))
             .select(F.col("x_node").alias("hub"), F.col("y_node").alias("node")).distinct())
 
 
@@ -321,25 +340,31 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(h), F.sum(h * h % 1000003)).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, gone: list[str] | None = None) -> DataFrame:
     """(node, label): connected components of (hub, node) links, the smallest node
     as label, by large-star and small-star steps until nothing changes."""
+    done: list[str] = []
     edges = stage(links.select(F.greatest("hub", "node").alias("u"), F.least("hub", "node").alias("v"))
-                  .filter("u <> v").distinct(), "near-edges")
+                  .filter("u <> v").distinct(), "near-edges", done)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = stage(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                      .filter("u <> v").distinct(), "near-large")
+                      .filter("u <> v").distinct(), "near-large", done)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
+        last: list[str] = []
         small = stage(large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u"))
                                                   .otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
                       .unionByName(low.select("u", F.col("m").alias("v")))
-                      .filter("u <> v").distinct(), "near-small")
-        if _digest(edges) == _digest(small):
+                      .filter("u <> v").distinct(), "near-small", last)
+        same = _digest(edges) == _digest(small)
+        delete_all(links.sparkSession, done)
+        if same:
+            if gone is not None:
+                gone += last
             return small.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
                 small.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
-        edges = small
+        edges, done = small, last
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -355,18 +380,21 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(several, "bucket")
 
 
-def near_links(docs: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, label) of every node that is like another one."""
-    members = shared_buckets(sketches)
-    wanted = stage(members.select("node").distinct(), "near-wanted")
+def near_links(docs: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY,
+               kept: list[str] | None = None) -> DataFrame:
+    """(node, label) of every node that is like another one, staged (its path goes to
+    ``kept``); the tables on the way are deleted."""
+    gone: list[str] = []
+    members = shared_buckets(sketches, gone)
+    wanted = stage(members.select("node").distinct(), "near-wanted", gone)
     likely, _ = split_by_bitmap(docs.select(text_node().alias("node"), "text"), F.xxhash64("node"),
                                 hash_bitmap(wanted, F.xxhash64("node")))
-    texts = stage(likely.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-texts")
+    texts = stage(likely.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-texts", gone)
     # the buckets of the bands: every member against its hub
-    hub = stage(members.join(hubs(members), "bucket").filter("node <> hub"), "near-hubs")
-    tested = compare(hub.select("hub", "node").distinct(), texts)
+    hub = stage(members.join(hubs(members), "bucket").filter("node <> hub"), "near-hubs", gone)
+    tested = compare(hub.select("hub", "node").distinct(), texts, gone)
     links = tested.filter(F.col("similarity") >= similarity).select("hub", "node")
-    labels = components(links)
+    labels = components(links, gone)
     # what may still join two components: members of one hub's circle.  1 - similarity
     # is a distance; a member linked to the hub is in reach of an unlinked one only
     # if their distances from the hub differ by 1 - similarity at most
@@ -376,20 +404,28 @@ def near_links(docs: DataFrame, sketches: DataFrame, similarity: float = SIMILAR
         F.max(F.when(F.col("similarity") < similarity, F.col("similarity"))).alias("near"))
     circle = stage(circle.join(nearest, "hub").filter(
         (F.col("similarity") < similarity)
-        | (F.col("near") >= F.col("similarity") - (1 - similarity) - 1e-9)).select("hub", "node"), "near-circles")
-    pairs = prefix_pairs(rare_first_prefixes(circle, texts, similarity), labels, similarity)
+        | (F.col("near") >= F.col("similarity") - (1 - similarity) - 1e-9)).select("hub", "node"), "near-circles", gone)
+    tokens = rare_first_prefixes(circle, texts, similarity, gone)
+    pairs = prefix_pairs(tokens, labels, similarity, gone)
     more = compare(stage(pairs.join(tested.select("hub", "node"), ["hub", "node"], "left_anti"),
-                         "near-pairs"), texts)
+                         "near-pairs", gone), texts, gone)
     found = more.filter(F.col("similarity") >= similarity).select("hub", "node")
-    return labels if found.isEmpty() else components(links.unionByName(found))
+    if not found.isEmpty():
+        labels = components(links.unionByName(found), gone)
+    labels = stage(labels, "near-labels", kept)
+    delete_all(docs.sparkSession, gone)
+    return labels
 
 
 def labelled(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, node, worded and label (the smallest node of the class) of every document."""
-    sketches = stage(sketch(docs), "near-sketches")
-    labels = stage(near_links(docs, sketches, similarity), "near-labels")
-    return (sketches.select("doc_id", "node", (F.size("buckets") > 0).alias("worded"))
-            .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    gone: list[str] = []
+    sketches = stage(sketch(docs), "near-sketches", gone)
+    labels = near_links(docs, sketches, similarity, gone)
+    rows = stage(sketches.select("doc_id", "node", (F.size("buckets") > 0).alias("worded"))
+                 .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "near-labelled")
+    delete_all(docs.sparkSession, gone)
+    return rows
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -420,7 +456,7 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     doubtful = stage(times.join(keep, of, "left")
                      .select("doc_id", "d_node", F.col("k_node").isNotNull().alias("kept"), "n")
                      .filter("NOT kept OR n > 1"), "near-doubtful")
-    rows = docs.select(F.struct(*docs.columns).alias("d_row"), F.col("doc_id").cast("long").alias("d_id"),
+    rows = docs.select(F.struct(*own_columns(docs)).alias("d_row"), F.col("doc_id").cast("long").alias("d_id"),
                        text_node().alias("d_node"))
     likely, sure = split_by_bitmap(rows, F.xxhash64("d_id", "d_node"),
                                    hash_bitmap(doubtful, F.xxhash64("doc_id", "d_node")))
