@@ -1,9 +1,11 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule needs some counts of a text; counts differ a lot in cost.  A bounded
-sample tells what each rule costs and how many documents it rejects; rules then
-run in the order of rejections per second, and a document meets no further rule
-after the first that rejects it.  A rule's verdict depends on the document
+Every rule needs some counts of a text; counts differ a lot in cost.  Each task
+measures a bounded sample of its own documents: the seconds of every count, and how
+many documents each combination of rules rejects.  The rule with most rejections per
+second comes first, then the one with most rejections per second among the documents
+left, where counts that are there already cost nothing.  A document meets no further
+rule after the first that rejects it.  A rule's verdict depends on the document
 alone, so the order -- and with it the sample -- changes the time, never the
 result.
 
@@ -21,6 +23,7 @@ rows; :func:`keep_documents` hands on every input column under its own name.
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -29,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.common import ship
+from crease.llm.common import map_arrow, ship
 
-SAMPLE_ROWS = 500            # documents the costs and rejections are estimated on
+SAMPLE_ROWS = 64             # documents of each task that costs and rejections are estimated on
 SYMBOLS = "#*$%&|<>"
 
 
@@ -115,35 +118,61 @@ METHOD_RULES = (
 RULES = BASE_RULES + METHOD_RULES
 
 
-def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES,
-                  sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
+def counts_of(rule: Rule) -> set[str]:
+    """The counts that a rule asks for."""
+    probe = TextCounts("")
+    rule.rejects(probe)
+    return set(vars(probe)) - {"text"}
+
+
+def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS,
+                  before: tuple[Rule, ...] = (), known: set[str] = frozenset()) -> tuple[Rule, ...]:
     """The rules by rejections per second on a bounded sample, best first.
 
-    Each rule is timed alone (with every count it needs); one row a rule comes
-    back.  Ties and rules without rejections keep their given order, the
-    cheaper first.
+    Every task samples ``sample_rows`` documents, spread over its first batch, and sends
+    back sums alone: the seconds of a count and the number of documents that the same
+    rules reject.  Documents that a rule of ``before`` rejects do not count, nor do the
+    costs of ``known`` counts.  Ties go to the cheaper rule, then to the given order.
     """
     ship(docs.sparkSession)
+    every = (*before, *rules)
 
     def profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spent, out = [0.0] * len(rules), [0] * len(rules)
+        spent, masks = dict.fromkeys(_COUNTS, 0.0), Counter()
         for batch in batches:
-            for text in batch.column(0):
-                text = text.as_py()
-                for i, rule in enumerate(rules):
-                    t = TextCounts(text)
+            n = batch.num_rows
+            for i in sorted({k * n // sample_rows for k in range(sample_rows)} if n else ()):
+                t = TextCounts(batch.column(0)[i].as_py())
+                for name in _COUNTS:                 # words and lines first: the others use them
                     t0 = time.perf_counter()
-                    out[i] += rule.rejects(t)
-                    spent[i] += time.perf_counter() - t0
-        yield pa.RecordBatch.from_pydict(
-            {"rule": list(range(len(rules))), "spent": spent, "rejected": out})
-
-    rows = (docs.select("text").limit(sample_rows)
-            .mapInArrow(profile, "rule long, spent double, rejected long")
-            .groupBy("rule").agg(F.sum("spent"), F.sum("rejected")).collect())
-    seen = {r[0]: (-(r[2] / max(r[1], 1e-9)), r[1]) for r in rows}
-    order = sorted(range(len(rules)), key=lambda i: (*seen.get(i, (0.0, 0.0)), i))
-    return tuple(rules[i] for i in order)
+                    getattr(t, name)
+                    spent[name] += time.perf_counter() - t0
+                masks[sum(r.rejects(t) << k for k, r in enumerate(every))] += 1
+            if n:
+                break
+        yield pa.RecordBatch.from_pydict({
+            "name": [*spent, *[None] * len(masks)], "mask": [*[None] * len(spent), *masks],
+            "amount": [*spent.values(), *map(float, masks.values())]},
+            pa.schema([("name", pa.string()), ("mask", pa.int64()), ("amount", pa.float64())]))
+
+    sums = (docs.select("text").mapInArrow(profile, "name string, mask long, amount double")
+            .groupBy("name", "mask").agg(F.sum("amount")).collect())
+    cost = {name: amount for name, _, amount in sums if name}
+    alive = {mask >> len(before): 0.0 for name, mask, _ in sums if not name}
+    for name, mask, n in sums:
+        if not name and not mask & ((1 << len(before)) - 1):
+            alive[mask >> len(before)] += n
+    done, left, order = set(known), list(range(len(rules))), []
+    while left:
+        def worth(i: int) -> tuple:
+            seconds = sum(cost.get(c, 0.0) for c in counts_of(rules[i]) - done)
+            return -sum(n for m, n in alive.items() if m >> i & 1) / max(seconds, 1e-9), seconds, i
+        best = min(left, key=worth)
+        order.append(rules[best])
+        left.remove(best)
+        done |= counts_of(rules[best])
+        alive = {m: n for m, n in alive.items() if not m >> best & 1}
+    return tuple(order)
 
 
 def kept_by(rules: Iterable[Rule], t: TextCounts) -> bool:
@@ -154,14 +183,15 @@ def keep_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES,
                    sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, all columns as they came."""
     order = cascade_order(docs, rules, sample_rows)
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [kept_by(order, TextCounts(x.as_py())) for x in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = METHOD_RULES,
@@ -171,8 +201,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = METHOD_RULES,
     The counts are the report's columns and so are computed for every text;
     the method's rules cascade over the documents that pass the base rules.
     """
-    order = cascade_order(docs, rules, sample_rows)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    order = cascade_order(docs, rules, sample_rows, before=BASE_RULES, known=set(_COUNTS))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
