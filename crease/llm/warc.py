@@ -13,7 +13,8 @@ splits even the captures of one hot URL -- and each range merges its part of the
 runs with a loser tree.  The result is ordered globally: partition after
 partition, the capture history of every URL key.
 
-Edge cases: a null html is an empty payload; a null URL has an empty URL key; a
+Edge cases: a null html is an empty payload; a null URL has an empty URL key; a null
+capture time is a record without a date, before all others of its URL key; a
 null id is a record without one, never the response of a group unless all ids are
 null (then all are responses); records that share the largest id are all
 responses; line ends in a URL are percent-coded; an empty table makes no captures;
@@ -135,7 +136,7 @@ def captures(archive: str, data: bytes) -> list[tuple]:
                 len(payload) != n or hashlib.sha1(payload).hexdigest() != digest):
             raise ValueError(f"{archive}: the payload at {offset} does not match its digest")
         url = f.get("WARC-Target-URI")
-        out.append((url_key(url), f["WARC-Date"], _page_of(f.get("WARC-Record-ID")), url, n, digest,
+        out.append((url_key(url), f.get("WARC-Date"), _page_of(f.get("WARC-Record-ID")), url, n, digest,
                     f["WARC-Type"], _page_of(f.get("WARC-Refers-To")), archive, offset))
     out.sort(key=capture_order)
     return out
@@ -143,7 +144,7 @@ def captures(archive: str, data: bytes) -> list[tuple]:
 
 def capture_order(c: tuple) -> tuple:
     """Spark's order of (urlkey, captured, page_id, archive, record_offset)."""
-    return (c[0].encode("utf-8"), c[1].encode("utf-8"), c[2] is not None, c[2] or 0,
+    return (c[0].encode("utf-8"), c[1] is not None, (c[1] or "").encode("utf-8"), c[2] is not None, c[2] or 0,
             c[8].encode("utf-8"), c[9])
 
 
