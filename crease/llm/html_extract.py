@@ -7,12 +7,16 @@ ratios are smoothed along the page with a Gaussian, fused into one score (length
 times punctuation), and the scores summed into every container the nodes stand in.
 The innermost container path that keeps most of the page's score, or one above it
 that holds further paths of like ratios, gives the content: from its first block over
-a threshold to its last one, and the headings before.  ``article`` and ``main`` get a bonus in the
+a threshold to its last one, the headings before, and what stands beside these in the
+same element (a byline, a closing list), but for blocks at its ends that are nothing but
+links.  ``article`` and ``main`` get a bonus in the
 score and stand for the containers in them; they decide nothing by themselves.
 
 Furniture takes no part: menus, headers, footers, asides, scripts and styles by their
 tag; sidebars, notices, adverts, forms, reader comments by role, class or id, unless
-the element holds several blocks and most of the page's score.  Nor do comments and the head.
+the element holds several blocks and most of the page's score.  Inline elements are none
+by a name, single blocks (paragraphs, tables, headings) only by an unmistakable one.  Of a
+header inside an article the headings stay.  Nor do comments and the head take part.
 
 Blocks: the text between two block-level tags is a block; character references are
 decoded, white space runs become one space, blocks without text go, and blocks are
@@ -20,8 +24,9 @@ joined by an empty line.  Nothing else is dropped or cut.
 
 Edge cases: null, empty and tag-only pages have the empty text; a page without
 tags is one path, all of it content; unclosed and stray tags are tolerated (a
-block-level start closes an open ``p``, stray ends are ignored); repeated rows are
-read one by one; an empty table gives no rows; other columns are ignored.
+block-level start closes an open ``p``, stray ends are ignored; a quote opens a value
+only after ``=``; a tag without its ``>`` ends before the next ``<``), in time linear in
+the page; repeated rows are read one by one; an empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -29,6 +34,7 @@ import html
 import math
 import re
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +62,7 @@ SKIPPED = RAW | frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # stand beside others of their kind: their parent is the container
 PARTS = HEADINGS | frozenset("p li td th tr tbody thead table ul ol dl dt dd blockquote pre".split())
+ONE_BLOCK = PARTS - frozenset("ul ol dl".split())
 P_WITHIN = frozenset("button td th table".split())
 # a start tag on the left closes these when they are open, up to the nearest of the others
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
@@ -70,6 +77,14 @@ FURNITURE = frozenset(
 PLAIN = frozenset(
     "site page top bottom left right main global primary secondary list container wrapper wrap inner "
     "outer section box bar block area item items group button buttons link links content".split())
+# the furniture words that hold for a single block too
+PLAINLY = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo breadcrumb breadcrumbs "
+    "notice notices cookie cookies consent newsletter subscribe share sharing".split())
+# fixed values: HTML elements inside a line
+INLINE = frozenset(
+    "a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong "
+    "sub sup time tt u var".split())
 TURNS = frozenset("has with no without is".split())
 HEADERS = frozenset("header masthead banner".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
@@ -78,9 +93,9 @@ _REACH = math.ceil(2 * SMOOTH)
 _KERNEL = np.exp(-np.arange(-_REACH, _REACH + 1) ** 2 / (2 * SMOOTH * SMOOTH))
 _NODE = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)(?:>|(?=<)|\Z)"
     r"|(?P<text>[^<]+|<)", re.S)
-_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW}
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?]")
@@ -90,22 +105,23 @@ def named_furniture(tag: str, attrs: str) -> bool:
     """Furniture by role, class or id (or a form)."""
     if tag == "form":
         return True
-    if tag in ("html", "body", "article", "main") or "=" not in attrs:
+    if tag in ("html", "body", "article", "main") or tag in INLINE or "=" not in attrs:
         return False
+    sure = PLAINLY if tag in ONE_BLOCK else FURNITURE
     for name, *values in _NAMES.findall(attrs):
         for token in "".join(values).lower().split():
             if name.lower() == "role":
                 if token in ROLES:
                     return True
-            elif _says_furniture(_WORDS.findall(token)):
+            elif _says_furniture(_WORDS.findall(token), sure):
                 return True
     return False
 
 
-def _says_furniture(words: list[str]) -> bool:
+def _says_furniture(words: list[str], sure: frozenset[str]) -> bool:
     """``sidebar``, ``site-header``, ``post-comments``; not ``has-sidebar``,
-    ``article-header``, ``social-science``."""
-    if not FURNITURE.intersection(words) or words[0] in TURNS:
+    ``article-header``, ``social-science``.  One word must be a sure one."""
+    if not sure.intersection(words) or words[0] in TURNS:
         return False
     return words[-1] in FURNITURE - HEADERS or all(w in FURNITURE or w in PLAIN for w in words)
 
@@ -127,22 +143,43 @@ class TagPaths:
         return n
 
 
+class Node(NamedTuple):
+    """A text node: its tag path, block number, text, the furniture by name and the
+    element (other than single blocks and lists) that it stands in, and whether it is
+    part of a link."""
+    path: int
+    block: int
+    text: str
+    wrapper: int
+    element: int
+    link: bool
+
+
 class _Stack:
-    """Open elements: tag, inside furniture by tag, path number, furniture by name."""
+    """Open elements: tag, inside furniture by tag (1; 2: a header in an article, whose
+    headings stay), path number, furniture by name, number of the element."""
 
     def __init__(self, paths: TagPaths):
         self.paths = paths
-        self.open: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
+        self.open: list[tuple[str, int, int, int, int]] = [("", 0, 0, 0, 0)]
         self.count: dict[str, int] = {}
+        self.elements = 0
 
     def push(self, tag: str, attrs: str) -> None:
-        _, inside, path, wrapper = self.open[-1]
+        _, inside, path, wrapper, element = self.open[-1]
         if named_furniture(tag, attrs):
             self.paths.wrapper.append(wrapper)
             wrapper = len(self.paths.wrapper) - 1
         if tag in BLOCK:
             path = self.paths.child(path, tag)
-        self.open.append((tag, inside or tag in SKIPPED, path, wrapper))
+            if tag not in PARTS and not (tag == "header" and self.count.get("article")):
+                self.elements += 1
+                element = self.elements
+        if inside != 1 and tag in SKIPPED:
+            inside = 2 if tag == "header" and self.count.get("article") else 1
+        elif inside == 2 and tag in HEADINGS:
+            inside = 0
+        self.open.append((tag, inside, path, wrapper, element))
         self.count[tag] = self.count.get(tag, 0) + 1
 
     def close(self, tags, within=frozenset()) -> None:
@@ -160,19 +197,18 @@ class _Stack:
                 return
 
 
-def text_nodes(page: str, paths: TagPaths) -> list[tuple[int, int, str, int]]:
-    """(tag path, block number, text, furniture by name that it stands in) of every
-    text node outside furniture by tag."""
-    out: list = []
+def text_nodes(page: str, paths: TagPaths) -> list[Node]:
+    """Every text node outside furniture by tag."""
+    out: list[Node] = []
     stack = _Stack(paths)
     block = 0
     scan = _NODE.scanner(page)
     while m := scan.match():
         text, tag = m["text"], m["tag"]
-        _, furniture, path, wrapper = stack.open[-1]
+        _, furniture, path, wrapper, element = stack.open[-1]
         if text is not None:
             if not furniture:
-                out.append((path, block, text, wrapper))
+                out.append(Node(path, block, text, wrapper, element, bool(stack.count.get("a"))))
             continue
         if tag is None:                              # a comment or declaration
             continue
@@ -185,7 +221,7 @@ def text_nodes(page: str, paths: TagPaths) -> list[tuple[int, int, str, int]]:
             scan = _NODE.scanner(page, end.end() if end else len(page))
         elif tag in VOID:
             if tag == "br" and not furniture:
-                out.append((path, block, " ", wrapper))
+                out.append(Node(path, block, " ", wrapper, element, False))
         else:
             if tag in BLOCK:
                 stack.close(("p",), P_WITHIN)
@@ -195,10 +231,10 @@ def text_nodes(page: str, paths: TagPaths) -> list[tuple[int, int, str, int]]:
     return out
 
 
-def path_scores(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> tuple[list[float], list[float]]:
+def path_scores(nodes: list[Node], paths: TagPaths) -> tuple[list[float], list[float]]:
     """The fused tag-path ratio at every node: smoothed, and the path's own."""
     sums: dict[int, list[float]] = {}
-    for path, _, text, _ in nodes:
+    for path, _, text, *_ in nodes:
         s = sums.setdefault(path, [0, 0, 0])
         s[0] += 1
         s[1] += len(text.strip())
@@ -218,7 +254,7 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return (np.convolve(values, _KERNEL)[full] / np.convolve(np.ones(len(values)), _KERNEL)[full])
 
 
-def without_furniture(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> list[tuple[int, int, str, int]]:
+def without_furniture(nodes: list[Node], paths: TagPaths) -> list[Node]:
     """The nodes outside furniture by name.  What holds several blocks and most of the
     page's score is none, nor is what holds all of it."""
     n = len(paths.wrapper)
@@ -240,12 +276,12 @@ def without_furniture(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -
     return [node for node in nodes if not out[node[3]]]
 
 
-def container(nodes: list[tuple[int, int, str, int]], scores: list[float], own: list[float], paths: TagPaths) -> int:
+def container(nodes: list[Node], scores: list[float], own: list[float], paths: TagPaths) -> int:
     """The path that holds the main text."""
     n = len(paths.tag)
     held, raw, count = [0.0] * n, [0.0] * n, [0] * n  # by container path
     at, times = [0.0] * n, [0] * n                    # by the path itself
-    for (path, _, text, _), s, o in zip(nodes, scores, own):
+    for (path, _, text, *_), s, o in zip(nodes, scores, own):
         held[path] += s
         if text.strip():
             at[path] += o
@@ -274,7 +310,7 @@ def container(nodes: list[tuple[int, int, str, int]], scores: list[float], own:
     return top
 
 
-def content_nodes(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> list[bool]:
+def content_nodes(nodes: list[Node], paths: TagPaths) -> list[bool]:
     """Which nodes belong to the main text."""
     scores, own = path_scores(nodes, paths)
     best = container(nodes, scores, own, paths)
@@ -287,18 +323,30 @@ def content_nodes(nodes: list[tuple[int, int, str, int]], paths: TagPaths) -> li
     # between two that count (lists, captions) with these
     best_of: dict[int, float] = {}
     heading: dict[int, bool] = {}
-    for (p, block, text, _), s in zip(nodes, scores):
-        if inside[p] and text.strip():
-            best_of[block] = max(best_of.get(block, 0.0), s)
-            heading[block] = paths.tag[p] in HEADINGS
+    element: dict[int, int] = {}
+    links: dict[int, bool] = {}
+    for node, s in zip(nodes, scores):
+        if inside[node.path] and node.text.strip():
+            best_of[node.block] = max(best_of.get(node.block, 0.0), s)
+            heading[node.block] = paths.tag[node.path] in HEADINGS
+            element[node.block] = node.element
+            links[node.block] = links.get(node.block, True) and node.link
     blocks = list(best_of)
     over = [k for k, block in enumerate(blocks) if best_of[block] >= least]
     if not over:
         return [False] * len(nodes)
-    first = over[0]
+    first, last = over[0], over[-1]
+    # what stands in the same element as the first and the last of them
+    beside = [k for k in range(first) if element[blocks[k]] == element[blocks[first]] and not links[blocks[k]]]
+    first = min([first, *beside])
+    beside = [k for k in range(last + 1, len(blocks))
+              if element[blocks[k]] == element[blocks[last]] and not links[blocks[k]]]
+    last = max([last, *beside])
     while first and heading[blocks[first - 1]]:
         first -= 1
-    return [inside[p] and blocks[first] <= block <= blocks[over[-1]] for p, block, *_ in nodes]
+    while last > over[-1] and heading[blocks[last]]:
+        last -= 1                                    # a heading of nothing
+    return [inside[n.path] and blocks[first] <= n.block <= blocks[last] for n in nodes]
 
 
 def main_text(page: str | None) -> str:
@@ -307,9 +355,9 @@ def main_text(page: str | None) -> str:
     if not nodes:
         return ""
     blocks: dict[int, list[str]] = {}
-    for (_, block, text, _), keep in zip(nodes, content_nodes(nodes, paths)):
+    for node, keep in zip(nodes, content_nodes(nodes, paths)):
         if keep:
-            blocks.setdefault(block, []).append(text)
+            blocks.setdefault(node.block, []).append(node.text)
     lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks.values())
     return "\n\n".join(x for x in lines if x)
 

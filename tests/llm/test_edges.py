@@ -441,3 +441,39 @@ def test_html_nothing_is_lost_by_a_name():
     for page, (n, other) in cases.items():
         got = html_extract.main_text(page)
         assert (got.count("One long"), other in got, "promo" in got) == (n, True, False), page
+
+
+def test_html_content_beside_the_paragraphs_stays():
+    para = "A long paragraph, with several clauses, and with marks; it says something of the story. It goes on. "
+    six = "".join(f"<p>{para}{i}</p>" for i in range(6))
+    steps = "".join(f"<li>step {i}</li>" for i in range(8))
+    links = "".join(f"<li><a href='/{i}'>link {i}</a></li>" for i in range(3))
+    title = "<h1>Title</h1>"
+    cases = [
+        (f"{title}{six}<h2>Steps</h2><ul>{steps}</ul>", ["Steps", "step 0", "step 7"], []),
+        (f"<header><h1>Inside</h1><p>by somebody</p><nav><h2>Menu</h2></nav></header>{six}", ["Inside"], ["somebody", "Menu"]),
+        (f"{title}{six}<pre>x = 1 <span class='comment'># why</span></pre>{six}", ["# why"], []),
+        (f"{title}{six}<table class='form'><tr><td>cell</td></tr></table>{six}", ["cell"], []),
+        (f"{title}{six}<p class='menu'>{para} named</p>{six}", ["named"], []),
+        (f"{title}{six}<p class='advert'>Buy it</p>{six}", [], ["Buy it"]),
+        (f"{title}<p>{para}one</p><p title='it's ok'>{para}two</p><p>{para}three</p>", ["one", "two", "three"], []),
+        (f"{title}{six}<h2>Elsewhere</h2><ul>{links}</ul>", ["It goes on. 5"], ["Elsewhere", "link 0"]),
+    ]
+    for body, kept, gone in cases:
+        got = html_extract.main_text(f"<body><nav><a href='/'>Home</a></nav><article>{body}</article><footer>Foot</footer></body>")
+        for text in kept:
+            assert text in got, (body, text)
+        for text in [*gone, "Home", "Foot"]:
+            assert text not in got, (body, text)
+
+
+def test_html_time_is_linear_in_open_quotes():
+    import time
+
+    def seconds(page):
+        start = time.process_time()
+        html_extract.main_text(page)
+        return time.process_time() - start
+
+    for piece in ('<a "', '<a title="', "<a ='", "<p ", "<!--"):
+        assert seconds(piece * 40000) < 20 * max(0.05, seconds(piece * 4000)), piece
