@@ -25,8 +25,8 @@ joined by an empty line.  Nothing else is dropped or cut.
 Edge cases: null, empty and tag-only pages have the empty text; a page without
 tags is one path, all of it content; unclosed and stray tags are tolerated (a
 block-level start closes an open ``p``, stray ends are ignored; a quote opens a value
-only after ``=``; a tag without its ``>`` ends before the next ``<``), in time linear in
-the page; repeated rows are read one by one; an empty table gives no rows; other columns are ignored.
+only after ``=``; a tag without its ``>`` before the next ``<`` is text), in time linear
+in the page; repeated rows are read one by one; an empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -93,7 +93,7 @@ _REACH = math.ceil(2 * SMOOTH)
 _KERNEL = np.exp(-np.arange(-_REACH, _REACH + 1) ** 2 / (2 * SMOOTH * SMOOTH))
 _NODE = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)(?:>|(?=<)|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>"
     r"|(?P<text>[^<]+|<)", re.S)
 _NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW}
@@ -344,8 +344,8 @@ def content_nodes(nodes: list[Node], paths: TagPaths) -> list[bool]:
     last = max([last, *beside])
     while first and heading[blocks[first - 1]]:
         first -= 1
-    while last > over[-1] and heading[blocks[last]]:
-        last -= 1                                    # a heading of nothing
+    while first < last < len(blocks) - 1 and heading[blocks[last]]:
+        last -= 1                                    # what it heads is cut
     return [inside[n.path] and blocks[first] <= n.block <= blocks[last] for n in nodes]
 
 
