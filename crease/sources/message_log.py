@@ -78,6 +78,7 @@ class _LogReader(DataSourceStreamReader):
         self.files, self.base = fs.FileSystem.from_uri(options["path"].rstrip("/"))
         self.most = int(options.get("maxoffsets", 0))
         self.known: dict[str, tuple[int, int]] = {}     # file: first and last position
+        self.done: set[str] = set()                     # appends whose files are known
         self.at = int(options.get("resume", -1))
         if self.at < 0:
             self.at = self._bounds()[0]
@@ -86,15 +87,21 @@ class _LogReader(DataSourceStreamReader):
         """(first position, position after the last) of all complete appends."""
         import pyarrow.parquet as pq
         from pyarrow import fs
-        found = self.files.get_file_info(fs.FileSelector(self.base, recursive=True, allow_not_found=True))
-        done = {f.path.rsplit("/", 1)[0] for f in found if f.base_name == "_SUCCESS"}
-        for f in found:
-            if f.extension == "parquet" and f.path not in self.known and f.path.rsplit("/", 2)[0] in done:
-                meta = pq.read_metadata(f.path, filesystem=self.files)
-                column = meta.schema.names.index("position")
-                stats = [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
-                if stats:
-                    self.known[f.path] = (min(s.min for s in stats), max(s.max for s in stats))
+        for append in self.files.get_file_info(fs.FileSelector(self.base, allow_not_found=True)):
+            # a complete append never changes: it is listed, and its footers are read, once
+            if append.type != fs.FileType.Directory or append.path in self.done:
+                continue
+            found = self.files.get_file_info(fs.FileSelector(append.path, recursive=True))
+            if f"{append.path}/_SUCCESS" not in {f.path for f in found}:
+                continue
+            for f in found:
+                if f.extension == "parquet":
+                    meta = pq.read_metadata(f.path, filesystem=self.files)
+                    column = meta.schema.names.index("position")
+                    stats = [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
+                    if stats:
+                        self.known[f.path] = (min(s.min for s in stats), max(s.max for s in stats))
+            self.done.add(append.path)
         return (min((a for a, _ in self.known.values()), default=0),
                 max((b for _, b in self.known.values()), default=-1) + 1)
 
@@ -127,7 +134,7 @@ class _LogReader(DataSourceStreamReader):
                     batch.schema.names)
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}}           # tasks need their own range only
+        return {**self.__dict__, "known": {}, "done": set()}    # tasks need their own range only
 
 
 class MessageLog(DataSource):

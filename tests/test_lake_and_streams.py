@@ -1,5 +1,6 @@
 """Lake table behaviour, stream sinks, restart and equivalences."""
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,10 @@ from crease.operators import lake as LK
 from crease.operators.leaderboards import top_bowlers
 from crease.operators.quality import clean
 from crease.operators.scorecard import scorecard_every
-from crease.sources.message_log import drain, publish, read_log, read_log_stream, resume_position
+from crease.plans import catalog as CAT
+from crease.sources.message_log import (
+    _LogReader, drain, publish, read_log, read_log_stream, resume_position,
+)
 from crease.sources.messages import parse_messages, to_envelope
 from crease.sources.testtables import deliveries_from_events, deliveries_from_lineitem
 from crease.streaming.live import live_stats, read_live_table, start_live_stats, without_redelivery
@@ -197,3 +201,33 @@ def test_messages_that_come_again_count_once(spark, tmp_dir):
             F.col("position"))
     got = _live(spark, tmp_dir, "update", 900, lambda p: without_redelivery(p, "10 days"))
     assert _board(got, "batter_name") == _board(live_stats(parse_messages(once)), "batter")
+
+
+def test_micro_batches_grow_with_the_cores(spark, tmp_dir):
+    """A log of four batches of 100,000 positions a core is read in four, not in tens."""
+    most = CAT.CORE_OFFSETS * spark.sparkContext.defaultParallelism
+    balls = spark.range(0, 4 * most, 500).select(
+        F.col("id").alias("kafka_offset"), F.timestamp_seconds(F.col("id") / 100).alias("event_time"),
+        F.concat(F.lit("m"), F.col("id") % 7).alias("match_id"), F.lit("t").alias("batting_team"),
+        F.concat(F.lit("b"), F.col("id") % 11).alias("batter"), F.lit("w").alias("bowler"),
+        F.lit(0).alias("over_num"), F.lit(1).alias("ball_num"), (F.col("id") % 9).cast("int").alias("runs_off_bat"),
+        F.lit(1).alias("total_runs"), F.lit(None).cast("string").alias("wicket"))
+    env = to_envelope(balls)
+    publish(env, f"{tmp_dir}/log", segment=most)
+    got = read_live_table(spark, CAT._run_live(spark, tmp_dir, "update"))
+    assert _board(got, "batter_name") == _board(live_stats(parse_messages(env)), "batter")
+    assert got.select(F.max("batch_id")).first()[0] == 3
+    assert rows(CAT._scorecards(spark, f"{tmp_dir}/cards", f"{tmp_dir}/log")) == rows(scorecard_every(balls))
+    assert len(os.listdir(f"{tmp_dir}/cards/checkpoint/offsets")) // 2 == 4      # each with its checksum
+
+
+def test_a_complete_append_is_listed_once(spark, tmp_dir):
+    publish(to_envelope(deliveries_from_events(spark, SF_SMALL)), tmp_dir, segment=100)
+    reader = _LogReader({"path": tmp_dir})
+    real, listed, bounds = reader.files, [], reader._bounds()
+    reader.files = SimpleNamespace(get_file_info=lambda s: listed.append(s.recursive) or real.get_file_info(s))
+    assert reader._bounds() == bounds and bounds[1] > bounds[0]
+    assert listed == [False]                                # the appends' names, not their files
+    reader.files = real
+    publish(to_envelope(deliveries_from_events(spark, SF_SMALL)), tmp_dir, F.col("offset") + bounds[1])
+    assert reader._bounds()[1] > bounds[1]
