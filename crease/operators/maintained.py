@@ -20,11 +20,15 @@ from pyspark.sql import functions as F
 
 from crease import schema as S
 from crease.functions import count_if, is_present, phase, rate, rate_or_zero
-from crease.sources.storage import matching, started
+from crease.session import scratch_path
+from crease.sources.storage import delete, matching, started
 
 SOURCE = "file_path"
 SKETCH_BITS = 12             # 4,096 registers: relative standard error 1.04 / 64
 
+# what the views read of a delivery
+READ = (SOURCE, "match_id", "venue", "batting_team", "batter", "bowler", "over_num", "runs_off_bat",
+        "total_runs", "wicket")
 SUMS = ("runs", "balls", "wickets", "fours", "sixes")
 
 
@@ -54,17 +58,24 @@ def add_load(deliveries: DataFrame, base: str, sources: DataFrame | None = None)
 
     ``sources`` (one column, the paths) names the load's documents when some may hold
     no delivery any more; else they are those of the deliveries.
-    The views' jobs run side by side; the source list completes the load, so that an
-    interrupted one is never read and a retry takes the next number.
+    The deliveries are read once and staged, so that each view scans its own columns
+    instead of reading and deriving the load again.  The views' jobs run side by side; the
+    source list completes the load, so that an interrupted one is never read and a retry
+    takes the next number.
     """
     spark, base = deliveries.sparkSession, base.rstrip("/")
     n = max(started(spark, base, "load"), default=0) + 1
-    views = _views(deliveries)
+    staged = scratch_path(spark, "load-rows")
+    rows = deliveries.select(*READ)
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    views = _views(rows)
     with ThreadPoolExecutor(max_workers=len(views)) as pool:
         for f in [pool.submit(v.write.parquet, f"{base}/load={n}/{name}") for name, v in views.items()]:
             f.result()
-    named = deliveries.select(SOURCE) if sources is None else sources.toDF(SOURCE)
+    named = rows.select(SOURCE) if sources is None else sources.toDF(SOURCE)
     named.distinct().write.parquet(f"{base}/load={n}/sources")
+    delete(spark, staged)
     return n
 
 

@@ -42,6 +42,19 @@ def test_loads_and_a_reload_equal_the_full_computation(spark, balls, tmp_dir):
     assert MV.current(spark, tmp_dir, "batters").groupBy("file_path", "batter").count().filter("count > 1").isEmpty()
 
 
+def test_a_load_is_read_once(spark, balls, tmp_dir):
+    """The views read what is staged, not the load's deliveries again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(name):
+        read.add(1)
+        return name
+
+    MV.add_load(balls.withColumn("batter", F.udf(seen, "string")("batter")), tmp_dir)
+    assert read.value == balls.count()
+    assert _views(spark, tmp_dir) == _whole(balls)
+
+
 def test_an_interrupted_load_is_never_read(spark, balls, tmp_dir):
     half = balls.filter("doc_no % 2 = 0")
     MV.add_load(half, tmp_dir)
