@@ -4,8 +4,8 @@ A document is one JSON object ``{info: {dates, venue, teams}, innings: [{team,
 overs: [{over, deliveries: [{batter, bowler, runs: {batter, extras, total},
 wickets: [{kind}]}]}]}]}``.  Production input is one pretty-printed document
 per file (``multi_line=True``: a file is one record, files are packed into
-tasks); JSON Lines (one document per line) is splittable and is what
-:func:`write_match_documents` produces.
+tasks); JSON Lines (one document per line), in compressed files of bounded size, is
+what :func:`write_match_documents` produces.
 
 Flattening is three generators in one narrow stage -- no shuffle, no Python.
 """
@@ -15,6 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease import schema as S
+from crease.session import scratch_path
+from crease.sources.storage import delete
+
+DOCUMENTS_A_FILE = 200_000   # of the writer: about 60 MB of text, read by one task
 
 
 def read_match_documents(spark: SparkSession, path: str, multi_line: bool = True,
@@ -143,15 +147,22 @@ def write_match_documents(deliveries: DataFrame, path: str, broken: Column | Non
     One document per (match, venue, innings team, over) and, if the rows have one,
     ``doc_no``: with it a document holds the few deliveries of one source order, so
     no list -- and no line -- grows with the data.  ``info.teams`` is the sorted
-    set of batting teams of the match (one small aggregate per match).
+    set of batting teams of the match (one small aggregate per match, written first: its
+    size is known when it is joined, so that the documents, many times wider, are
+    shuffled for it only if it is too large to be sent to every task).  Files are
+    compressed, as documents repeat their field names, teams and players.
     Deliveries inside an over are ordered by (ball_num, batter, bowler,
     runs, extras, total, wicket), which defines the ball positions.
 
     Documents for which ``broken`` (over those keys) holds are cut off in the
     middle, as an interrupted upload leaves them.
     """
+    spark = deliveries.sparkSession
+    listed = scratch_path(spark, "match-teams")
     teams = (deliveries.groupBy("match_id")
              .agg(F.sort_array(F.collect_set("batting_team")).alias("teams")))
+    teams.write.parquet(listed)
+    teams = spark.read.schema(teams.schema).parquet(listed)
     item = F.struct(
         F.col("ball_num").alias("k0"),
         F.coalesce(F.col("batter"), F.lit("")).alias("k1"),
@@ -183,4 +194,6 @@ def write_match_documents(deliveries: DataFrame, path: str, broken: Column | Non
             .alias("overs"))).alias("innings")))
     if broken is not None:
         doc = F.when(broken, F.left(doc, F.length(doc) - 3)).otherwise(doc)
-    overs.join(teams, "match_id").select(doc.alias("value")).write.mode("overwrite").text(path)
+    (overs.join(teams, "match_id").select(doc.alias("value")).write.mode("overwrite")
+     .option("maxRecordsPerFile", DOCUMENTS_A_FILE).option("compression", "gzip").text(path))
+    delete(spark, listed)

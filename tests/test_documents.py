@@ -9,7 +9,8 @@ from crease.operators import warehouse as WH
 from crease.operators.leaderboards import phase_stats
 from crease.operators.quality import clean
 from crease.sources import matches as M
-from tests.conftest import rows
+from crease.sources.testtables import deliveries_from_lineitem
+from tests.conftest import SF_SMALL, rows
 
 
 def _doc(dates=("2024-04-09",), venue="Wankhede", teams=("A", "B"), innings=None):
@@ -146,6 +147,16 @@ def test_nest_then_flatten_round_trip(spark, tmp_dir):
         "total_runs", F.nullif("wicket", F.lit(""))))
 
 
+def test_documents_are_written_compressed(spark, tmp_dir):
+    raw, written = deliveries_from_lineitem(spark, SF_SMALL), os.path.join(tmp_dir, "docs")
+    M.write_match_documents(raw, written)
+    lines = spark.read.text(written)
+    size = sum(os.path.getsize(os.path.join(written, f)) for f in os.listdir(written) if f.startswith("part-"))
+    chars, = lines.agg(F.sum(F.length("value"))).first()
+    assert 0 < size * 4 < chars
+    assert M.flatten(M.read_match_documents(spark, written, multi_line=False, glob=None)).count() == raw.count()
+
+
 def test_season_job(spark, docs_dir, tmp_dir):
     from crease.plans.season import read_top_batters_csv, run_season
     out = os.path.join(tmp_dir, "season")
