@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from crease import schema as S
 from crease.functions import count_if, is_present
-from crease.sources.storage import committed, started
+from crease.session import scratch_path
+from crease.sources.storage import committed, delete, started
 from crease.sources.table_metadata import FIELD_ID
 
 SOURCE_COL = "file_path"
@@ -104,11 +105,19 @@ def append_new(rows: DataFrame, path: str, key: str = SOURCE_COL, schema: T.Stru
     """Idempotent append: drop incoming rows of sources that are loaded already.
 
     Left-anti join on the source path, one column of the table, distinct; two
-    matches of one date are two sources.
+    matches of one date are two sources.  The list of loaded sources is written first:
+    its size is known when the join is planned, so that the rows are shuffled for it
+    only if the list is too large to be sent to every task.
     """
-    loaded = scan(rows.sparkSession, path).select(F.col(key).alias("loaded_key")).distinct()
+    spark = rows.sparkSession
+    listed = scratch_path(spark, "lake-sources")
+    loaded = scan(spark, path).select(F.col(key).alias("loaded_key")).distinct()
+    loaded.write.parquet(listed)
+    loaded = spark.read.schema(loaded.schema).parquet(listed)
     new = rows.join(loaded, rows[key].eqNullSafe(F.col("loaded_key")), "left_anti")
-    return append_load(new, path, schema=schema)
+    load = append_load(new, path, schema=schema)
+    delete(spark, listed)
+    return load
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame:

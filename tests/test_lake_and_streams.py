@@ -90,6 +90,28 @@ def test_lake_idempotent_append_by_source_path(spark, tmp_dir):
         *[c for c in LK.scan(spark, path).columns if c != "load_id"]))
 
 
+def test_rows_are_not_shuffled_for_a_short_list_of_sources(spark, tmp_dir, monkeypatch):
+    """Whatever the table holds, its list of sources is small."""
+    rows_ = LK.lake_rows(deliveries_from_lineitem(spark, SF_SMALL).withColumn(
+        "file_path", F.concat(F.lit("source-"), F.col("doc_no") % 3)))
+    LK.append_new(rows_.filter("file_path <> 'source-1'"), tmp_dir)
+    plans, append = [], LK.append_load
+
+    def planned(rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return append(rows, *args, **kwargs)
+
+    monkeypatch.setattr(LK, "append_load", planned)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        LK.append_new(rows_, tmp_dir)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert LK.scan(spark, tmp_dir).count() == rows_.count()
+
+
 def test_one_aggregate_equals_bowlers_joined_with_wickets(spark):
     c = clean(deliveries_from_lineitem(spark, SF_SMALL))
     c.createOrReplaceTempView("c_balls")
