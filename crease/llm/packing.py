@@ -35,7 +35,7 @@ CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 3000          # nodes of the branch and bound; the incumbent stands beyond it
 BUCKET_ROWS = 1 << 11        # pieces numbered in one window partition
-CACHE_WORDS = 1 << 18        # distinct words a worker remembers, 50 MB at most, before it starts afresh
+CACHE_WORDS = 1 << 18        # distinct words a worker remembers before they age: 100 MB with the older ones
 LONGEST_CACHED = 64          # characters of a remembered word
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -60,17 +60,28 @@ def _byte_letters() -> list[str]:
 
 
 class _Parts(dict):
-    """Packed ids of text parts, computed when first asked for."""
+    """Packed ids of text parts, computed when first asked for.
+
+    ``age`` makes the parts so far the older ones: an older part that is asked for
+    again stays, the others go with the next ageing.
+    """
 
     def __init__(self, compute):
         self.compute = compute
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        got = self.compute(part)
+        got = self.older.get(part)
+        if got is None:
+            got = self.compute(part)
         if len(part) <= LONGEST_CACHED:
             self[part] = got
         return got
 
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
 
 class WordTokenizer:
     """Token ids of texts as packed little-endian uint32, with a cache of words.
@@ -109,8 +120,8 @@ class WordTokenizer:
 
     def packed_ids(self, text: str) -> bytes:
         if len(self._rest) + len(self._first) > CACHE_WORDS:
-            self._rest.clear()
-            self._first.clear()
+            self._rest.age()
+            self._first.age()
         parts = text.split(" ") if not _TWO_SPACES.search(text) else _LONE_SPACE.split(text)
         if parts[-1] == "" or parts[0] == "":          # a space at either end
             return self._encode(text)

@@ -477,3 +477,27 @@ def test_html_time_is_linear_in_open_quotes():
 
     for piece in ('<a "', '<a title="', "<a ='", "<p ", "<!--"):
         assert seconds(piece * 40000) < 20 * max(0.05, seconds(piece * 4000)), piece
+
+
+def test_frequent_words_outlive_a_full_cache(monkeypatch):
+    """A word that comes again and again is tokenized once, however many others come between."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 8)
+    tok = packing.WordTokenizer(TOKENIZER)
+    asked, ids = [], tok._rest.compute
+    tok._rest.compute = lambda part: asked.append(part) or ids(part)
+    texts = [f"first often word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    plain = packing.WordTokenizer(TOKENIZER)
+    assert [tok.packed_ids(t) for t in texts] == [plain._encode(t) for t in texts]
+    assert asked.count("often") == 1 and len(asked) == 61
+    assert len(tok._rest) + len(tok._rest.older) < 30
+
+
+def test_search_remembers_few_words(monkeypatch):
+    """The cache of word hashes stays small and keeps the words it met first."""
+    monkeypatch.setattr(bm25, "CACHE_WORDS", 4)
+    monkeypatch.setattr(bm25, "_WORDS", {})
+    texts = [f"a b Word{i} word{i}" for i in range(20)]
+    got = [dict(zip(*map(lambda x: x.tolist(), bm25.word_counts(t)))) for t in texts]
+    assert [sorted(g.values()) for g in got] == [[1, 1, 2]] * 20
+    assert len({h for g in got for h in g}) == 22
+    assert len(bm25._WORDS) == 4 and {b"a", b"b"} <= set(bm25._WORDS)
