@@ -501,3 +501,31 @@ def test_search_remembers_few_words(monkeypatch):
     assert [sorted(g.values()) for g in got] == [[1, 1, 2]] * 20
     assert len({h for g in got for h in g}) == 22
     assert len(bm25._WORDS) == 4 and {b"a", b"b"} <= set(bm25._WORDS)
+
+
+def test_search_builds_and_reads_shards_in_little_memory():
+    # an executor's workers each hold one shard at a time: few bytes a posting, stored and in the making
+    import tracemalloc
+
+    import numpy as np
+    rng = np.random.default_rng(8)
+    texts = [" ".join(map(str, rng.zipf(1.3, 300) % 50_000)) for _ in range(3000)]
+    words = [bm25.word_counts(t) for t in texts]
+    postings = sum(len(w) for w, _ in words)
+    tracemalloc.start()
+    shard = bm25.build_shard(list(range(3000)), words)
+    built = tracemalloc.get_traced_memory()[1]
+    raw = {p: a.tobytes() for p, a in shard.items()}
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    ready = bm25.Shard(raw, float(shard["lengths"].mean()))
+    read = tracemalloc.get_traced_memory()[1] - before - ready.dense.nbytes
+    tracemalloc.stop()
+    assert len(raw["docs"]) == 2 * postings and len(raw["tfs"]) <= 2 * postings
+    assert built < 45 * postings and read < 30 * postings, (built / postings, read / postings)
+    # the narrow form loses nothing
+    df = np.diff(ready.starts)
+    back = [{} for _ in texts]
+    for t, d, tf in zip(np.repeat(shard["terms"], df).tolist(), ready.docs.tolist(), shard["tfs"].tolist()):
+        back[ready.ids[d]][t] = tf
+    assert back == [dict(zip(*map(lambda x: x.tolist(), bm25.word_counts(t)))) for t in texts]
