@@ -529,3 +529,21 @@ def test_search_builds_and_reads_shards_in_little_memory():
     for t, d, tf in zip(np.repeat(shard["terms"], df).tolist(), ready.docs.tolist(), shard["tfs"].tolist()):
         back[ready.ids[d]][t] = tf
     assert back == [dict(zip(*map(lambda x: x.tolist(), bm25.word_counts(t)))) for t in texts]
+
+
+def test_search_drops_its_broadcasts(spark, monkeypatch):
+    # a block of queries goes out once for all waves, and executors keep none of it afterwards
+    from pyspark import SparkContext
+    sent, blocks, plain = [], [], SparkContext.broadcast
+
+    def broadcast(sc, value):
+        sent.append(plain(sc, value))
+        blocks.extend([value] if isinstance(value, tuple) else [])
+        return sent[-1]
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    rows = [(i, f"a b{i % 7} c{i % 11} d{i}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bm25.top_k(df, F.col("doc_id") % 20 == 0, 3, shard_docs=5).count() == 6 * 3
+    assert len(sent) > 2 and not any(b._jbroadcast.isValid() for b in sent)
+    assert len(blocks) == 1
