@@ -531,6 +531,44 @@ def test_search_builds_and_reads_shards_in_little_memory():
     assert back == [dict(zip(*map(lambda x: x.tolist(), bm25.word_counts(t)))) for t in texts]
 
 
+def test_search_scores_blocks_of_the_querys_kind_alone():
+    # four vocabularies: a query with a threshold multiplies no row of another one's documents
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"{'abcd'[i % 4]}{x}" for x in rng.zipf(1.3, int(rng.integers(20, 400))) % 3000) for i in range(1600)]
+    words = [bm25.word_counts(t) for t in texts]
+    lengths = np.array([c.sum() for _, c in words])
+    docs = [dict(zip(w.view("<i8").tolist(), c.tolist())) for w, c in words]
+    shard = bm25.build_shard(list(range(1600)), words)
+    ready = bm25.Shard({p: a.tobytes() for p, a in shard.items()}, float(lengths.mean()))
+    df = {t: int(x) for t, x in zip(shard["terms"].view("<i8").tolist(), shard["dfs"])}
+    norm = bm25.K1 * (1 - bm25.B + bm25.B * lengths / lengths.mean())
+    places = {t: int(i) for t, i in zip(ready.names.tolist(), ready.by_name)}
+
+    def brute(weights):
+        return [round(sum(w * d[t] * (bm25.K1 + 1) / (d[t] + norm[i]) for t, w in weights.items() if t in d), 6)
+                for i, d in enumerate(docs)]
+
+    asked = [i for i in range(0, 160, 5) if i % 4 == 0]
+    weights = [{t: c * float(np.log(1 + (1600 - df[t] + .5) / (df[t] + .5))) for t, c in docs[i].items()} for i in asked]
+    scores = [brute(w) for w in weights]
+    at = [np.array([places[t] for t in w]) for w in weights]
+    values = [np.array(list(w.values())) for w in weights]
+    for known in (np.zeros(len(asked)), np.array([sorted(s)[-10] for s in scores])):
+        got = {i: dict(zip(ready.ids[d].tolist(), s.tolist())) for i, d, s in ready.search(at, values, 10, known)}
+        for i, s in enumerate(scores):
+            want = {d: x for d, x in enumerate(s) if x >= sorted(s)[-10]}
+            assert got[i].keys() == want.keys()
+            assert all(abs(got[i][d] - want[d]) < 2e-6 for d in want)
+        others = [k for k in ready.kinds if all(ready.ids[d] % 4 for d in range(k[3][0], k[4][-1]))]
+        assert sum(k[4][-1] - k[3][0] for k in others) > 800      # what the second round must not touch
+        for k in others:
+            k[1][:] = np.nan
+    number = bm25.packed(pa.table({"terms": [[3, 5], [], [5]], "weights": [[.1, .2], [], [.3]]}))
+    assert [x.tolist() for x in number] == [[3, 5], [0, 1, 1], [.1, .2, .3], [0, 2, 2, 3]]
+
+
 def test_search_drops_its_broadcasts(spark, monkeypatch):
     # a block of queries goes out once for all waves, and executors keep none of it afterwards
     from pyspark import SparkContext
